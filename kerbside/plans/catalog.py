@@ -9,13 +9,11 @@ from kerbside import operators as ops
 from kerbside.functions import clean, trip_seconds, with_tip_ratio
 from kerbside.sources import (
     fresh_path,
-    mapped_trips,
-    mapped_zones,
     read_heatmap,
-    read_zone_lookup,
-    write_csv,
+    trips_table,
     write_heatmap,
     write_results,
+    zones_table,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,22 +23,16 @@ MAPPED_ZONES = range(27)
 HOURS = range(24)
 
 
-def _trips(rules: str | None, payments: bool = False) -> Query:
-    def load(spark: SparkSession, tables: str) -> DataFrame:
-        trips = mapped_trips(spark, tables, payments)
-        return trips if rules is None else clean(trips, rules)
+def _trips(rules: str) -> Query:
+    return lambda spark, tables: clean(trips_table(spark, tables), rules)
 
-    return load
 
-
-raw = _trips(None)
 timed = _trips("timed")
 quality = _trips("quality")
-payment = _trips("payment", payments=True)
+payment = _trips("payment")
 carpool = _trips("carpool")
 feature = _trips("feature")
-priced_feature = _trips("feature", payments=True)
-model = _trips("model", payments=True)
+model = _trips("model")
 
 
 def _over(source: Query, operator: Callable[[DataFrame], DataFrame]) -> Query:
@@ -48,7 +40,7 @@ def _over(source: Query, operator: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 def _with_zones(operator: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
-    return lambda spark, tables: operator(timed(spark, tables), mapped_zones(spark, tables))
+    return lambda spark, tables: operator(timed(spark, tables), zones_table(spark, tables))
 
 
 def _survivors(trips: DataFrame) -> DataFrame:
@@ -60,20 +52,6 @@ def _survivors(trips: DataFrame) -> DataFrame:
     )
 
 
-def zone_lookup(spark: SparkSession, tables: str) -> DataFrame:
-    path = fresh_path(spark, "zone-lookup")
-    write_csv(mapped_zones(spark, tables), path)
-    return read_zone_lookup(spark, path)
-
-
-def trips_parquet_roundtrip(spark: SparkSession, tables: str) -> DataFrame:
-    """Trips written as a result table and scanned back, cleaned by pushed-down filters."""
-    out = fresh_path(spark, "trips")
-    write_results({"trips": mapped_trips(spark, tables)}, out)
-    written = spark.read.parquet(f"{out}/trips")
-    return _survivors(clean(written, "quality"))
-
-
 def heatmap_csv_roundtrip(spark: SparkSession, tables: str) -> DataFrame:
     path = fresh_path(spark, "heatmap")
     write_heatmap(ops.heatmap(timed(spark, tables)), path)
@@ -122,7 +100,7 @@ def enrich_trips(spark: SparkSession, tables: str) -> DataFrame:
 
 
 def feature_table(spark: SparkSession, tables: str) -> DataFrame:
-    return ops.feature_table(priced_feature(spark, tables)).select(
+    return ops.feature_table(feature(spark, tables)).select(
         "pickup_ts",
         "PULocationID",
         "DOLocationID",
@@ -176,9 +154,8 @@ def fare_prediction_sample(trips: DataFrame) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     # sources and sinks
-    "scan_trips": _trips(None, payments=True),
-    "zone_lookup": zone_lookup,
-    "trips_parquet_roundtrip": trips_parquet_roundtrip,
+    "scan_trips": trips_table,
+    "zone_lookup": zones_table,
     "heatmap_csv_roundtrip": heatmap_csv_roundtrip,
     "published_results": published_results,
     # derived columns and rule sets
@@ -191,11 +168,9 @@ QUERIES: dict[str, Query] = {
     "clean_feature": _over(feature, _survivors),
     "clean_model": _over(model, _survivors),
     # profile
-    "profile_summary": _over(raw, lambda t: ops.profile_summary(ops.profile_row(t))),
-    "null_profile": _over(
-        _trips(None, payments=True), lambda t: ops.null_profile(ops.profile_row(t))
-    ),
-    "outlier_counts": _over(raw, lambda t: ops.outlier_counts(ops.profile_row(t))),
+    "profile_summary": _over(trips_table, lambda t: ops.profile_summary(ops.profile_row(t))),
+    "null_profile": _over(trips_table, lambda t: ops.null_profile(ops.profile_row(t))),
+    "outlier_counts": _over(trips_table, lambda t: ops.outlier_counts(ops.profile_row(t))),
     # quality
     "trip_category_dist": _over(quality, ops.trip_category_dist),
     "speed_by_hour": _over(quality, ops.speed_by_hour),
@@ -222,7 +197,7 @@ QUERIES: dict[str, Query] = {
     ),
     # features
     "feature_trips_by_hour": _over(feature, ops.feature_trips_by_hour),
-    "revenue_by_hour": _over(priced_feature, ops.revenue_by_hour),
+    "revenue_by_hour": _over(feature, ops.revenue_by_hour),
     "anomaly_counts": _over(feature, ops.anomaly_counts),
     "zone_frequency": _over(feature, ops.zone_frequency),
     # heatmap

@@ -1,7 +1,6 @@
 """The same results as plain SQL, written independently of the operators.
 
-Every query starts from the 20-column trip table with the join to ``orders`` in place,
-also where the Spark side reads ``lineitem`` alone.
+Every query starts from the order tables themselves and derives the trips anew.
 """
 
 _TRIPS = """
@@ -162,7 +161,6 @@ _ML = (
 ORACLE: dict[str, str] = {
     "scan_trips": _sql("raw", f"SELECT {', '.join(_TRIP_NAMES)} FROM t"),
     "zone_lookup": _sql("raw", "SELECT LocationID, Borough, Zone FROM zones"),
-    "trips_parquet_roundtrip": _sql("quality", _SURVIVORS),
     "heatmap_csv_roundtrip": _sql("timed", "SELECT * FROM heat", _HEAT),
     "published_results": _sql(
         "payment",

@@ -4,13 +4,15 @@ One trip per order line. Distances and amounts are multiples of 0.25, so sums of
 doubles are exact in any order of addition.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.sources.readers import conform_trips
-
-# Columns that need the order priority.
-PAYMENT_COLUMNS = ("payment_type", "tip_amount", "total_amount")
+from kerbside.sources.readers import conform_trips, read_trips, read_zone_lookup
+from kerbside.sources.schema import TRIP_SCHEMA
+from kerbside.sources.shared import fresh_path
+from kerbside.sources.sinks import write_csv
 
 _AMOUNTS = (
     "fare_amount",
@@ -38,18 +40,18 @@ def _unless_card(value: Column) -> Column:
     return F.when(F.col("h") % 11 != 0, value)
 
 
-def mapped_trips(spark: SparkSession, tables: str, payments: bool = True) -> DataFrame:
+def mapped_trips(spark: SparkSession, tables: str) -> DataFrame:
     """Trips from the tables in folder ``tables``.
 
-    ``orders`` is only needed for the payment columns. A query that uses none of them
-    passes ``payments=False`` and reads ``lineitem`` alone: the order key is unique in
-    ``orders`` and every line keeps its trip, so the join could change no row.
-
     The join carries no hint. Catalyst broadcasts ``orders`` while its size is under
     the session's threshold; beyond that it is a sort-merge join directly on two
     shuffles, the shape whose hot keys adaptive execution splits.
     """
-    lines = spark.read.parquet(f"{tables}/lineitem.parquet")
+    orders = spark.read.parquet(f"{tables}/orders.parquet").select(
+        F.col("o_orderkey").alias("l_orderkey"),
+        (F.substring("o_orderpriority", 1, 1).cast("bigint") - 1).alias("payment_type"),
+    )
+    lines = spark.read.parquet(f"{tables}/lineitem.parquet").join(orders, "l_orderkey", "left")
     lines = lines.withColumn(
         "h",
         F.col("l_orderkey") * 7
@@ -58,14 +60,6 @@ def mapped_trips(spark: SparkSession, tables: str, payments: bool = True) -> Dat
         + F.col("l_linenumber") * 19
         + F.col("l_quantity").cast("bigint") * 23,
     )
-    if payments:
-        orders = spark.read.parquet(f"{tables}/orders.parquet")
-        payment_type = F.substring("o_orderpriority", 1, 1).cast("bigint") - 1
-        lines = lines.join(
-            orders.select(F.col("o_orderkey").alias("l_orderkey"), payment_type.alias("payment_type")),
-            "l_orderkey",
-            "left",
-        )
 
     h = F.col("h")
     base = F.when(h % 1009 == 0, F.expr("TIMESTAMP_NTZ'2007-12-05 00:00:00'")).otherwise(
@@ -100,6 +94,9 @@ def mapped_trips(spark: SparkSession, tables: str, payments: bool = True) -> Dat
         "PULocationID": pickup_zone,
         "DOLocationID": (F.col("l_partkey") % 27).cast("int"),
         "fare_amount": _first_match([(53, F.lit(-1.0)), (59, F.lit(0.0))], F.lit(1.0)) * fare,
+        "tip_amount": F.when(
+            F.col("payment_type") == 1, F.round(F.col("l_discount") * 100) * 0.25
+        ).otherwise(0.0),
         "extra": F.lit(1.0),
         "mta_tax": F.lit(0.5),
         "tolls_amount": _first_match([(17, F.lit(6.5))], F.lit(0.0)),
@@ -108,24 +105,14 @@ def mapped_trips(spark: SparkSession, tables: str, payments: bool = True) -> Dat
         "Airport_fee": _unless_card(F.when(pickup_zone == 3, 1.75).otherwise(0.0)),
         "cbd_congestion_fee": F.lit(0.75),
     }
-    if payments:
-        columns["tip_amount"] = F.when(
-            F.col("payment_type") == 1, F.round(F.col("l_discount") * 100) * 0.25
-        ).otherwise(0.0)
     trips = lines.withColumns(columns).withColumn(
         "tpep_dropoff_datetime",
         F.timestamp_add("SECOND", seconds.cast("int"), F.col("tpep_pickup_datetime")),
     )
-    if not payments:
-        return trips.select("tpep_pickup_datetime", "tpep_dropoff_datetime", *_others(columns))
     total = sum((F.coalesce(F.col(name), F.lit(0.0)) for name in _AMOUNTS), F.lit(0.0))
     return conform_trips(trips.withColumn("total_amount", total))
 
 
-def _others(columns: dict[str, Column]) -> list[str]:
-    return [name for name in columns if name != "tpep_pickup_datetime"]
-
-
 def mapped_zones(spark: SparkSession, tables: str) -> DataFrame:
     """The zone lookup: nations as zones, regions as boroughs."""
     nation = spark.read.parquet(f"{tables}/nation.parquet")
@@ -135,3 +122,59 @@ def mapped_zones(spark: SparkSession, tables: str) -> DataFrame:
         region["r_name"].alias("Borough"),
         nation["n_name"].alias("Zone"),
     )
+
+
+# What this process has written: (application, tables, name) -> (state of the inputs, path).
+_written: dict[tuple[str, str, str], tuple[tuple, str]] = {}
+
+# Fixed value: Spark's default for the bytes of a file that one task reads.
+_BYTES_PER_TASK = 128 * 1024 * 1024
+
+
+def _written_once(
+    spark: SparkSession, tables: str, name: str, inputs: list[str], write: Callable[[str, int], None]
+) -> str:
+    """The path of a table derived from ``inputs``, written anew when one has changed.
+
+    ``write`` gets the path and the bytes of the inputs.
+    """
+    files = spark.read.format("binaryFile").load([f"{tables}/{table}.parquet" for table in inputs])
+    state = tuple(
+        files.agg(F.count("*"), F.sum("length"), F.max("modificationTime").cast("string")).first()
+    )
+    key = (spark.sparkContext.applicationId, tables, name)
+    if _written.get(key, (None, None))[0] != state:
+        path = fresh_path(spark, name)
+        write(path, state[1])
+        _written[key] = (state, path)
+    return _written[key][1]
+
+
+def trips_table(spark: SparkSession, tables: str) -> DataFrame:
+    """The mapped trips as a stored trip table.
+
+    Deriving a trip takes a join and some hundred operations, and no filter on a derived
+    column can reach the scan. So the table is written once per application, and each
+    query reads the columns and row groups it needs. Input too small to give every core
+    a task is spread over the cores first; larger input is written as it comes.
+    """
+
+    def write(path: str, size: int) -> None:
+        trips, cores = mapped_trips(spark, tables), spark.sparkContext.defaultParallelism
+        if size < cores * _BYTES_PER_TASK:
+            trips = trips.repartition(cores)
+        trips.write.parquet(path)
+
+    path = _written_once(spark, tables, "trips", ["lineitem", "orders"], write)
+    return read_trips(spark, path, TRIP_SCHEMA)
+
+
+def zones_table(spark: SparkSession, tables: str) -> DataFrame:
+    """The mapped zone lookup as a stored CSV."""
+
+    def write(path: str, size: int) -> None:
+        write_csv(mapped_zones(spark, tables), path)
+
+    return read_zone_lookup(
+        spark, _written_once(spark, tables, "zone-lookup", ["nation", "region"], write)
+    )

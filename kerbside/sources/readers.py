@@ -30,10 +30,16 @@ def conform_trips(df: DataFrame) -> DataFrame:
     )
 
 
-def read_trips(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """One file, a folder, a glob or a list of them."""
+def read_trips(
+    spark: SparkSession, path: str | list[str], schema: T.StructType | None = None
+) -> DataFrame:
+    """One file, a folder, a glob or a list of them.
+
+    A ``schema`` known beforehand saves the job that reads it from the files.
+    """
     paths = [path] if isinstance(path, str) else path
-    return conform_trips(spark.read.parquet(*paths))
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return conform_trips(reader.parquet(*paths))
 
 
 def read_zone_lookup(spark: SparkSession, path: str) -> DataFrame:
