@@ -6,6 +6,8 @@ it. Predicates stand on raw columns wherever they can, to reach the parquet scan
 """
 
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -98,9 +100,7 @@ def clean(trips: DataFrame, rules: str | list[Column]) -> DataFrame:
         if rules not in RULE_SETS:
             raise ValueError(f"no rule set {rules!r}; there are {', '.join(RULE_SETS)}")
         rules = RULE_SETS[rules]()
-    for predicate in rules:
-        trips = trips.filter(predicate)
-    return trips
+    return trips.filter(reduce(and_, rules))
 
 
 def outlier_flags() -> dict[str, Column]:

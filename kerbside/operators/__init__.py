@@ -1,5 +1,6 @@
 from kerbside.operators.carpool import carpool_gains, carpool_groups, carpool_summary, slot_groups
 from kerbside.operators.core import (
+    count_all,
     count_by,
     count_flags,
     lookup_zone,

@@ -67,6 +67,11 @@ def mean_of(df: DataFrame, measure: str) -> Column:
     return F.avg(MEASURES[measure]())
 
 
+def count_all(df: DataFrame) -> DataFrame:
+    """One row: ``n``, 0 where there are no trips."""
+    return df.agg(F.coalesce(row_count(df), F.lit(0)).alias("n"))
+
+
 def count_by(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys and ``n``."""
     return with_keys(df, keys).groupBy(*keys).agg(row_count(df).alias("n"))

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from kerbside import operators as ops
 from kerbside.functions import clean, trip_seconds, with_tip_ratio
+from kerbside.plans.reports import payment_report
 from kerbside.sources import (
     fresh_path,
     read_heatmap,
+    stored,
     trips_table,
     write_heatmap,
     write_results,
@@ -60,18 +62,12 @@ def heatmap_csv_roundtrip(spark: SparkSession, tables: str) -> DataFrame:
 
 def published_results(spark: SparkSession, tables: str) -> DataFrame:
     """Payment results published as tables, read back as one long table."""
-    trips = payment(spark, tables)
-    counts = ops.tally(trips, ["payment_type", "hour", "day_of_week"], ["tip"])
-    results = {
-        "payment_distribution": ops.payment_distribution(counts),
-        "tips_by_hour": ops.tips_by_hour(counts),
-        "tips_by_day": ops.tips_by_day(counts),
-    }
+    results = payment_report(trips_table(spark, tables))
     out = fresh_path(spark, "results")
     write_results(results, out)
 
     def back(name: str, key: str, value: str) -> DataFrame:
-        return spark.read.parquet(f"{out}/{name}").select(
+        return spark.read.schema(results[name].schema).parquet(f"{out}/{name}").select(
             F.lit(name).alias("result"),
             F.col(key).cast("string").alias("result_key"),
             F.col(value).cast("double").alias("result_value"),
@@ -126,7 +122,9 @@ def heatmap_by_hour(trips: DataFrame) -> DataFrame:
 
 
 def heatmap_top_n(trips: DataFrame) -> DataFrame:
-    return ops.heatmap_pivot(ops.heatmap(trips), "PULocationID", "hour", HOURS, "h", top_n=15)
+    """The ranking and the matrix both read the heatmap, so it is stored in between."""
+    heat = stored(ops.heatmap(trips), "heatmap")
+    return ops.heatmap_pivot(heat, "PULocationID", "hour", HOURS, "h", top_n=15)
 
 
 def split_counts(trips: DataFrame) -> DataFrame:

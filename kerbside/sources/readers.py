@@ -14,20 +14,16 @@ def conform_trips(df: DataFrame) -> DataFrame:
     clock; every other column stays a bare reference, so filters on it still reach
     the parquet scan.
     """
-    present = {name.lower() for name in df.columns}
-    missing = [name for name in TRIP_COLUMNS if name.lower() not in present]
+    types = {field.name.lower(): field.dataType for field in df.schema}
+    missing = [name for name in TRIP_COLUMNS if name.lower() not in types]
     if missing:
         raise ValueError(f"not a trip table, columns missing: {', '.join(missing)}")
-
-    zoned = [f.name.lower() for f in df.schema if isinstance(f.dataType, T.TimestampType)]
-    return df.select(
-        *[
-            F.col(name).cast("timestamp_ntz").alias(name)
-            if name.lower() in zoned
-            else F.col(name).alias(name)
-            for name in TRIP_COLUMNS
-        ]
-    )
+    zoned = [n for n in TRIP_COLUMNS if isinstance(types[n.lower()], T.TimestampType)]
+    for name in zoned:
+        df = df.withColumn(name, F.col(name).cast("timestamp_ntz"))
+    if df.columns == TRIP_COLUMNS:
+        return df
+    return df.select(*[F.col(name).alias(name) for name in TRIP_COLUMNS])
 
 
 def read_trips(
