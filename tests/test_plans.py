@@ -1,0 +1,144 @@
+"""What must hold of the physical plans for the operators to hold at scale."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+from trips import frame, trip
+
+from __spark_entry__ import oracle_sql, queries
+from kerbside import operators as ops
+from kerbside.functions import clean
+from kerbside.sources import read_trips, trips_table, zones_table
+from kerbside.sources.mapped import mapped_trips
+
+TABLES = "/root/testdata/sf0.001"
+MODEL = {"fare_predictions", "fare_model_metrics", "fare_prediction_sample"}
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().explainString(
+        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+
+
+def scanned(df) -> set[str]:
+    schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan(df))
+    return {field.split(":")[0] for schema in schemas for field in schema.split(",") if field}
+
+
+@pytest.mark.parametrize("name", sorted(set(queries()) - MODEL))
+def test_no_python_no_cross_join_no_window(spark, name):
+    text = plan(queries()[name](spark, TABLES))
+    for banned in ("Python", "Pandas", "CartesianProduct", "NestedLoopJoin", "Window ("):
+        assert banned not in text
+
+
+@pytest.fixture(scope="module")
+def trips(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("trips") / "t")
+    trips_table(spark, TABLES).write.parquet(path)
+    return read_trips(spark, path)
+
+
+def test_cleaning_reaches_the_scan(trips):
+    pushed = re.search(r"PushedFilters: \[(.*?)\]\n", plan(clean(trips, "quality"))).group(1)
+    for filter_ in (
+        "GreaterThan(trip_distance,0.0)",
+        "GreaterThanOrEqual(fare_amount,0.0)",
+        "GreaterThan(passenger_count,0)",
+        "IsNotNull(tpep_dropoff_datetime)",
+    ):
+        assert filter_ in pushed
+    pushed = plan(clean(trips, "model"))
+    for filter_ in ("LessThan(total_amount,200.0)", "LessThan(trip_distance,50.0)"):
+        assert filter_ in pushed
+
+
+@pytest.mark.parametrize("operator, columns", [
+    (lambda t: ops.count_by(t, ["PULocationID"]), {"PULocationID"}),
+    (ops.trips_by_hour, {"tpep_pickup_datetime"}),
+    (ops.payment_distribution, {"payment_type"}),
+    (lambda t: ops.profile_summary(ops.profile_row(t)), {"tpep_pickup_datetime"}),
+    (
+        lambda t: ops.carpool_summary(ops.slot_groups(t)),
+        {"PULocationID", "tpep_pickup_datetime", "trip_distance"},
+    ),
+])
+def test_only_needed_columns_are_read(trips, operator, columns):
+    assert scanned(operator(trips)) == columns
+
+
+def test_counts_are_combined_before_the_shuffle_and_joined_after_the_cut(spark, trips):
+    tree = plan(ops.od_flows(trips, zones_table(spark, TABLES))).split("\n\n")[0]
+    order = [
+        re.search(word, tree).start()
+        for word in ("Join", "TakeOrderedAndProject", "HashAggregate", "Exchange", "Scan parquet")
+    ]
+    assert order == sorted(order)
+    assert tree.count("HashAggregate") == 2
+
+
+def test_one_scan_for_all_flags_and_nulls(trips):
+    for df in (ops.outlier_counts(ops.profile_row(trips)), ops.anomaly_counts(trips)):
+        tree = plan(df).split("\n\n")[0]
+        assert tree.count("Scan parquet") == 1 and tree.count("Exchange") == 1
+
+
+def test_zone_counts_are_broadcast_only_while_few(spark):
+    some = frame(spark, [trip(PULocationID=z) for z in range(5)])
+    assert "BroadcastHashJoin" in plan(ops.with_zone_frequency(some))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        assert "SortMergeJoin" in plan(ops.with_zone_frequency(some, max_broadcast_rows=4))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+@pytest.fixture
+def tight(spark):
+    """Adaptive execution with limits that test data can exceed, and no broadcasts."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def ran(df) -> str:
+    """The plan as adaptive execution left it."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_hot_zone_is_split_where_zone_counts_are_not_broadcast(spark, trips, tight):
+    hot = F.when(F.col("passenger_count") < 4, 7).otherwise(F.col("PULocationID"))
+    skewed = trips.withColumn("PULocationID", hot.cast("int")).repartition(8)
+    counted = ops.with_zone_frequency(skewed, max_broadcast_rows=1)
+    assert "skew=true" in ran(counted)
+    assert counted.count() == 6000
+
+
+def test_a_hot_order_is_split_in_the_mapping(spark, tmp_path, tight):
+    lines = spark.read.parquet(f"{TABLES}/lineitem.parquet")
+    hot = F.when(F.col("l_linenumber") <= 3, 1).otherwise(F.col("l_orderkey"))
+    lines.withColumn("l_orderkey", hot.cast("long")).repartition(8).write.parquet(
+        f"{tmp_path}/lineitem.parquet"
+    )
+    spark.read.parquet(f"{TABLES}/orders.parquet").write.parquet(f"{tmp_path}/orders.parquet")
+    trips = mapped_trips(spark, str(tmp_path))
+    assert "skew=true" in ran(trips)
+    assert trips.count() == 6000
+
+
+def test_every_query_but_the_forest_has_an_oracle():
+    assert set(queries()) - set(oracle_sql()) == MODEL | {"split_counts"}

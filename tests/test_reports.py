@@ -1,0 +1,101 @@
+"""A report must give what its results give one by one."""
+
+import pytest
+from compare import connect, differences
+
+from kerbside.__main__ import main
+from kerbside.plans.oracle import ORACLE
+from kerbside.plans.reports import (
+    carpool_report,
+    fare_model_report,
+    feature_report,
+    heatmap_report,
+    payment_report,
+    profile_report,
+    quality_report,
+    spatial_report,
+)
+from kerbside.sources import trips_table, write_heatmap, zones_table
+
+TABLES = "/root/testdata/sf0.01"
+
+REPORTS = {
+    "profile": profile_report,
+    "quality": quality_report,
+    "payments": payment_report,
+    "carpool": carpool_report,
+    "features": feature_report,
+}
+
+
+@pytest.fixture(scope="module")
+def db():
+    return connect(TABLES)
+
+
+def check(results, db, skip=()):
+    compared = [name for name in results if name in ORACLE and name not in skip]
+    for name in compared:
+        assert differences(results[name], db, ORACLE[name]) == [], name
+    return compared
+
+
+@pytest.mark.parametrize("name", sorted(REPORTS))
+def test_report(spark, db, name):
+    results = REPORTS[name](trips_table(spark, TABLES))
+    # The statistics are not rounded here; their query is compared on its own.
+    assert len(check(results, db, skip=("distance_duration_stats",))) >= 2
+
+
+def test_spatial_report(spark, db):
+    results = spatial_report(trips_table(spark, TABLES), zones_table(spark, TABLES))
+    assert len(check(results, db)) == 7
+    total = results["trips"].first()["n"]
+    for part in ("trips_by_hour", "trips_by_day", "heatmap"):
+        assert results[part].agg({"n": "sum"}).first()[0] == total
+
+
+def test_heatmap_report(spark, db, tmp_path):
+    from kerbside.operators import heatmap
+    from kerbside.sources import read_heatmap
+
+    write_heatmap(heatmap(trips_table(spark, TABLES)), f"{tmp_path}/h")
+    assert len(check(heatmap_report(read_heatmap(spark, f"{tmp_path}/h")), db)) == 5
+
+
+def test_totals_are_partitioned(spark):
+    trips = trips_table(spark, TABLES)
+    features = feature_report(trips)
+    total = features["trips"].first()["n"]
+    assert features["feature_trips_by_hour"].agg({"n": "sum"}).first()[0] == total
+    quality = quality_report(trips)
+    total = quality["clean_trips"].first()["n"]
+    assert quality["trip_category_dist"].agg({"n": "sum"}).first()[0] == total
+    assert quality["distance_duration_stats"].first()["trip_distance"] == total
+
+
+def test_command_line(spark, tmp_path):
+    trips = f"{tmp_path}/trips"
+    trips_table(spark, "/root/testdata/sf0.001").write.parquet(trips)
+    zones = f"{tmp_path}/zones"
+    zones_table(spark, TABLES).write.option("header", True).csv(zones)
+    for report in REPORTS:
+        main([report, "--trips", trips, "--out", f"{tmp_path}/{report}"])
+    main(
+        ["spatial", "--trips", trips, "--zones", zones]
+        + ["--heatmap", f"{tmp_path}/heat", "--out", f"{tmp_path}/spatial"]
+    )
+    main(["heatmap", "--heatmap", f"{tmp_path}/heat", "--top", "5", "--out", f"{tmp_path}/maps"])
+    read = spark.read.parquet
+    assert read(f"{tmp_path}/maps/heatmap_top_n").count() == 5
+    assert read(f"{tmp_path}/spatial/top_pickup_zones").count() == 10
+    assert read(f"{tmp_path}/profile/profile_summary").first()["n"] == 6000
+    with pytest.raises(SystemExit):
+        main(["spatial", "--trips", trips, "--out", f"{tmp_path}/x"])
+
+
+def test_fare_model_report(spark):
+    results = fare_model_report(trips_table(spark, "/root/testdata/sf0.001"))
+    figures = results["fare_model_metrics"].first()
+    assert figures["train_rows"] + figures["test_rows"] == 5831
+    assert results["fare_prediction_sample"].count() == 10
