@@ -18,6 +18,9 @@ def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="kerbside", description=__doc__)
     parser.add_argument("report", choices=[*TRIP_REPORTS, "spatial", "heatmap"])
     parser.add_argument("--trips", nargs="+", help="trip parquet: files, folders or globs")
+    parser.add_argument(
+        "--any-layout", action="store_true", help="take trips with fewer or other columns"
+    )
     parser.add_argument("--zones", help="zone lookup CSV (spatial)")
     parser.add_argument(
         "--heatmap", help="heatmap CSV folder (spatial writes it, heatmap reads it)"
@@ -31,18 +34,20 @@ def main(arguments: list[str] | None = None) -> None:
             if getattr(options, name) is None:
                 parser.error(f"{options.report} needs --{name}")
 
+    def trips():
+        need("trips")
+        return read_trips(spark, options.trips, strict=not options.any_layout)
+
     spark = SparkSession.builder.appName(f"kerbside {options.report}").getOrCreate()
     if options.report == "heatmap":
         need("heatmap")
         results = heatmap_report(read_heatmap(spark, options.heatmap), options.top)
     elif options.report == "spatial":
-        need("trips", "zones", "heatmap")
-        zones = read_zone_lookup(spark, options.zones)
-        results = spatial_report(read_trips(spark, options.trips), zones)
+        need("zones", "heatmap")
+        results = spatial_report(trips(), read_zone_lookup(spark, options.zones))
         write_heatmap(results.pop("heatmap"), options.heatmap)
     else:
-        need("trips")
-        results = TRIP_REPORTS[options.report](read_trips(spark, options.trips))
+        results = TRIP_REPORTS[options.report](trips())
     write_results(results, options.out)
 
 

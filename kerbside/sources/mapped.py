@@ -132,11 +132,11 @@ _BYTES_PER_TASK = 128 * 1024 * 1024
 
 
 def _written_once(
-    spark: SparkSession, tables: str, name: str, inputs: list[str], write: Callable[[str, int], None]
+    spark: SparkSession, tables: str, name: str, inputs: list[str], write: Callable[[str, int, int], None]
 ) -> str:
     """The path of a table derived from ``inputs``, written anew when one has changed.
 
-    ``write`` gets the path and the bytes of the inputs.
+    ``write`` gets the path, and the number of files and bytes of the inputs.
     """
     files = spark.read.format("binaryFile").load([f"{tables}/{table}.parquet" for table in inputs])
     state = tuple(
@@ -145,7 +145,7 @@ def _written_once(
     key = (spark.sparkContext.applicationId, tables, name)
     if _written.get(key, (None, None))[0] != state:
         path = fresh_path(spark, name)
-        write(path, state[1])
+        write(path, *state[:2])
         _written[key] = (state, path)
     return _written[key][1]
 
@@ -156,12 +156,13 @@ def trips_table(spark: SparkSession, tables: str) -> DataFrame:
     Deriving a trip takes a join and some hundred operations, and no filter on a derived
     column can reach the scan. So the table is written once per application, and each
     query reads the columns and row groups it needs. Input too small to give every core
-    a task is spread over the cores first; larger input is written as it comes.
+    a task, few files of few bytes, is spread over the cores first; other input is
+    written as it comes.
     """
 
-    def write(path: str, size: int) -> None:
+    def write(path: str, files: int, size: int) -> None:
         trips, cores = mapped_trips(spark, tables), spark.sparkContext.defaultParallelism
-        if size < cores * _BYTES_PER_TASK:
+        if files < cores and size < cores * _BYTES_PER_TASK:
             trips = trips.repartition(cores)
         trips.write.parquet(path)
 
@@ -172,7 +173,7 @@ def trips_table(spark: SparkSession, tables: str) -> DataFrame:
 def zones_table(spark: SparkSession, tables: str) -> DataFrame:
     """The mapped zone lookup as a stored CSV."""
 
-    def write(path: str, size: int) -> None:
+    def write(path: str, files: int, size: int) -> None:
         write_csv(mapped_zones(spark, tables), path)
 
     return read_zone_lookup(

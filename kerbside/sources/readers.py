@@ -4,38 +4,46 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kerbside.sources.schema import HEATMAP_SCHEMA, TRIP_COLUMNS
+from kerbside.sources.schema import HEATMAP_SCHEMA, TRIP_COLUMNS, USED_COLUMNS
 
 
-def conform_trips(df: DataFrame) -> DataFrame:
-    """The 20 trip columns in order; a missing one is an error.
+def conform_trips(df: DataFrame, strict: bool = True) -> DataFrame:
+    """``df`` as a trip table; a missing column is an error.
+
+    ``strict`` asks for the 20 known columns and gives just those, in order. Without it
+    the columns that operators use must be there, and all that are there are kept.
 
     Types come from the file. Only times stored with a zone are brought to wall
     clock; every other column stays a bare reference, so filters on it still reach
     the parquet scan.
     """
+    wanted = TRIP_COLUMNS if strict else USED_COLUMNS
     types = {field.name.lower(): field.dataType for field in df.schema}
-    missing = [name for name in TRIP_COLUMNS if name.lower() not in types]
+    missing = [name for name in wanted if name.lower() not in types]
     if missing:
         raise ValueError(f"not a trip table, columns missing: {', '.join(missing)}")
-    zoned = [n for n in TRIP_COLUMNS if isinstance(types[n.lower()], T.TimestampType)]
+    zoned = [n for n in wanted if isinstance(types[n.lower()], T.TimestampType)]
     for name in zoned:
         df = df.withColumn(name, F.col(name).cast("timestamp_ntz"))
-    if df.columns == TRIP_COLUMNS:
+    if not strict or df.columns == TRIP_COLUMNS:
         return df
     return df.select(*[F.col(name).alias(name) for name in TRIP_COLUMNS])
 
 
 def read_trips(
-    spark: SparkSession, path: str | list[str], schema: T.StructType | None = None
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType | None = None,
+    strict: bool = True,
 ) -> DataFrame:
     """One file, a folder, a glob or a list of them.
 
     A ``schema`` known beforehand saves the job that reads it from the files.
+    ``strict=False`` takes other layouts, such as files from before a fee came in.
     """
     paths = [path] if isinstance(path, str) else path
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return conform_trips(reader.parquet(*paths))
+    return conform_trips(reader.parquet(*paths), strict)
 
 
 def read_zone_lookup(spark: SparkSession, path: str) -> DataFrame:

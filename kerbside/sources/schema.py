@@ -30,6 +30,20 @@ TRIP_SCHEMA = T.StructType(
 
 TRIP_COLUMNS = TRIP_SCHEMA.fieldNames()
 
+# The columns that operators compute with; profiling alone uses the others.
+USED_COLUMNS = [
+    "tpep_pickup_datetime",
+    "tpep_dropoff_datetime",
+    "passenger_count",
+    "trip_distance",
+    "PULocationID",
+    "DOLocationID",
+    "payment_type",
+    "fare_amount",
+    "tip_amount",
+    "total_amount",
+]
+
 HEATMAP_SCHEMA = T.StructType(
     [
         T.StructField("PULocationID", T.IntegerType()),

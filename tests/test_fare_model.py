@@ -78,9 +78,3 @@ def test_sample_is_repeatable(scored):
     first = ops.fare_prediction_sample(scored).collect()
     assert len(first) == 10
     assert first == ops.fare_prediction_sample(scored.repartition(5)).collect()
-
-
-def test_fit_leaves_nothing_persisted(spark, parts):
-    before = spark.sparkContext._jsc.getPersistentRDDs().size()
-    ops.fit_fare_model(parts[0], trees=1)
-    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before

@@ -39,6 +39,17 @@ def test_read_trips_names_missing_columns(spark, tmp_path):
         read_trips(spark, f"{tmp_path}/t")
 
 
+def test_other_layouts_keep_what_they_have(spark, tmp_path):
+    older = frame(spark, [trip()]).drop("cbd_congestion_fee").withColumn("ehail_fee", F.lit(1))
+    older.write.parquet(f"{tmp_path}/t")
+    with pytest.raises(ValueError, match="cbd_congestion_fee"):
+        read_trips(spark, f"{tmp_path}/t")
+    assert read_trips(spark, f"{tmp_path}/t", strict=False).columns == older.columns
+    older.drop("tip_amount").write.parquet(f"{tmp_path}/u")
+    with pytest.raises(ValueError, match="tip_amount"):
+        read_trips(spark, f"{tmp_path}/u", strict=False)
+
+
 def test_times_with_a_zone_become_wall_clock(spark, tmp_path):
     zoned = frame(spark, [trip()]).withColumn(
         "tpep_pickup_datetime", F.col("tpep_pickup_datetime").cast("timestamp")
