@@ -32,6 +32,7 @@ from kerbside.operators.heatmap import (
     heatmap_kpis,
     heatmap_pivot,
     heatmap_top_zones,
+    keep_busiest,
 )
 from kerbside.operators.payments import (
     payment_comparison,

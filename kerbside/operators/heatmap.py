@@ -31,6 +31,12 @@ def heatmap_top_zones(heat: DataFrame, k: int = 15) -> DataFrame:
     return top_k(count_by(heat, ["PULocationID"]), "n", k, ["PULocationID"])
 
 
+def keep_busiest(heat: DataFrame, key: str, n: int) -> DataFrame:
+    """The cells whose ``key`` is among the ``n`` with most trips."""
+    busiest = top_k(count_by(heat, [key]), "n", n, [key]).select(key)
+    return heat.join(busiest, key, "left_semi")
+
+
 def heatmap_pivot(
     heat: DataFrame,
     rows: str,
@@ -46,8 +52,7 @@ def heatmap_pivot(
     ``top_n`` keeps the busiest of the row keys.
     """
     if top_n is not None:
-        busiest = top_k(count_by(heat, [rows]), "n", top_n, [rows]).select(rows)
-        heat = heat.join(busiest, rows, "left_semi")
+        heat = keep_busiest(heat, rows, top_n)
     pivot = heat.groupBy(rows).pivot(columns, None if values is None else list(values)).sum("n")
     cells = [name for name in pivot.columns if name != rows]
     return pivot.select(

@@ -159,7 +159,12 @@ _ML = (
 )
 
 ORACLE: dict[str, str] = {
-    "scan_trips": _sql("raw", f"SELECT {', '.join(_TRIP_NAMES)} FROM t"),
+    "scan_trips": _sql(
+        "raw",
+        f"SELECT {', '.join(_TRIP_NAMES)} FROM (SELECT * REPLACE "
+        "(CAST(passenger_count AS DOUBLE) AS passenger_count, "
+        "CAST(RatecodeID AS DOUBLE) AS RatecodeID) FROM t)",
+    ),
     "zone_lookup": _sql("raw", "SELECT LocationID, Borough, Zone FROM zones"),
     "heatmap_csv_roundtrip": _sql("timed", "SELECT * FROM heat", _HEAT),
     "published_results": _sql(
