@@ -9,6 +9,7 @@ from kerbside.sources import (
     read_heatmap,
     read_trips,
     read_zone_lookup,
+    release_stored,
     write_heatmap,
     write_results,
 )
@@ -49,6 +50,7 @@ def main(arguments: list[str] | None = None) -> None:
     else:
         results = TRIP_REPORTS[options.report](trips())
     write_results(results, options.out)
+    release_stored(spark)
 
 
 if __name__ == "__main__":

@@ -3,6 +3,7 @@ from kerbside.functions.derive import (
     pickup_hour,
     pickup_time,
     pickup_weekday,
+    tip_ratio,
     trip_minutes,
     trip_seconds,
     trip_speed,

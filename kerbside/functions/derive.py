@@ -34,6 +34,11 @@ def trip_speed() -> Column:
     return F.try_divide(F.col("trip_distance"), trip_minutes() / 60)
 
 
+def tip_ratio() -> Column:
+    """Tip over fare; null without a fare."""
+    return F.try_divide(F.col("tip_amount"), F.col("fare_amount"))
+
+
 def pickup_hour() -> Column:
     return F.hour(pickup_time())
 
@@ -79,10 +84,9 @@ def with_length_class(
 
 def with_tip_ratio(trips: DataFrame, as_percent: bool = False) -> DataFrame:
     """``tip_ratio``, or with ``as_percent`` ``tip_percentage``, 0 where no fare was paid."""
-    ratio = F.try_divide(F.col("tip_amount"), F.col("fare_amount"))
     if not as_percent:
-        return trips.withColumn("tip_ratio", ratio)
-    percent = F.when(F.col("fare_amount") > 0, ratio * 100).otherwise(0.0)
+        return trips.withColumn("tip_ratio", tip_ratio())
+    percent = F.when(F.col("fare_amount") > 0, tip_ratio() * 100).otherwise(0.0)
     return trips.withColumn("tip_percentage", percent)
 
 

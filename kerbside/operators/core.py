@@ -11,7 +11,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.functions.derive import pickup_hour, pickup_weekday, trip_speed
+from kerbside.functions.derive import pickup_hour, pickup_weekday, tip_ratio, trip_speed
 
 DERIVED_KEYS: dict[str, Callable[[], Column]] = {
     "hour": pickup_hour,
@@ -22,7 +22,7 @@ MEASURES: dict[str, Callable[[], Column]] = {
     "distance": lambda: F.col("trip_distance"),
     "speed": trip_speed,
     "tip": lambda: F.col("tip_amount"),
-    "tip_ratio": lambda: F.try_divide(F.col("tip_amount"), F.col("fare_amount")),
+    "tip_ratio": tip_ratio,
     "total": lambda: F.col("total_amount"),
 }
 
@@ -48,22 +48,25 @@ def tally(
     return with_keys(trips, keys).groupBy(*keys).agg(*parts)
 
 
+def is_tally(df: DataFrame) -> bool:
+    """Whether rows stand for ``n`` trips each."""
+    return "n" in df.columns and "tpep_pickup_datetime" not in df.columns
+
+
 def row_count(df: DataFrame) -> Column:
     """Aggregate: trips in the group."""
-    return F.sum("n") if "n" in df.columns else F.count("*")
+    return F.sum("n") if is_tally(df) else F.count("*")
 
 
 def sum_of(df: DataFrame, measure: str) -> Column:
     """Aggregate: sum of a measure."""
-    summed = f"{measure}_sum"
-    return F.sum(summed) if summed in df.columns else F.sum(MEASURES[measure]())
+    return F.sum(f"{measure}_sum") if is_tally(df) else F.sum(MEASURES[measure]())
 
 
 def mean_of(df: DataFrame, measure: str) -> Column:
     """Aggregate: mean of a measure over the trips that have it."""
-    summed = f"{measure}_sum"
-    if summed in df.columns:
-        return F.try_divide(F.sum(summed), F.sum(f"{measure}_count"))
+    if is_tally(df):
+        return F.try_divide(F.sum(f"{measure}_sum"), F.sum(f"{measure}_count"))
     return F.avg(MEASURES[measure]())
 
 
@@ -86,7 +89,7 @@ def mean_by(df: DataFrame, keys: Sequence[str], measure: str, out: str, scale: i
 def count_flags(df: DataFrame, flags: Mapping[str, Column]) -> DataFrame:
     """One row, one count per flag, all in one pass."""
     counts = [
-        F.coalesce(F.sum(name), F.lit(0)) if name in df.columns else F.count_if(flag)
+        F.coalesce(F.sum(name), F.lit(0)) if is_tally(df) else F.count_if(flag)
         for name, flag in flags.items()
     ]
     return df.agg(*[count.alias(name) for name, count in zip(flags, counts)])

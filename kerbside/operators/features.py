@@ -31,12 +31,15 @@ def with_zone_frequency(
     ``max_broadcast_rows`` take a shuffled join, with both sides plain scans, so
     adaptive execution can split hot zones. Counting runs when this is called.
     """
-    counts = stored(count_by(trips, [key]), "zone-counts").select(
-        F.col(key).alias("_zone"), F.col("n").alias("zone_trip_frequency")
-    )
-    if counts.count() <= max_broadcast_rows:
-        counts = F.broadcast(counts)
-    return trips.join(counts, trips[key].eqNullSafe(counts["_zone"]), "left").drop("_zone")
+    counts = stored(count_by(trips, [key]), "zone-counts")
+    zones, without_zone = counts.agg(
+        F.count("*"), F.max(F.when(F.col(key).isNull(), F.col("n")))
+    ).first()
+    counts = counts.withColumnRenamed("n", "zone_trip_frequency")
+    counted = trips.join(F.broadcast(counts) if zones <= max_broadcast_rows else counts, key, "left")
+    # A null key joins nothing: its count goes in as a value, and the join stays on a plain id.
+    frequency = F.coalesce("zone_trip_frequency", F.lit(without_zone).cast("bigint"))
+    return counted.select(*trips.columns, frequency.alias("zone_trip_frequency"))
 
 
 def feature_table(trips: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from kerbside.sources.readers import conform_trips, read_trips, read_zone_lookup
 from kerbside.sources.schema import TRIP_SCHEMA
-from kerbside.sources.shared import fresh_path
+from kerbside.sources.shared import fresh_path, shuffles_sized_for
 from kerbside.sources.sinks import write_csv
 
 _AMOUNTS = (
@@ -164,7 +164,8 @@ def trips_table(spark: SparkSession, tables: str) -> DataFrame:
         trips, cores = mapped_trips(spark, tables), spark.sparkContext.defaultParallelism
         if files < cores and size < cores * _BYTES_PER_TASK:
             trips = trips.repartition(cores)
-        trips.write.parquet(path)
+        with shuffles_sized_for(spark, size):
+            trips.write.parquet(path)
 
     path = _written_once(spark, tables, "trips", ["lineitem", "orders"], write)
     return read_trips(spark, path, TRIP_SCHEMA)

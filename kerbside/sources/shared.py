@@ -2,9 +2,18 @@
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Tables written by ``stored`` and not yet released.
+_kept: list[str] = []
+
+# Input bytes per shuffle partition, and the most partitions worth tracking.
+_BYTES_PER_SHUFFLE_PARTITION = 256 * 1024 * 1024
+_MAX_SHUFFLE_PARTITIONS = 20_000
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, from ``spark.checkpoint.dir``.
@@ -32,4 +41,30 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as parquet in the shared folder and read back."""
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
+    _kept.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release_stored(spark: SparkSession) -> None:
+    """Delete the tables that ``stored`` has written. Frames that read them are void then."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    while _kept:
+        path = hadoop.Path(_kept.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def shuffles_sized_for(spark: SparkSession, size: int) -> Iterator[None]:
+    """More shuffle partitions while ``size`` bytes of input are shuffled whole.
+
+    The session's number is never lowered: adaptive execution joins what is too small,
+    but it does not divide partitions that are all too large.
+    """
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    wanted = min(size // _BYTES_PER_SHUFFLE_PARTITION, _MAX_SHUFFLE_PARTITIONS)
+    spark.conf.set(key, str(max(wanted, int(before))))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

@@ -198,3 +198,8 @@ def test_a_tally_gives_what_the_trips_give(spark):
         (3, None),
     ]
     assert rows(ops.count_all(tally)) == rows(ops.count_all(trips)) == [(4,)]
+
+
+def test_a_trip_column_called_n_is_no_count(spark):
+    trips = frame(spark, [trip(), trip()]).withColumn("n", F.lit(50))
+    assert rows(ops.count_by(trips, ["PULocationID"])) == [(1, 2)]

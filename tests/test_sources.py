@@ -1,4 +1,6 @@
 from datetime import datetime
+from pathlib import Path
+from urllib.parse import urlparse
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +13,9 @@ from kerbside.sources import (
     read_heatmap,
     read_trips,
     read_zone_lookup,
+    release_stored,
     shared_folder,
+    shuffles_sized_for,
     stored,
     trips_table,
     write_heatmap,
@@ -104,6 +108,23 @@ def test_stored_keeps_rows_and_types(spark):
     assert stored(df, "kept").inputFiles() != kept.inputFiles()
 
 
+def test_stored_tables_can_be_released(spark):
+    kept = stored(spark.range(3), "kept")
+    folder = Path(urlparse(kept.inputFiles()[0]).path).parent
+    assert folder.exists()
+    release_stored(spark)
+    assert not folder.exists()
+
+
+def test_shuffle_partitions_grow_with_the_input_and_come_back(spark):
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    for size, expected in ((10, before), (10**12, "3725"), (10**14, "20000")):
+        with shuffles_sized_for(spark, size):
+            assert spark.conf.get(key) == expected
+        assert spark.conf.get(key) == before
+
+
 def _order_tables(spark, folder, lines):
     spark.createDataFrame(
         [(1, 10, 20, 1 + i % 7, 4.0, 1000.0, 0.05, "F") for i in range(lines)],
