@@ -17,6 +17,7 @@ from kerbside.operators.fare_model import (
     fit_fare_model,
     ml_dataset,
     split,
+    split_counts,
 )
 from kerbside.operators.features import (
     anomaly_counts,

@@ -3,7 +3,7 @@
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kerbside.functions.derive import with_calendar
@@ -26,17 +26,26 @@ def ml_dataset(trips: DataFrame) -> DataFrame:
     return with_calendar(trips).select(*MODEL_COLUMNS).na.drop()
 
 
-def split(
-    df: DataFrame, test_share: float = 0.2, seed: int = 1234
-) -> tuple[DataFrame, DataFrame]:
-    """Train and test rows, told apart by a hash of the whole row.
+def is_test_row(df: DataFrame, test_share: float = 0.2, seed: int = 1234) -> Column:
+    """Whether a row belongs to the test part, told by a hash of the whole row."""
+    bucket = F.pmod(F.xxhash64(F.lit(seed), *df.columns), F.lit(10_000))
+    return bucket < round(test_share * 10_000)
+
+
+def split(df: DataFrame, test_share: float = 0.2, seed: int = 1234) -> tuple[DataFrame, DataFrame]:
+    """Train and test rows.
 
     The parts are exact complements however the rows are spread or recomputed after an
     executor is lost. Equal rows fall on the same side, so no test row was trained on.
     """
-    bucket = F.pmod(F.xxhash64(F.lit(seed), *df.columns), F.lit(10_000))
-    edge = round(test_share * 10_000)
-    return df.filter(bucket >= edge), df.filter(bucket < edge)
+    is_test = is_test_row(df, test_share, seed)
+    return df.filter(~is_test), df.filter(is_test)
+
+
+def split_counts(df: DataFrame, test_share: float = 0.2, seed: int = 1234) -> DataFrame:
+    """``part`` and its rows ``n``, from one pass."""
+    part = F.when(is_test_row(df, test_share, seed), "test").otherwise("train")
+    return count_by(df.select(part.alias("part")), ["part"])
 
 
 def day_indexer() -> StringIndexer:

@@ -134,12 +134,6 @@ def heatmap_top_n(trips: DataFrame) -> DataFrame:
     return ops.heatmap_pivot(heat, "PULocationID", "hour", HOURS, "h", top_n=15)
 
 
-def split_counts(trips: DataFrame) -> DataFrame:
-    train, test = ops.split(ops.ml_dataset(trips))
-    parts = train.select(F.lit("train").alias("part")).unionAll(test.select(F.lit("test").alias("part")))
-    return parts.groupBy("part").agg(F.count("*").alias("n"))
-
-
 def _scored(trips: DataFrame) -> tuple[DataFrame, DataFrame]:
     train, test = ops.split(ops.ml_dataset(trips))
     return ops.fare_predictions(ops.fit_fare_model(train), test), train
@@ -214,7 +208,7 @@ QUERIES: dict[str, Query] = {
     "heatmap_top_n": _over(timed, heatmap_top_n),
     # fare model
     "ml_dataset": _over(model, ops.ml_dataset),
-    "split_counts": _over(model, split_counts),
+    "split_counts": _over(model, lambda t: ops.split_counts(ops.ml_dataset(t))),
     "day_index": _over(model, lambda t: ops.day_index(ops.ml_dataset(t))),
     "fare_predictions": _over(model, fare_predictions),
     "fare_model_metrics": _over(model, fare_model_metrics),

@@ -35,6 +35,11 @@ def test_split_is_a_complement_whatever_the_partitions(dataset, parts):
     assert not other.exceptAll(test).isEmpty()
 
 
+def test_split_counts(dataset, parts):
+    counts = {r["part"]: r["n"] for r in ops.split_counts(dataset).collect()}
+    assert counts == {"train": parts[0].count(), "test": parts[1].count()}
+
+
 def test_split_share(dataset):
     _, half = ops.split(dataset, test_share=0.5)
     assert half.count() / dataset.count() == pytest.approx(0.5, abs=0.01)
