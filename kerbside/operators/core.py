@@ -80,7 +80,9 @@ def count_by(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return with_keys(df, keys).groupBy(*keys).agg(row_count(df).alias("n"))
 
 
-def mean_by(df: DataFrame, keys: Sequence[str], measure: str, out: str, scale: int = 2) -> DataFrame:
+def mean_by(
+    df: DataFrame, keys: Sequence[str], measure: str, out: str, scale: int = 2
+) -> DataFrame:
     """Keys and the rounded mean of a measure."""
     mean = F.round(mean_of(df, measure), scale)
     return with_keys(df, keys).groupBy(*keys).agg(mean.alias(out))
@@ -95,7 +97,9 @@ def count_flags(df: DataFrame, flags: Mapping[str, Column]) -> DataFrame:
     return df.agg(*[count.alias(name) for name, count in zip(flags, counts)])
 
 
-def numeric_stats(df: DataFrame, columns: Mapping[str, Column], scale: int | None = None) -> DataFrame:
+def numeric_stats(
+    df: DataFrame, columns: Mapping[str, Column], scale: int | None = None
+) -> DataFrame:
     """``summary`` (count, mean, stddev, min, max) by column, in one pass.
 
     All figures are doubles; ``stddev`` is the sample deviation. ``scale`` rounds the

@@ -81,8 +81,12 @@ def fare_predictions(model: PipelineModel, test: DataFrame) -> DataFrame:
 def fare_model_metrics(predictions: DataFrame, train: DataFrame) -> DataFrame:
     """Row counts of both parts, root mean squared error and R² on the test part."""
     empty = F.lit(None).cast("double")
-    scored = predictions.select(F.col(LABEL).alias("actual"), "prediction", F.lit(1).alias("is_test"))
-    trained = train.select(empty.alias("actual"), empty.alias("prediction"), F.lit(0).alias("is_test"))
+    scored = predictions.select(
+        F.col(LABEL).alias("actual"), "prediction", F.lit(1).alias("is_test")
+    )
+    trained = train.select(
+        empty.alias("actual"), empty.alias("prediction"), F.lit(0).alias("is_test")
+    )
     error = F.avg(F.pow(F.col("actual") - F.col("prediction"), 2))
     return scored.unionAll(trained).agg(
         F.count_if(F.col("is_test") == 0).alias("train_rows"),

@@ -36,7 +36,9 @@ def with_zone_frequency(
         F.count("*"), F.max(F.when(F.col(key).isNull(), F.col("n")))
     ).first()
     counts = counts.withColumnRenamed("n", "zone_trip_frequency")
-    counted = trips.join(F.broadcast(counts) if zones <= max_broadcast_rows else counts, key, "left")
+    if zones <= max_broadcast_rows:
+        counts = F.broadcast(counts)
+    counted = trips.join(counts, key, "left")
     # A null key joins nothing: its count goes in as a value, and the join stays on a plain id.
     frequency = F.coalesce("zone_trip_frequency", F.lit(without_zone).cast("bigint"))
     return counted.select(*trips.columns, frequency.alias("zone_trip_frequency"))

@@ -132,7 +132,11 @@ _BYTES_PER_TASK = 128 * 1024 * 1024
 
 
 def _written_once(
-    spark: SparkSession, tables: str, name: str, inputs: list[str], write: Callable[[str, int, int], None]
+    spark: SparkSession,
+    tables: str,
+    name: str,
+    inputs: list[str],
+    write: Callable[[str, int, int], None],
 ) -> str:
     """The path of a table derived from ``inputs``, written anew when one has changed.
 
