@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from kerbside.sources.readers import conform_trips, read_trips, read_zone_lookup
 from kerbside.sources.schema import TRIP_SCHEMA
-from kerbside.sources.shared import fresh_path, shuffles_sized_for
+from kerbside.sources.shared import fresh_path, shuffles_sized_for, still_there
 from kerbside.sources.sinks import write_csv
 
 _AMOUNTS = (
@@ -138,7 +138,8 @@ def _written_once(
     inputs: list[str],
     write: Callable[[str, int, int], None],
 ) -> str:
-    """The path of a table derived from ``inputs``, written anew when one has changed.
+    """The path of a table derived from ``inputs``, written anew when one has changed or
+    the table is gone.
 
     ``write`` gets the path, and the number of files and bytes of the inputs.
     """
@@ -147,11 +148,12 @@ def _written_once(
         files.agg(F.count("*"), F.sum("length"), F.max("modificationTime").cast("string")).first()
     )
     key = (spark.sparkContext.applicationId, tables, name)
-    if _written.get(key, (None, None))[0] != state:
+    known, path = _written.get(key, (None, None))
+    if known != state or not still_there(spark, path):
         path = fresh_path(spark, name)
         write(path, *state[:2])
         _written[key] = (state, path)
-    return _written[key][1]
+    return path
 
 
 def trips_table(spark: SparkSession, tables: str) -> DataFrame:

@@ -45,12 +45,23 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    """The file system that holds ``path``, and the path as it takes it."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
+
+
+def still_there(spark: SparkSession, path: str) -> bool:
+    """Whether a table written to ``path`` has not been cleared away."""
+    files, location = _file_system(spark, path)
+    return files.exists(location)
+
+
 def release_stored(spark: SparkSession) -> None:
     """Delete the tables that ``stored`` has written. Frames that read them are void then."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
     while _kept:
-        path = hadoop.Path(_kept.pop())
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        files, path = _file_system(spark, _kept.pop())
+        files.delete(path, True)
 
 
 @contextmanager

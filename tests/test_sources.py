@@ -142,6 +142,12 @@ def test_trips_are_written_once_and_anew_when_the_tables_change(spark, tmp_path)
     assert trips_table(spark, str(tmp_path)).inputFiles() == first.inputFiles()
     assert first.count() == 3
     _order_tables(spark, str(tmp_path), 50)
+    second = trips_table(spark, str(tmp_path))
+    assert second.count() == 50
+    folder = Path(urlparse(second.inputFiles()[0]).path).parent
+    for file in folder.iterdir():
+        file.unlink()
+    folder.rmdir()
     assert trips_table(spark, str(tmp_path)).count() == 50
 
 
