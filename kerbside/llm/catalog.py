@@ -2,8 +2,10 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from kerbside.llm.bpe import Vocabulary, token_digests
 from kerbside.llm.licenses import scan_licenses
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -13,11 +15,20 @@ def documents(spark: SparkSession, tables: str) -> DataFrame:
     return spark.read.parquet(f"{tables}/documents.parquet")
 
 
+def vocabulary(spark: SparkSession, path: str | None = None) -> Vocabulary:
+    return Vocabulary(spark, path or public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op9_license_scan(spark: SparkSession, tables: str) -> DataFrame:
     return scan_licenses(documents(spark, tables))
 
 
+def op7_bpe_tokens(spark: SparkSession, tables: str) -> DataFrame:
+    return token_digests(documents(spark, tables), vocabulary(spark))
+
+
 QUERIES: dict[str, Query] = {
+    "op7_bpe_tokens": op7_bpe_tokens,
     "op9_license_scan": op9_license_scan,
 }
 
