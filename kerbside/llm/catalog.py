@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from kerbside.llm.bpe import Vocabulary, token_digests
 from kerbside.llm.licenses import scan_licenses
+from kerbside.llm.minhash import near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,11 +24,16 @@ def op9_license_scan(spark: SparkSession, tables: str) -> DataFrame:
     return scan_licenses(documents(spark, tables))
 
 
+def op3_minhash_dedup(spark: SparkSession, tables: str) -> DataFrame:
+    return near_duplicates(documents(spark, tables))
+
+
 def op7_bpe_tokens(spark: SparkSession, tables: str) -> DataFrame:
     return token_digests(documents(spark, tables), vocabulary(spark))
 
 
 QUERIES: dict[str, Query] = {
+    "op3_minhash_dedup": op3_minhash_dedup,
     "op7_bpe_tokens": op7_bpe_tokens,
     "op9_license_scan": op9_license_scan,
 }
