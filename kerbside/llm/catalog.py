@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from kerbside.llm.bpe import Vocabulary, token_digests
 from kerbside.llm.licenses import scan_licenses
 from kerbside.llm.minhash import near_duplicates
+from kerbside.llm.mixing import ORACLE as MIXING_ORACLE
+from kerbside.llm.mixing import mix_sources
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +26,10 @@ def op9_license_scan(spark: SparkSession, tables: str) -> DataFrame:
     return scan_licenses(documents(spark, tables))
 
 
+def op2_poisson_mix(spark: SparkSession, tables: str) -> DataFrame:
+    return mix_sources(documents(spark, tables))
+
+
 def op3_minhash_dedup(spark: SparkSession, tables: str) -> DataFrame:
     return near_duplicates(documents(spark, tables))
 
@@ -33,9 +39,10 @@ def op7_bpe_tokens(spark: SparkSession, tables: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_poisson_mix": op2_poisson_mix,
     "op3_minhash_dedup": op3_minhash_dedup,
     "op7_bpe_tokens": op7_bpe_tokens,
     "op9_license_scan": op9_license_scan,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op2_poisson_mix": MIXING_ORACLE}
