@@ -10,6 +10,7 @@ from kerbside.llm.licenses import scan_licenses
 from kerbside.llm.minhash import near_duplicates
 from kerbside.llm.mixing import ORACLE as MIXING_ORACLE
 from kerbside.llm.mixing import mix_sources
+from kerbside.llm.personal import find_personal_data, personal_data_digest
 from kerbside.llm.toxicity import score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +36,10 @@ def op3_minhash_dedup(spark: SparkSession, tables: str) -> DataFrame:
     return near_duplicates(documents(spark, tables))
 
 
+def op4_personal_data(spark: SparkSession, tables: str) -> DataFrame:
+    return personal_data_digest(find_personal_data(documents(spark, tables)))
+
+
 def op5_toxicity(spark: SparkSession, tables: str) -> DataFrame:
     labels = spark.read.parquet(f"{tables}/labels.parquet")
     return score_toxicity(documents(spark, tables), labels)
@@ -47,6 +52,7 @@ def op7_bpe_tokens(spark: SparkSession, tables: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_poisson_mix": op2_poisson_mix,
     "op3_minhash_dedup": op3_minhash_dedup,
+    "op4_personal_data": op4_personal_data,
     "op5_toxicity": op5_toxicity,
     "op7_bpe_tokens": op7_bpe_tokens,
     "op9_license_scan": op9_license_scan,
