@@ -7,11 +7,10 @@
 3. In a task, signatures are compared batch by batch. After each batch a pair goes as soon as the
    posterior probability of a similarity of 0.75 or more is below the chosen miss probability. A
    pair is looked at in the first band it shares and nowhere else.
-4. Survivors are confirmed on full shingle sets, made from the texts again. A block with more
-   survivors than four per member hands out a spanning forest of its strongest pairs first; where
-   one of those fails, the block is gone through again, until what is left untested lies within
-   components already confirmed. So no pair within a large group of copies need be written, and
-   no link is lost.
+4. Survivors are confirmed on full shingle sets, made from the texts again. Where a block has more
+   survivors than four per member, its members' sets go to the block's task instead, which counts
+   all intersections at once and hands out a spanning forest of the confirmed pairs. So no pair
+   within a large group of copies need be written, and no link is lost.
 
 Null or empty text has no shingles and is linked with nothing; so is a row with a null id, which
 stays as it is. Ids are expected to be unique; rows that repeat one are kept, each placed by its
@@ -33,7 +32,7 @@ from kerbside.sources import stored
 
 HASHES, BANDS, BATCH = 128, 32, 32
 # Most members of a bucket that a task holds from each of two blocks.
-BLOCK = 512
+BLOCK = 256
 
 _seeds = mix(np.arange(1, 2 * HASHES + 1, dtype=np.uint64))
 _XOR = (_seeds[:HASHES] >> np.uint64(32)).astype(np.uint32)
@@ -107,32 +106,45 @@ def fewest_matches(threshold: float, miss: float) -> list[int]:
     return needed
 
 
-def spanning_forest(strength: np.ndarray, parts: np.ndarray) -> list[tuple[int, int]]:
-    """Strongest pairs that join the members of a block (0: no pair), growing one tree after the
-    other. ``parts`` are known components; no pair within one is taken."""
-    size = len(parts)
-    best, via = np.zeros(size, np.int32), np.full(size, -1)
-    left, taken = np.ones(size, bool), []
-    for _ in range(size):
-        if not left.any():
-            break
-        node = int(np.argmax(np.where(left, best, -1)))
-        if best[node] > 0 and parts[node] != parts[via[node]]:
-            taken.append((int(via[node]), node))
-        same = left & (parts == parts[node])
-        left &= ~same
-        for member in np.flatnonzero(same):
-            stronger = left & (strength[member] > best)
-            best[stronger] = strength[member][stronger]
-            via[stronger] = member
-        best[~left] = 0
+def spanning_forest(linked: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs that join what a symmetric table of links joins, one tree after the other."""
+    left, taken = np.ones(len(linked), bool), []
+    for root in range(len(linked)):
+        queue = [root] if left[root] else []
+        left[root] = False
+        while queue:
+            node = queue.pop()
+            near = np.flatnonzero(linked[node] & left)
+            left[near] = False
+            taken += [(node, int(other)) for other in near]
+            queue += near.tolist()
     return taken
 
 
+def intersections(sets: list[np.ndarray], chunk: int = 4096) -> np.ndarray:
+    """Sizes of all intersections of some sets, from products of chunks of their incidence."""
+    owner = np.repeat(np.arange(len(sets)), [len(each) for each in sets])
+    _, column, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = held[column] > 1
+    _, column = np.unique(column[shared], return_inverse=True)
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[shared][order], column[order]
+    sizes = np.zeros((len(sets), len(sets)), np.float32)
+    for start in range(0, int(column[-1]) + 1 if len(column) else 0, chunk):
+        part = slice(*np.searchsorted(column, [start, start + chunk]))
+        incidence = np.zeros((len(sets), chunk), np.float32)
+        incidence[owner[part], column[part] - start] = 1
+        sizes += incidence @ incidence.T
+    return sizes.astype(np.int64)
+
+
+_GROUP = ["band", "key", "low", "high"]
+_PAIR_SCHEMA = "band int, key long, low int, high int, a long, b long"
+
+
 class _PairFinder:
-    """Surviving pairs of whole buckets: all of a small or sparse one, a forest of a dense one."""
+    """Surviving pairs of whole blocks. Of a dense block only its key, with -1 for the pair."""
 
-    KEYS = ("band", "key", "low", "high")
     # A group of nine has four pairs per member, so it is never dense.
     SMALL = 9
 
@@ -140,9 +152,9 @@ class _PairFinder:
         self.percent = round(100 * threshold)
         self.needed = fewest_matches(threshold, miss)
 
-    def survivors(self, rows: dict, a: np.ndarray, b: np.ndarray):
+    def survivors(self, rows: dict, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         small, large = np.minimum(rows["n"][a], rows["n"][b]), np.maximum(rows["n"][a], rows["n"][b])
-        keep = (rows["part"][a] != rows["part"][b]) & (100 * small >= self.percent * large)
+        keep = (rows["id"][a] != rows["id"][b]) & (100 * small >= self.percent * large)
         keep &= (rows["low"][a] == rows["high"][a]) | (rows["block"][a] != rows["block"][b])
         a, b = a[keep], b[keep]
         matches = np.zeros(len(a), np.int64)
@@ -155,53 +167,46 @@ class _PairFinder:
         # The first band that two signatures share is the one that they are looked at in.
         first = np.argmax(rows["bands"][a] == rows["bands"][b], axis=1) if len(a) else a
         keep = first == rows["band"][a]
-        return a[keep], b[keep], matches[keep]
-
-    def untested(self, rows: dict, tested: set, a, b, matches):
-        if tested:
-            ids = rows["id"]
-            pairs = zip(ids[a].tolist(), ids[b].tolist())
-            keep = np.array([(min(p), max(p)) not in tested for p in pairs], bool)
-            a, b, matches = a[keep], b[keep], matches[keep]
-        return a, b, matches
-
-    def large_group(self, rows: dict) -> tuple[np.ndarray, np.ndarray, bool]:
-        tested = set(zip(rows["id"][rows["tested"]].tolist(), rows["other"][rows["tested"]].tolist()))
-        members = np.flatnonzero(~rows["tested"])
-        a, b = np.triu_indices(len(members), 1)
-        found = self.survivors(rows, members[a], members[b])
-        a, b, matches = self.untested(rows, tested, *found)
-        if len(a) <= 4 * len(members):
-            return a, b, False
-        at = np.full(len(rows["id"]), -1)
-        at[members] = np.arange(len(members))
-        strength = np.zeros((len(members), len(members)), np.int32)
-        strength[at[a], at[b]] = strength[at[b], at[a]] = matches
-        parts = np.unique(rows["part"][members], return_inverse=True)[1]
-        chosen = np.array(spanning_forest(strength, parts), np.int64).reshape(-1, 2)
-        return members[chosen[:, 0]], members[chosen[:, 1]], True
+        return a[keep], b[keep]
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, starts in whole_groups(batches, self.KEYS):
+        for rows, starts in whole_groups(batches, _GROUP):
             sizes = np.diff(np.append(starts, len(rows["id"])))
-            has_tested = np.logical_or.reduceat(rows["tested"], starts)
-            small = (sizes <= self.SMALL) & ~has_tested
-            found = [(*self.survivors(rows, *pairs_within(starts[small], sizes[small]))[:2], False)]
+            small = sizes <= self.SMALL
+            found = [self.survivors(rows, *pairs_within(starts[small], sizes[small]))]
+            dense = []
             for start, size in zip(starts[~small], sizes[~small]):
-                part = {name: values[start : start + size] for name, values in rows.items()}
-                a, b, dense = self.large_group(part)
-                found.append((a + start, b + start, dense))
-            for a, b, dense in found:
-                first, second = rows["id"][a], rows["id"][b]
-                columns = [rows[key][a] for key in self.KEYS]
-                columns += [np.minimum(first, second), np.maximum(first, second)]
-                arrays = [pa.array(column) for column in columns]
-                arrays.append(pa.array(np.full(len(a), dense)))
-                yield pa.RecordBatch.from_arrays(arrays, names=[*self.KEYS, "a", "b", "dense"])
-
-
-_PAIR_SCHEMA = "band int, key long, low int, high int, a long, b long, dense boolean"
-_GROUP = ["band", "key", "low", "high"]
+                a, b = self.survivors(rows, *(start + at for at in np.triu_indices(size, 1)))
+                if len(a) > 4 * size:
+                    dense.append(start)
+                else:
+                    found.append((a, b))
+            a, b = (np.concatenate(each).astype(np.int64) for each in zip(*found))
+            at = np.concatenate([a, np.array(dense, np.int64)])
+            first, second, none = rows["id"][a], rows["id"][b], np.full(len(dense), -1)
+            columns = [rows[key][at] for key in _GROUP]
+            columns.append(np.concatenate([np.minimum(first, second), none]))
+            columns.append(np.concatenate([np.maximum(first, second), none]))
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=[*_GROUP, "a", "b"])
+
+
+class _DenseBlocks(_PairFinder):
+    """Spanning forests of the confirmed pairs of dense blocks, whose rows carry their sets."""
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, starts in whole_groups(batches, _GROUP):
+            for start, end in zip(starts, np.append(starts[1:], len(rows["id"]))):
+                own = {name: values[start:end] for name, values in rows.items()}
+                a, b = self.survivors(own, *np.triu_indices(end - start, 1))
+                sets = [np.frombuffer(each, np.uint64) for each in own["set"]]
+                size, both = np.array(list(map(len, sets))), intersections(sets)
+                union = size[a] + size[b] - both[a, b]
+                keep = 100 * both[a, b] >= self.percent * union
+                linked = np.zeros((len(sets), len(sets)), bool)
+                linked[a[keep], b[keep]] = linked[b[keep], a[keep]] = True
+                pairs = np.array(spanning_forest(linked), np.int64).reshape(-1, 2)
+                columns = [pa.array(own["id"][pairs[:, side]]) for side in (0, 1)]
+                yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
 
 
 def _blocks(nodes: DataFrame) -> DataFrame:
@@ -227,24 +232,9 @@ def _blocks(nodes: DataFrame) -> DataFrame:
     )
 
 
-def _find_pairs(
-    blocks: DataFrame, nodes: DataFrame, finder: _PairFinder, tested: DataFrame | None = None
-) -> DataFrame:
-    """Surviving pairs of the blocks. ``nodes`` has each member's component ``part``."""
-    rows = blocks.join(nodes, "id").select(
-        *_GROUP, "block", "id", "n", "bands", "part",
-        F.lit(False).alias("tested"), F.lit(0).cast("bigint").alias("other"),
-    )
-    if tested is not None:
-        none = F.array_repeat(F.lit(0).cast("bigint"), BANDS)
-        zero = F.lit(0).cast("bigint")
-        rows = rows.unionAll(
-            tested.select(
-                *_GROUP, F.lit(0), F.col("a"), zero, none, zero, F.lit(True), F.col("b")
-            )
-        )
-    dealt = rows.repartition(*_GROUP).sortWithinPartitions(*_GROUP)
-    return dealt.mapInArrow(finder, _PAIR_SCHEMA)
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Each block whole in one task, its rows together."""
+    return rows.repartition(*_GROUP).sortWithinPartitions(*_GROUP)
 
 
 def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -274,19 +264,33 @@ def _confirmer(percent: int):
     return confirm
 
 
-def _confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """``a``, ``b`` and ``linked``, from the full sets of both texts."""
-    pairs = stored(pairs.select("a", "b").distinct(), "pairs")
-    wanted = pairs.select(F.col("a").alias("id")).unionAll(pairs.select("b")).distinct()
-    sets = texts.join(wanted, "id", "left_semi").select("id", "text")
-    sets = stored(sets.mapInArrow(_shingle_sets, "id long, set binary"), "shingle-sets")
+def _sets(ids: DataFrame, texts: DataFrame) -> DataFrame:
+    """The shingle sets of some documents, stored. A repeated id may have several."""
+    some = texts.join(ids.distinct(), "id", "left_semi").select("id", "text")
+    return stored(some.mapInArrow(_shingle_sets, "id long, set binary"), "shingle-sets")
+
+
+def _links(nodes: DataFrame, texts: DataFrame, threshold: float, miss: float) -> DataFrame:
+    """Confirmed links between nodes: all sparse ones, a forest of each dense block."""
+    blocks = stored(_blocks(nodes), "blocks")
+    rows = blocks.join(nodes, "id").select(*_GROUP, "block", "id", "n", "bands")
+    found = _dealt(rows).mapInArrow(_PairFinder(threshold, miss), _PAIR_SCHEMA)
+    found = stored(found, "surviving-pairs")
+
+    pairs = found.filter("a >= 0").select("a", "b").distinct()
+    dense = blocks.join(found.filter("a < 0").select(*_GROUP), _GROUP, "left_semi")
+    ids = pairs.select(F.col("a").alias("id")).unionAll(pairs.select("b"))
+    sets = _sets(ids.unionAll(dense.select("id")), texts)
+
     first = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("set_a")), "a")
     both = first.join(sets.select(F.col("id").alias("b"), F.col("set").alias("set_b")), "b")
-    tested = both.select("a", "b", "set_a", "set_b").mapInArrow(
-        _confirmer(percent), "a long, b long, linked boolean"
+    confirmed = both.select("a", "b", "set_a", "set_b").mapInArrow(
+        _confirmer(round(100 * threshold)), "a long, b long, linked boolean"
     )
-    # A repeated id has several sets; one that links is enough.
-    return stored(tested.groupBy("a", "b").agg(F.max("linked").alias("linked")), "confirmed")
+    members = dense.join(nodes, "id").join(sets, "id")
+    members = members.select(*_GROUP, "block", "id", "n", "bands", "set")
+    forests = _dealt(members).mapInArrow(_DenseBlocks(threshold, miss), "a long, b long")
+    return confirmed.filter("linked").select("a", "b").unionAll(forests)
 
 
 def near_duplicates(
@@ -300,7 +304,6 @@ def near_duplicates(
 
     ``miss`` is the posterior probability of a link at which a pair of signatures is given up.
     """
-    percent = round(100 * threshold)
     taken = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     signed = stored(
         taken.mapInArrow(
@@ -317,29 +320,7 @@ def near_duplicates(
     nodes = stored(nodes.dropDuplicates(["id", "n", "bands"]), "nodes")
     texts = taken.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("id"), "text")
 
-    finder = _PairFinder(threshold, miss)
-    blocks = stored(_blocks(nodes), "blocks")
-    found = stored(_find_pairs(blocks, nodes.withColumn("part", F.col("id")), finder), "found")
-    verdicts = _confirm(found, texts, percent)
-    while True:
-        parts = connected_components(verdicts.filter("linked"))
-        # Blocks that have handed out a forest only, and a pair of it has failed.
-        failed = found.filter("dense").join(verdicts.filter("NOT linked"), ["a", "b"], "left_semi")
-        again = failed.select(*_GROUP).distinct()
-        if again.isEmpty():
-            break
-        labelled = nodes.join(parts.withColumnRenamed("node", "id"), "id", "left")
-        labelled = labelled.select("id", "n", "bands", F.coalesce("component", "id").alias("part"))
-        tested = found.join(verdicts.filter("NOT linked"), ["a", "b"], "left_semi")
-        tested = tested.join(again, _GROUP, "left_semi")
-        some = blocks.join(again, _GROUP, "left_semi")
-        more = stored(_find_pairs(some, labelled, finder, tested), "found")
-        found = found.filter("dense").unionAll(more)
-        verdicts = stored(
-            verdicts.unionAll(_confirm(more.join(verdicts, ["a", "b"], "left_anti"), texts, percent)),
-            "confirmed",
-        )
-
+    parts = connected_components(_links(nodes, texts, threshold, miss))
     members = classes.join(parts.withColumnRenamed("node", "id"), "id", "left").select(
         "h1", "h2", F.coalesce("component", "id").alias("component_id")
     )
