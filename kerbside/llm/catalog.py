@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from kerbside.llm.bpe import Vocabulary, token_digests
+from kerbside.llm.cap_filters import near_duplicate_vectors
 from kerbside.llm.licenses import scan_licenses
 from kerbside.llm.minhash import near_duplicates
 from kerbside.llm.mixing import ORACLE as MIXING_ORACLE
@@ -28,6 +29,14 @@ def op9_license_scan(spark: SparkSession, tables: str) -> DataFrame:
     return scan_licenses(documents(spark, tables))
 
 
+def embeddings(spark: SparkSession, tables: str) -> DataFrame:
+    return spark.read.parquet(f"{tables}/embeddings.parquet")
+
+
+def op1_cap_filter_dedup(spark: SparkSession, tables: str) -> DataFrame:
+    return near_duplicate_vectors(embeddings(spark, tables))
+
+
 def op2_poisson_mix(spark: SparkSession, tables: str) -> DataFrame:
     return mix_sources(documents(spark, tables))
 
@@ -50,6 +59,7 @@ def op7_bpe_tokens(spark: SparkSession, tables: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_cap_filter_dedup": op1_cap_filter_dedup,
     "op2_poisson_mix": op2_poisson_mix,
     "op3_minhash_dedup": op3_minhash_dedup,
     "op4_personal_data": op4_personal_data,

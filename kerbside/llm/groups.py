@@ -1,9 +1,11 @@
-"""Whole groups out of Arrow batches whose rows come sorted by their group's key."""
+"""Groups for tasks that compare their members: dealt out in blocks, and read back whole."""
 
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def _array(column: pa.Array) -> np.ndarray:
@@ -52,3 +54,64 @@ def pairs_within(starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.
     if not left:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     return np.concatenate(left), np.concatenate(right)
+
+
+def intersections(sets: list[np.ndarray], chunk: int = 4096) -> np.ndarray:
+    """Sizes of all intersections of some sets, from products of chunks of their incidence."""
+    owner = np.repeat(np.arange(len(sets)), [len(each) for each in sets])
+    _, column, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = held[column] > 1
+    _, column = np.unique(column[shared], return_inverse=True)
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[shared][order], column[order]
+    sizes = np.zeros((len(sets), len(sets)), np.float32)
+    for start in range(0, int(column[-1]) + 1 if len(column) else 0, chunk):
+        part = slice(*np.searchsorted(column, [start, start + chunk]))
+        incidence = np.zeros((len(sets), chunk), np.float32)
+        incidence[owner[part], column[part] - start] = 1
+        sizes += incidence @ incidence.T
+    return sizes.astype(np.int64)
+
+
+def spanning_forest(linked: np.ndarray) -> np.ndarray:
+    """Pairs that join what a symmetric table of links joins, one tree after the other."""
+    left, taken = np.ones(len(linked), bool), []
+    for root in range(len(linked)):
+        queue = [root] if left[root] else []
+        left[root] = False
+        while queue:
+            node = queue.pop()
+            near = np.flatnonzero(linked[node] & left)
+            left[near] = False
+            taken += [(node, int(other)) for other in near]
+            queue += near.tolist()
+    return np.array(taken, np.int64).reshape(-1, 2)
+
+
+def shared_blocks(entries: DataFrame, keys: Sequence[str], size: int) -> DataFrame:
+    """Members of every bucket of two or more, once for each pair of blocks they stand in.
+
+    ``entries`` has a row per bucket (``keys``) and member (``id``). A bucket of more than ``size``
+    members falls into blocks by hash, and every pair of blocks (``low``, ``high``) is a group of
+    its own; ``block`` is the member's. Pairs within a block belong to the group of equal ends.
+    """
+    shared = entries.groupBy(*keys).agg(F.count("*").alias("members")).filter("members > 1")
+    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    return (
+        entries.join(shared, list(keys))
+        .withColumn("blocks", F.ceil(F.col("members") / size).cast("int"))
+        .withColumn("block", own)
+        .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select(
+            *keys,
+            F.least("block", "with").alias("low"),
+            F.greatest("block", "with").alias("high"),
+            "block",
+            "id",
+        )
+    )
+
+
+def dealt(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Each group whole in one task, its rows together."""
+    return rows.repartition(*keys).sortWithinPartitions(*keys)

@@ -26,7 +26,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kerbside.llm.components import connected_components
-from kerbside.llm.groups import pairs_within, whole_groups
+from kerbside.llm.groups import (
+    dealt,
+    intersections,
+    pairs_within,
+    shared_blocks,
+    spanning_forest,
+    whole_groups,
+)
 from kerbside.llm.words import mix, shingles_of, text_slices, words_of
 from kerbside.sources import stored
 
@@ -106,38 +113,6 @@ def fewest_matches(threshold: float, miss: float) -> list[int]:
     return needed
 
 
-def spanning_forest(linked: np.ndarray) -> list[tuple[int, int]]:
-    """Pairs that join what a symmetric table of links joins, one tree after the other."""
-    left, taken = np.ones(len(linked), bool), []
-    for root in range(len(linked)):
-        queue = [root] if left[root] else []
-        left[root] = False
-        while queue:
-            node = queue.pop()
-            near = np.flatnonzero(linked[node] & left)
-            left[near] = False
-            taken += [(node, int(other)) for other in near]
-            queue += near.tolist()
-    return taken
-
-
-def intersections(sets: list[np.ndarray], chunk: int = 4096) -> np.ndarray:
-    """Sizes of all intersections of some sets, from products of chunks of their incidence."""
-    owner = np.repeat(np.arange(len(sets)), [len(each) for each in sets])
-    _, column, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    shared = held[column] > 1
-    _, column = np.unique(column[shared], return_inverse=True)
-    order = np.argsort(column, kind="stable")
-    owner, column = owner[shared][order], column[order]
-    sizes = np.zeros((len(sets), len(sets)), np.float32)
-    for start in range(0, int(column[-1]) + 1 if len(column) else 0, chunk):
-        part = slice(*np.searchsorted(column, [start, start + chunk]))
-        incidence = np.zeros((len(sets), chunk), np.float32)
-        incidence[owner[part], column[part] - start] = 1
-        sizes += incidence @ incidence.T
-    return sizes.astype(np.int64)
-
-
 _GROUP = ["band", "key", "low", "high"]
 _PAIR_SCHEMA = "band int, key long, low int, high int, a long, b long"
 
@@ -204,39 +179,11 @@ class _DenseBlocks(_PairFinder):
                 keep = 100 * both[a, b] >= self.percent * union
                 linked = np.zeros((len(sets), len(sets)), bool)
                 linked[a[keep], b[keep]] = linked[b[keep], a[keep]] = True
-                pairs = np.array(spanning_forest(linked), np.int64).reshape(-1, 2)
+                pairs = spanning_forest(linked)
                 columns = [pa.array(own["id"][pairs[:, side]]) for side in (0, 1)]
                 yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
 
 
-def _blocks(nodes: DataFrame) -> DataFrame:
-    """Members of every bucket of two or more, once for each pair of blocks they stand in."""
-    entries = nodes.select("id", F.posexplode("bands").alias("band", "key"))
-    shared = entries.groupBy("band", "key").agg(F.count("*").alias("members"))
-    shared = shared.filter("members > 1")
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    return (
-        entries.join(shared, ["band", "key"])
-        .withColumn("blocks", blocks)
-        .withColumn("block", own)
-        .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select(
-            "band",
-            "key",
-            F.least("block", "with").alias("low"),
-            F.greatest("block", "with").alias("high"),
-            "block",
-            "id",
-        )
-    )
-
-
-def _dealt(rows: DataFrame) -> DataFrame:
-    """Each block whole in one task, its rows together."""
-    return rows.repartition(*_GROUP).sortWithinPartitions(*_GROUP)
-
-
 def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for text in text_slices(batch.column(1)):
@@ -272,9 +219,10 @@ def _sets(ids: DataFrame, texts: DataFrame) -> DataFrame:
 
 def _links(nodes: DataFrame, texts: DataFrame, threshold: float, miss: float) -> DataFrame:
     """Confirmed links between nodes: all sparse ones, a forest of each dense block."""
-    blocks = stored(_blocks(nodes), "blocks")
+    entries = nodes.select("id", F.posexplode("bands").alias("band", "key"))
+    blocks = stored(shared_blocks(entries, ["band", "key"], BLOCK), "blocks")
     rows = blocks.join(nodes, "id").select(*_GROUP, "block", "id", "n", "bands")
-    found = _dealt(rows).mapInArrow(_PairFinder(threshold, miss), _PAIR_SCHEMA)
+    found = dealt(rows, _GROUP).mapInArrow(_PairFinder(threshold, miss), _PAIR_SCHEMA)
     found = stored(found, "surviving-pairs")
 
     pairs = found.filter("a >= 0").select("a", "b").distinct()
@@ -289,7 +237,7 @@ def _links(nodes: DataFrame, texts: DataFrame, threshold: float, miss: float) ->
     )
     members = dense.join(nodes, "id").join(sets, "id")
     members = members.select(*_GROUP, "block", "id", "n", "bands", "set")
-    forests = _dealt(members).mapInArrow(_DenseBlocks(threshold, miss), "a long, b long")
+    forests = dealt(members, _GROUP).mapInArrow(_DenseBlocks(threshold, miss), "a long, b long")
     return confirmed.filter("linked").select("a", "b").unionAll(forests)
 
 
