@@ -4,6 +4,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from kerbside.llm.bpe import Vocabulary, token_digests
 from kerbside.llm.cap_filters import near_duplicate_vectors
@@ -11,6 +12,7 @@ from kerbside.llm.licenses import scan_licenses
 from kerbside.llm.minhash import near_duplicates
 from kerbside.llm.mixing import ORACLE as MIXING_ORACLE
 from kerbside.llm.mixing import mix_sources
+from kerbside.llm.multi_index import nearest_neighbours
 from kerbside.llm.personal import find_personal_data, personal_data_digest
 from kerbside.llm.toxicity import score_toxicity
 
@@ -21,6 +23,10 @@ def documents(spark: SparkSession, tables: str) -> DataFrame:
     return spark.read.parquet(f"{tables}/documents.parquet")
 
 
+def op6_multi_index_search(spark: SparkSession, tables: str) -> DataFrame:
+    return nearest_neighbours(embeddings(spark, tables), F.col("id") % 50 == 0)
+
+
 def vocabulary(spark: SparkSession, path: str | None = None) -> Vocabulary:
     return Vocabulary(spark, path or public_tokenizers.path("word_bpe_49k.json"))
 
@@ -64,6 +70,7 @@ QUERIES: dict[str, Query] = {
     "op3_minhash_dedup": op3_minhash_dedup,
     "op4_personal_data": op4_personal_data,
     "op5_toxicity": op5_toxicity,
+    "op6_multi_index_search": op6_multi_index_search,
     "op7_bpe_tokens": op7_bpe_tokens,
     "op9_license_scan": op9_license_scan,
 }
