@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from kerbside.llm.bpe import Vocabulary, token_digests
 from kerbside.llm.cap_filters import near_duplicate_vectors
+from kerbside.llm.chunking import passage_digest, repeated_passages
 from kerbside.llm.licenses import scan_licenses
 from kerbside.llm.minhash import near_duplicates
 from kerbside.llm.mixing import ORACLE as MIXING_ORACLE
@@ -64,6 +65,10 @@ def op7_bpe_tokens(spark: SparkSession, tables: str) -> DataFrame:
     return token_digests(documents(spark, tables), vocabulary(spark))
 
 
+def op10_chunk_dedup(spark: SparkSession, tables: str) -> DataFrame:
+    return passage_digest(repeated_passages(documents(spark, tables)))
+
+
 QUERIES: dict[str, Query] = {
     "op1_cap_filter_dedup": op1_cap_filter_dedup,
     "op2_poisson_mix": op2_poisson_mix,
@@ -73,6 +78,7 @@ QUERIES: dict[str, Query] = {
     "op6_multi_index_search": op6_multi_index_search,
     "op7_bpe_tokens": op7_bpe_tokens,
     "op9_license_scan": op9_license_scan,
+    "op10_chunk_dedup": op10_chunk_dedup,
 }
 
 ORACLE: dict[str, str] = {"op2_poisson_mix": MIXING_ORACLE}
