@@ -3,7 +3,7 @@
 A gear hash rolls over the bytes of each text: the sum of a random number per byte, doubled with
 every further byte. A place where four of its bits are zero is a candidate for a cut, and a cut if
 no other candidate lies within the 15 bytes before it. So cuts depend on some 30 bytes of content
-and not on what stands further before, and chunks, 16 bytes or more and some 42 in the mean, fall
+and not on what stands further before, and chunks, 16 to 64 bytes but for the last, fall
 alike into step again after an insertion. Chunks are deduplicated by digest: the one in the
 smallest document, first place, is kept, and every other one is a repeat.
 
@@ -27,7 +27,7 @@ from kerbside.sources import stored
 
 # The gear table, the bits of the hash that are looked at, least and most bytes of a chunk.
 _GEAR = mix(np.arange(1, 257, dtype=np.uint64))
-_BITS, _LEAST_CHUNK, _MOST_CHUNK = np.uint64(0xF000), 16, 256
+_BITS, _LEAST_CHUNK, _MOST_CHUNK = np.uint64(0xF000), 16, 64
 
 
 def cuts(text: Text) -> tuple[np.ndarray, np.ndarray]:
