@@ -3,12 +3,52 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from kerbside.llm.catalog import vocabulary
+from kerbside.llm.bpe import token_digests
+from kerbside.llm.minhash import one_of_each
+from kerbside.llm.mixing import mix_sources
+from kerbside.llm.personal import redact
+from kerbside.llm.toxicity import without_toxic
 from kerbside.sources import fresh_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below the cut of the toxicity model stay."""
+    return without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays."""
+    return one_of_each(docs)
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is replaced by its kind in brackets, and the length is set anew."""
+    masked = redact(docs)
+    return masked.withColumn("n_chars", F.length("text").cast("bigint")).select(docs.columns)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document comes as often as its Poisson draw says, in random order."""
+    return mix_sources(docs).select(docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Digests of each document's token ids and of the text decoded from them."""
+    return token_digests(docs, vocabulary(spark))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("personal_data", mask_personal_data),
+    ("mixing", mix),
+    ("tokens", encode),
+]
 
 # Trained models and signatures have no SQL counterpart; tests compare with brute force.
 ORACLE_SQL: str | None = None

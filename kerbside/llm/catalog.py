@@ -15,6 +15,7 @@ from kerbside.llm.mixing import ORACLE as MIXING_ORACLE
 from kerbside.llm.mixing import mix_sources
 from kerbside.llm.multi_index import nearest_neighbours
 from kerbside.llm.personal import find_personal_data, personal_data_digest
+from kerbside.llm.resampling import resample
 from kerbside.llm.toxicity import score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +33,11 @@ def vocabulary(spark: SparkSession, path: str | None = None) -> Vocabulary:
     return Vocabulary(spark, path or public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op8_importance_resampling(spark: SparkSession, tables: str) -> DataFrame:
+    labels = spark.read.parquet(f"{tables}/labels.parquet")
+    return resample(documents(spark, tables), labels.filter("quality = 1"))
+
+
 def op9_license_scan(spark: SparkSession, tables: str) -> DataFrame:
     return scan_licenses(documents(spark, tables))
 
@@ -77,6 +83,7 @@ QUERIES: dict[str, Query] = {
     "op5_toxicity": op5_toxicity,
     "op6_multi_index_search": op6_multi_index_search,
     "op7_bpe_tokens": op7_bpe_tokens,
+    "op8_importance_resampling": op8_importance_resampling,
     "op9_license_scan": op9_license_scan,
     "op10_chunk_dedup": op10_chunk_dedup,
 }

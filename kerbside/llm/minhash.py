@@ -86,13 +86,13 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = np.arange(len(text) + 1, dtype=np.int32) * BANDS
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0).slice(text.first, len(text)),
+                    *[batch.column(i).slice(text.first, len(text)) for i in (0, 2)],
                     pa.array(counts),
                     pa.array(first_sum),
                     pa.array(second_sum),
                     pa.ListArray.from_arrays(pa.array(at), pa.array(signed.ravel())),
                 ],
-                names=["doc_id", "n_shingles", "h1", "h2", "bands"],
+                names=["doc_id", "version", "n_shingles", "h1", "h2", "bands"],
             )
 
 
@@ -248,14 +248,19 @@ def near_duplicates(
     threshold: float = 0.75,
     miss: float = 1e-6,
 ) -> DataFrame:
-    """Per row: ``doc_id``, ``n_shingles``, ``component_id`` and ``kept``.
+    """Per row: ``doc_id``, ``n_shingles``, ``component_id`` and ``kept``, and ``version``, a hash
+    of the text.
 
     ``miss`` is the posterior probability of a link at which a pair of signatures is given up.
     """
-    taken = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+    taken = docs.select(
+        F.col(id_col).cast("bigint").alias("doc_id"),
+        F.col(text_col).alias("text"),
+        F.xxhash64(text_col).alias("version"),
+    )
     signed = stored(
-        taken.mapInArrow(
-            _sign, "doc_id long, n_shingles long, h1 long, h2 long, bands array<bigint>"
+        taken.select("doc_id", "text", "version").mapInArrow(
+            _sign, "doc_id long, version long, n_shingles long, h1 long, h2 long, bands array<bigint>"
         ),
         "signatures",
     )
@@ -272,8 +277,26 @@ def near_duplicates(
     members = classes.join(parts.withColumnRenamed("node", "id"), "id", "left").select(
         "h1", "h2", F.coalesce("component", "id").alias("component_id")
     )
-    placed = linkable.select("doc_id", "n_shingles", "h1", "h2").join(members, ["h1", "h2"])
+    placed = linkable.select("doc_id", "version", "n_shingles", "h1", "h2").join(members, ["h1", "h2"])
     alone = signed.filter("NOT (n_shingles > 0 AND doc_id IS NOT NULL)")
-    return placed.select("doc_id", "n_shingles", "component_id").unionAll(
-        alone.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    return placed.select("doc_id", "n_shingles", "component_id", "version").unionAll(
+        alone.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "version")
     ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def one_of_each(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.75
+) -> DataFrame:
+    """The rows and columns of ``docs`` with one row of each group of near-duplicates.
+
+    Of repeated rows one stays; rows without an id all stay.
+    """
+    near = near_duplicates(docs, id_col, text_col, threshold)
+    kept = near.filter("kept AND doc_id IS NOT NULL").select("doc_id", "version").distinct()
+    rows = docs.filter(F.col(id_col).isNotNull()).select(
+        F.struct("*").alias("row"),
+        F.col(id_col).cast("bigint").alias("doc_id"),
+        F.xxhash64(text_col).alias("version"),
+    )
+    kept = rows.join(stored(kept, "kept"), ["doc_id", "version"]).dropDuplicates(["doc_id", "version"])
+    return kept.select("row.*").unionAll(docs.filter(F.col(id_col).isNull()))

@@ -18,6 +18,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -188,24 +189,26 @@ class LinearModel:
     weights: np.ndarray
     intercept: float
 
-    def scorer(self):
+    def scores(self, texts: pa.Array) -> np.ndarray:
+        """The score of every whole text."""
         table = np.full(1 << BITS, -1, np.int32)
         table[self.features] = np.arange(len(self.features))
-        weights = self.weights
+        parts = [np.zeros(0)]
+        for _, count, rows, features in _features(texts):
+            known = table[features] >= 0
+            rows, features = _distinct(rows[known], features[known])
+            total = np.bincount(rows, self.weights[table[features]], count) + self.intercept
+            parts.append(1 / (1 + np.exp(-np.clip(total, -30, 30))))
+        return np.concatenate(parts)
 
-        def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for first, count, rows, features in _features(batch.column(2)):
-                    known = table[features] >= 0
-                    rows, features = _distinct(rows[known], features[known])
-                    total = np.bincount(rows, weights[table[features]], count) + self.intercept
-                    scores = 1 / (1 + np.exp(-np.clip(total, -30, 30)))
-                    columns = [batch.column(i).slice(first, count) for i in (0, 1)]
-                    yield pa.RecordBatch.from_arrays(
-                        [*columns, pa.array(scores)], names=["doc_id", "held_out", "score"]
-                    )
+    def column(self, text_col: str) -> Column:
+        """The score of a text column."""
 
-        return score
+        @F.pandas_udf("double")
+        def score(texts: pd.Series) -> pd.Series:
+            return pd.Series(self.scores(pa.array(texts, pa.string(), from_pandas=True)))
+
+        return score(F.col(text_col))
 
 
 def lexicon_model() -> LinearModel:
@@ -283,11 +286,23 @@ def score_toxicity(
 ) -> DataFrame:
     """Per row: ``doc_id``, ``held_out``, ``score`` and ``predicted`` (1 from ``cut`` on)."""
     model = fit(docs, labels, id_col, text_col, label_col, sample_rows)
-    taken = docs.select(
+    scored = docs.select(
         F.col(id_col).alias("doc_id"),
         is_held_out(id_col).alias("held_out"),
-        F.col(text_col).alias("text"),
+        model.column(text_col).alias("score"),
     )
-    kind = taken.schema["doc_id"].dataType.simpleString()
-    scored = taken.mapInArrow(model.scorer(), f"doc_id {kind}, held_out boolean, score double")
     return scored.withColumn("predicted", (F.col("score") >= cut).cast("int"))
+
+
+def without_toxic(
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    label_col: str = "toxic",
+    cut: float = 0.3,
+    sample_rows: int = SAMPLE_ROWS,
+) -> DataFrame:
+    """The rows and columns of ``docs`` that score below ``cut``."""
+    model = fit(docs, labels, id_col, text_col, label_col, sample_rows)
+    return docs.filter(model.column(text_col) < cut)
