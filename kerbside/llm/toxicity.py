@@ -34,8 +34,9 @@ degenerate vermin subhuman hate kill
 
 # Bits of a hashed feature, and lengths of word beginnings in bytes.
 BITS, BEGINNINGS = 22, (4, 5)
-# Bounds of the training: labelled rows, induced voters, features with a weight.
-SAMPLE_ROWS, VOTERS, FEATURES = 8000, 96, 4096
+# Bounds of the training: labelled rows, induced voters, features with a weight; hashes that tell
+# copies.
+SAMPLE_ROWS, VOTERS, FEATURES, COPY_KEYS = 8000, 96, 4096, 8
 # Least likelihood ratio statistic of a voter or feature, far beyond chance among 2**22.
 SURE = 20.0
 
@@ -75,49 +76,72 @@ def is_held_out(id_col: str) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(False))
 
 
+def _copy_keys(rows: np.ndarray, features: np.ndarray, count: int) -> np.ndarray:
+    """Eight hashes per row, each of six feature minima: copies of a text share some of them."""
+    keys = np.zeros((count, COPY_KEYS), np.int64)
+    filled, first = np.unique(rows, return_index=True)
+    if len(filled):
+        for key in range(COPY_KEYS):
+            joint = np.zeros(len(filled), np.uint64)
+            for part in range(6):
+                scrambled = mix(features.astype(np.uint64) + np.uint64((key * 6 + part + 1) << 32))
+                joint = mix(joint + np.minimum.reduceat(scrambled, first))
+            keys[filled, key] = joint.view(np.int64)
+    return keys
+
+
 def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for first, count, rows, features in _features(batch.column(1)):
             rows, features = _distinct(rows, features)
             ends = np.searchsorted(rows, np.arange(count + 1))
             held = [features[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])]
+            keys = [key.tobytes() for key in _copy_keys(rows, features, count)]
             labels = batch.column(0).slice(first, count)
-            yield pa.RecordBatch.from_arrays([labels, pa.array(held, pa.binary())], names=["toxic", "held"])
+            yield pa.RecordBatch.from_arrays(
+                [labels, pa.array(held, pa.binary()), pa.array(keys, pa.binary())],
+                names=["toxic", "held", "keys"],
+            )
 
 
-@dataclass
 class Votes:
-    """Training rows as a sparse table of features, by row, with their labels."""
-
-    row: np.ndarray
-    feature: np.ndarray
-    labels: np.ndarray
-
-    def of(self, features: np.ndarray) -> np.ndarray:
-        """Which rows have which of some features, as a dense table."""
-        order = np.argsort(features)
-        at = np.clip(np.searchsorted(features[order], self.feature), 0, len(features) - 1)
-        hit = features[order][at] == self.feature
-        table = np.zeros((len(self.labels), len(features)), bool)
-        table[self.row[hit], order[at[hit]]] = True
+    """Training rows as a sparse table, by row, of the features that two rows or more have."""
+
+    def __init__(self, held: list[np.ndarray], keys: np.ndarray, labels: np.ndarray):
+        self.labels, self.keys = labels, keys
+        features = np.concatenate([np.zeros(0, np.int32), *held])
+        have = np.bincount(features, minlength=1 << BITS)
+        self.features = np.flatnonzero(have > 1).astype(np.int32)
+        place = np.full(1 << BITS, -1, np.int32)
+        place[self.features] = np.arange(len(self.features))
+        self.column = place[features]
+        self.row = np.repeat(
+            np.arange(len(held), dtype=np.int32), np.array([len(each) for each in held], int)
+        )
+        known = self.column >= 0
+        self.row, self.column = self.row[known], self.column[known]
+
+    def places(self, features: np.ndarray) -> np.ndarray:
+        """Columns of those among some features that the table has."""
+        return np.flatnonzero(np.isin(self.features, features))
+
+    def of(self, columns: np.ndarray) -> np.ndarray:
+        """Which rows have which of some columns, as a dense table."""
+        order = np.full(len(self.features), -1)
+        order[columns] = np.arange(len(columns))
+        at = order[self.column]
+        table = np.zeros((len(self.labels), len(columns)), bool)
+        table[self.row[at >= 0], at[at >= 0]] = True
         return table
 
-
-def row_weights(votes: Votes, keys: int = 8, width: int = 6) -> np.ndarray:
-    """One over the rows that look like copies of a row: that share a run of feature minima. So a
-    text that comes many times counts about once."""
-    weights = np.ones(len(votes.labels))
-    rows, first = np.unique(votes.row, return_index=True)
-    if len(rows) == 0:
+    def weights(self) -> np.ndarray:
+        """One over the rows that look like copies of a row, so a text that comes many times
+        counts about once."""
+        weights = np.ones(len(self.labels))
+        for key in self.keys.T:
+            _, of, alike = np.unique(key, return_inverse=True, return_counts=True)
+            weights = np.minimum(weights, np.where(key == 0, 1, 1 / alike[of]))
         return weights
-    for key in range(keys):
-        joint = np.zeros(len(rows), np.uint64)
-        for part in range(width):
-            scrambled = mix(votes.feature.astype(np.uint64) + np.uint64((key * width + part + 1) << 32))
-            joint = mix(joint + np.minimum.reduceat(scrambled, first))
-        _, of, alike = np.unique(joint, return_inverse=True, return_counts=True)
-        weights[rows] = np.minimum(weights[rows], 1 / alike[of])
-    return weights
 
 
 def _association(
@@ -129,8 +153,9 @@ def _association(
     def part(count: np.ndarray, expected: np.ndarray) -> np.ndarray:
         return np.where(count > 0, count * np.log(np.maximum(count, 1e-12) / expected), 0)
 
-    have = np.bincount(votes.feature, weights[votes.row], 1 << BITS)
-    toxic = np.bincount(votes.feature, (target * weights)[votes.row], 1 << BITS)
+    size = len(votes.features)
+    have = np.bincount(votes.column, weights[votes.row], size)
+    toxic = np.bincount(votes.column, (target * weights)[votes.row], size)
     total, rows = (target * weights).sum(), weights.sum()
     clean, share = have - toxic, total / rows
     evidence = np.log((toxic + 0.5) / (total + 1)) - np.log((clean + 0.5) / (rows - total + 1))
@@ -222,22 +247,22 @@ def train(votes: Votes, rounds: int = 300, rate: float = 0.5, shrink: float = 1e
     labels = votes.labels.astype(float)
     if len(labels) == 0 or labels.min() == labels.max():
         return lexicon_model()
-    weights = row_weights(votes)
+    weights = votes.weights()
     evidence, sure = _association(votes, labels, weights)
     voter = np.where((evidence > 1) & (sure > SURE), sure, 0)
     induced = np.argsort(-voter, kind="stable")[:VOTERS]
-    fixed = np.array([feature_of(word) for word in LEXICON])
+    fixed = votes.places(np.array([feature_of(word) for word in LEXICON]))
     voters = np.unique(np.concatenate([induced[voter[induced] > 0], fixed]))
     belief = LabelModel(votes.of(voters), labels, weights).belief
 
     _, sure = _association(votes, belief, weights)
     telling = np.where(sure > SURE, sure, 0)
-    chosen = np.sort(np.argsort(-telling, kind="stable")[:FEATURES])
+    chosen = np.argsort(-telling, kind="stable")[:FEATURES]
     chosen = np.unique(np.concatenate([chosen[telling[chosen] > 0], fixed]))
-    place = np.full(1 << BITS, -1, np.int32)
+    place = np.full(len(votes.features), -1, np.int32)
     place[chosen] = np.arange(len(chosen))
-    used = place[votes.feature] >= 0
-    rows, columns = votes.row[used], place[votes.feature[used]]
+    columns = place[votes.column]
+    rows, columns = votes.row[columns >= 0], columns[columns >= 0]
 
     # Logistic regression on the posterior labels, by gradient steps scaled per weight.
     slopes, scales = np.zeros(len(chosen)), np.full(len(chosen), 1e-8)
@@ -251,7 +276,7 @@ def train(votes: Votes, rounds: int = 300, rate: float = 0.5, shrink: float = 1e
         slopes -= rate * gradient / np.sqrt(scales)
         intercept_scale += error.sum() ** 2
         intercept -= rate * error.sum() / np.sqrt(intercept_scale)
-    return LinearModel(chosen, slopes, float(intercept))
+    return LinearModel(votes.features[chosen], slopes, float(intercept))
 
 
 def fit(
@@ -265,13 +290,14 @@ def fit(
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     # At most ``sample_rows`` ids: small enough to broadcast at any size of the tables.
     rows = texts.join(F.broadcast(picked), "id").select(F.col("toxic").cast("int"), "text")
-    gathered = rows.mapInArrow(_gather, "toxic int, held binary").limit(2 * sample_rows).collect()
-    held = [np.frombuffer(row["held"], np.int32) for row in gathered]
+    gathered = rows.mapInArrow(_gather, "toxic int, held binary, keys binary")
+    gathered = gathered.limit(2 * sample_rows).collect()
     votes = Votes(
-        np.repeat(np.arange(len(held)), [len(each) for each in held]),
-        np.concatenate([np.zeros(0, np.int32), *held]),
+        [np.frombuffer(row["held"], np.int32) for row in gathered],
+        np.array([np.frombuffer(row["keys"], np.int64) for row in gathered]).reshape(-1, COPY_KEYS),
         np.array([row["toxic"] > 0 for row in gathered], bool),
     )
+    del gathered
     return train(votes)
 
 
