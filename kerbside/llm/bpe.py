@@ -63,7 +63,7 @@ def _careful_word() -> str:
 
 
 # Characters of text worked on at once, and words and pairs remembered by a worker.
-SLICE_CHARS = 2_000_000
+SLICE_CHARS = 1_000_000
 REMEMBERED_WORDS = 200_000
 REMEMBERED_PAIRS = 400_000
 
@@ -114,7 +114,7 @@ class WordBpe:
         self.unassigned = regex.compile(f"[{_unassigned()}]")
         names = "|".join(map(regex.escape, self.special))
         self.special_pattern = regex.compile(f"({names})") if names else None
-        self.stable: dict[tuple[int, int], bool] = {}
+        self.stable: dict[int, bool] = {}
         self.known: dict[str, bytes] = {}
 
     def merged(self, symbols: list[int]) -> list[int]:
@@ -138,7 +138,7 @@ class WordBpe:
 
     def is_stable(self, before: int, token: int) -> bool:
         """Whether ``token`` may follow ``before`` (-1: stand first)."""
-        pair = (before, token)
+        pair = before << 20 | token
         answer = self.stable.get(pair)
         if answer is None:
             if before < 0:
@@ -174,7 +174,7 @@ class WordBpe:
         for start in range(depth - 1, max(0, depth - self.longest) - 1, -1):
             token = tokens.get(path[start:])
             if token is not None:
-                answer = stable.get((last[start], token))
+                answer = stable.get(last[start] << 20 | token)
                 if answer or (answer is None and self.is_stable(last[start], token)):
                     return token
         raise RuntimeError("a word without an encoding: the vocabulary lacks a byte")
@@ -288,12 +288,7 @@ def _slices(lengths: list[int], most: int) -> Iterator[tuple[int, int]]:
         yield start, len(lengths) - start
 
 
-def encode_documents(
-    docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """``doc_id``, ``n_tokens`` and ``ids`` (binary, little-endian unsigned 32-bit)."""
-    shared = vocabulary.shared
-
+def _encoder(shared: _Shared):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(shared)
         for batch in batches:
@@ -307,15 +302,10 @@ def encode_documents(
                     names=["doc_id", "n_tokens", "ids"],
                 )
 
-    taken = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    kind = taken.schema["doc_id"].dataType.simpleString()
-    return taken.mapInArrow(encode, f"doc_id {kind}, n_tokens long, ids binary")
-
+    return encode
 
-def decode_documents(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """The rows of ``encode_documents`` with ``decoded``, the text of their ids."""
-    shared = vocabulary.shared
 
+def _decoder(shared: _Shared):
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(shared)
         for batch in batches:
@@ -324,20 +314,49 @@ def decode_documents(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
                 part = batch.slice(start, count)
                 texts = [model.decode(ids or b"") for ids in part.column(2).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(texts, pa.string())], names=[*part.schema.names, "decoded"]
+                    [*part.columns, pa.array(texts, pa.string())],
+                    names=[*part.schema.names, "decoded"],
                 )
 
+    return decode
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str]:
+    taken = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    kind = taken.schema["doc_id"].dataType.simpleString()
+    return taken, f"doc_id {kind}, n_tokens long, ids binary"
+
+
+def encode_documents(
+    docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``doc_id``, ``n_tokens`` and ``ids`` (binary, little-endian unsigned 32-bit)."""
+    taken, schema = _texts(docs, id_col, text_col)
+    return taken.mapInArrow(_encoder(vocabulary.shared), schema)
+
+
+def decode_documents(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """The rows of ``encode_documents`` with ``decoded``, the text of their ids."""
     kind = encoded.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_tokens long, ids binary, decoded string"
-    return encoded.select("doc_id", "n_tokens", "ids").mapInArrow(decode, schema)
+    rows = encoded.select("doc_id", "n_tokens", "ids")
+    return rows.mapInArrow(_decoder(vocabulary.shared), schema)
+
+
+def encode_and_decode(
+    docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """Both in one worker, which then holds the vocabulary once."""
+    encode, decode = _encoder(vocabulary.shared), _decoder(vocabulary.shared)
+    taken, schema = _texts(docs, id_col, text_col)
+    return taken.mapInArrow(lambda batches: decode(encode(batches)), f"{schema}, decoded string")
 
 
 def token_digests(
     docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """Per document: tokens, and the SHA-256 of its ids and of the text decoded from them."""
-    decoded = decode_documents(encode_documents(docs, vocabulary, id_col, text_col), vocabulary)
-    return decoded.select(
+    return encode_and_decode(docs, vocabulary, id_col, text_col).select(
         "doc_id",
         "n_tokens",
         F.sha2("ids", 256).alias("ids_sha256"),

@@ -186,6 +186,28 @@ def passage_digest(found: DataFrame) -> DataFrame:
     )
 
 
+def _cutter(text_at: int):
+    def cut(text: str | None, repeats: list[list[int]] | None) -> str | None:
+        if text is None or repeats is None:
+            return text
+        data, out, at = text.encode(), [], 0
+        for start, end in repeats:
+            out.append(data[at:start])
+            at = end
+        return b"".join([*out, data[at:]]).decode("utf-8", "ignore")
+
+    def without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 512):
+                part = batch.slice(start, 512)
+                columns, repeats = part.columns[:-1], part.columns[-1].to_pylist()
+                texts = map(cut, columns[text_at].to_pylist(), repeats)
+                columns[text_at] = pa.array(list(texts), columns[text_at].type)
+                yield pa.RecordBatch.from_arrays(columns, names=part.schema.names[:-1])
+
+    return without
+
+
 def without_repeats(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = 96
 ) -> DataFrame:
@@ -197,22 +219,5 @@ def without_repeats(
         _document(id_col, text_col).alias("doc"),
         F.xxhash64(F.col(text_col)).alias("version"),
     )
-    joined = rows.join(found, ["doc", "version"], "left").select("row", "repeats")
-
-    @F.pandas_udf("string")
-    def cut(texts, spans):
-        def one(text, repeats):
-            if text is None or repeats is None:
-                return text
-            data, out, at = text.encode(), [], 0
-            for start, end in repeats:
-                out.append(data[at:start])
-                at = end
-            return b"".join([*out, data[at:]]).decode("utf-8", "ignore")
-
-        return texts.combine(spans, one)
-
-    text = cut(F.col(f"row.{text_col}"), F.col("repeats"))
-    return joined.select("row.*", text.alias("_cut")).select(
-        *[F.col("_cut").alias(name) if name == text_col else F.col(f"`{name}`") for name in docs.columns]
-    )
+    joined = rows.join(found, ["doc", "version"], "left").select("row.*", "repeats")
+    return joined.mapInArrow(_cutter(docs.columns.index(text_col)), docs.schema)

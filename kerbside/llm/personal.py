@@ -103,7 +103,7 @@ def _bigrams(hashes: np.ndarray) -> np.ndarray:
 def _slots(text: str, spans: list[tuple[int, int, int]]) -> list[tuple]:
     """Seeds and untyped tokens (kind -1) with the pattern before them."""
     taken = sorted((start, end, kind) for kind, start, end in spans)
-    found = [(text[start:end].lower(), kind, start, end) for start, end, kind in taken]
+    found = [(text[start:end].lower(), kind, start, start, end) for start, end, kind in taken]
     at, i = 0, 0
     while match := _SIGN.search(text, at):
         place = match.start()
@@ -121,13 +121,13 @@ def _slots(text: str, spans: list[tuple[int, int, int]]) -> list[tuple]:
             at = taken[i][0]
             continue
         token = text[start:at]
-        left = len(token) - len(token.lstrip(_EDGE))
+        left = start + len(token) - len(token.lstrip(_EDGE))
         token = token.strip(_EDGE)
         if 5 <= len(token) <= 64:
-            found.append((token.lower(), -1, start + left, start + left + len(token)))
+            found.append((token.lower(), -1, start, left, left + len(token)))
     slots = []
-    for instance, kind, start, end in found:
-        pattern = _pattern_before(text, start)
+    for instance, kind, after, start, end in found:
+        pattern = _pattern_before(text, after)
         if pattern is not None:
             slots.append((pattern, instance, kind, start, end))
     return slots
@@ -326,6 +326,20 @@ def _mask(text: str, added: list[dict]) -> str:
     return "".join([*out, text[at:]])
 
 
+def _masker(text_at: int):
+    def mask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 512):
+                part = batch.slice(start, 512)
+                columns, added = part.columns[:-1], part.columns[-1].to_pylist()
+                texts = columns[text_at].to_pylist()
+                masked = [t if t is None else _mask(t, more) for t, more in zip(texts, added)]
+                columns[text_at] = pa.array(masked, columns[text_at].type)
+                yield pa.RecordBatch.from_arrays(columns, names=part.schema.names[:-1])
+
+    return mask
+
+
 def redact(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -341,16 +355,9 @@ def redact(
     scanned, added = _found(docs, id_col, text_col, rounds, confidence, support)
     some = scanned.join(added, "row").select("doc_id", "digest", "added")
     some = stored(some.dropDuplicates(["doc_id", "digest"]), "added-by-text")
-    names = docs.columns
-    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("key"), _digest(text_col).alias("own"))
-    same = rows["key"].eqNullSafe(some["doc_id"]) & (rows["own"] == some["digest"])
-    joined = rows.join(some, same, "left").select("row", "added")
-
-    @F.pandas_udf("string")
-    def masked(texts, spans):
-        return texts.combine(spans, lambda text, more: None if text is None else _mask(text, more))
-
-    text = masked(F.col(f"row.{text_col}"), F.col("added"))
-    return joined.select("row.*", text.alias("_masked")).select(
-        *[F.col("_masked").alias(name) if name == text_col else F.col(f"`{name}`") for name in names]
+    rows = docs.select(
+        F.struct("*").alias("row"), F.col(id_col).alias("key"), _digest(text_col).alias("own")
     )
+    same = rows["key"].eqNullSafe(some["doc_id"]) & (rows["own"] == some["digest"])
+    joined = rows.join(some, same, "left").select("row.*", "added")
+    return joined.mapInArrow(_masker(docs.columns.index(text_col)), docs.schema)

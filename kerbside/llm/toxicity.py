@@ -18,7 +18,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -226,14 +225,23 @@ class LinearModel:
             parts.append(1 / (1 + np.exp(-np.clip(total, -30, 30))))
         return np.concatenate(parts)
 
-    def column(self, text_col: str) -> Column:
-        """The score of a text column."""
 
-        @F.pandas_udf("double")
-        def score(texts: pd.Series) -> pd.Series:
-            return pd.Series(self.scores(pa.array(texts, pa.string(), from_pandas=True)))
+def _scorer(model: LinearModel):
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            scores = pa.array(model.scores(batch.column(2)))
+            columns = [*batch.columns[:2], scores]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "score"])
 
-        return score(F.col(text_col))
+    return score
+
+
+def _selector(model: LinearModel, text_at: int, cut: float):
+    def select(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(model.scores(batch.column(text_at)) < cut))
+
+    return select
 
 
 def lexicon_model() -> LinearModel:
@@ -312,11 +320,14 @@ def score_toxicity(
 ) -> DataFrame:
     """Per row: ``doc_id``, ``held_out``, ``score`` and ``predicted`` (1 from ``cut`` on)."""
     model = fit(docs, labels, id_col, text_col, label_col, sample_rows)
-    scored = docs.select(
+    taken = docs.select(
         F.col(id_col).alias("doc_id"),
         is_held_out(id_col).alias("held_out"),
-        model.column(text_col).alias("score"),
+        F.col(text_col).alias("text"),
     )
+    kind = taken.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, held_out boolean, score double"
+    scored = taken.mapInArrow(_scorer(model), schema)
     return scored.withColumn("predicted", (F.col("score") >= cut).cast("int"))
 
 
@@ -331,4 +342,4 @@ def without_toxic(
 ) -> DataFrame:
     """The rows and columns of ``docs`` that score below ``cut``."""
     model = fit(docs, labels, id_col, text_col, label_col, sample_rows)
-    return docs.filter(model.column(text_col) < cut)
+    return docs.mapInArrow(_selector(model, docs.columns.index(text_col), cut), docs.schema)
