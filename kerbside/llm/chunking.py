@@ -3,7 +3,7 @@
 A gear hash rolls over the bytes of each text: the sum of a random number per byte, doubled with
 every further byte. A place where four of its bits are zero is a candidate for a cut, and a cut if
 no other candidate lies within the 15 bytes before it. So cuts depend on some 30 bytes of content
-and not on what stands further before, and chunks, 16 to 64 bytes but for the last, fall
+and not on what stands further before, and chunks, 16 to 79 bytes but for a text's last, fall
 alike into step again after an insertion. Chunks are deduplicated by digest: the one in the
 smallest document, first place, is kept, and every other one is a repeat.
 
@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 from kerbside.llm.words import Text, mix, text_slices
 from kerbside.sources import stored
 
-# The gear table, the bits of the hash that are looked at, least and most bytes of a chunk.
+# The gear table, the bits of the hash that are looked at, least bytes of a chunk and
+# bytes after which text without cuts is cut.
 _GEAR = mix(np.arange(1, 257, dtype=np.uint64))
 _BITS, _LEAST_CHUNK, _MOST_CHUNK = np.uint64(0xF000), 16, 64
 
@@ -47,7 +48,7 @@ def cuts(text: Text) -> tuple[np.ndarray, np.ndarray]:
     starts = np.unique(np.concatenate([places[clear], text.starts[filled]]))
     starts = starts[starts < len(text.data)]
     # Text without cuts, such as one word over and over, is cut every so many bytes.
-    pieces = -(-(ends - starts) // _MOST_CHUNK)
+    pieces = np.maximum(1, -(-(ends - starts - _LEAST_CHUNK + 1) // _MOST_CHUNK))
     more = np.repeat(starts, pieces)
     first = np.repeat(np.cumsum(pieces) - pieces, pieces)
     starts = more + (np.arange(len(more)) - first) * _MOST_CHUNK
@@ -64,6 +65,8 @@ def _chunker(places: bool):
         for batch in batches:
             for text in text_slices(batch.column(2)):
                 starts, ends = cuts(text)
+                # What is left at the end of a text is too short to be a repeat.
+                starts, ends = starts[ends - starts >= _LEAST_CHUNK], ends[ends - starts >= _LEAST_CHUNK]
                 if len(starts) == 0:
                     continue
                 data = text.data.tobytes()
