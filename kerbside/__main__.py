@@ -40,6 +40,14 @@ def main(arguments: list[str] | None = None) -> None:
         return read_trips(spark, options.trips, strict=not options.any_layout)
 
     spark = SparkSession.builder.appName(f"kerbside {options.report}").getOrCreate()
+    try:
+        publish(spark, options, need, trips)
+    finally:
+        release_stored(spark)
+
+
+def publish(spark, options, need, trips) -> None:
+    """Run the report that the command line names and write its tables."""
     if options.report == "heatmap":
         need("heatmap")
         results = heatmap_report(read_heatmap(spark, options.heatmap), options.top)
@@ -50,7 +58,6 @@ def main(arguments: list[str] | None = None) -> None:
     else:
         results = TRIP_REPORTS[options.report](trips())
     write_results(results, options.out)
-    release_stored(spark)
 
 
 if __name__ == "__main__":

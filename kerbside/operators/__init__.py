@@ -1,5 +1,6 @@
 from kerbside.operators.carpool import carpool_gains, carpool_groups, carpool_summary, slot_groups
 from kerbside.operators.core import (
+    Tally,
     count_all,
     count_by,
     count_flags,
@@ -11,9 +12,11 @@ from kerbside.operators.core import (
 )
 from kerbside.operators.fare_model import (
     day_index,
+    fare_model_checks,
     fare_model_metrics,
     fare_prediction_sample,
     fare_predictions,
+    fare_sample_rows,
     fit_fare_model,
     ml_dataset,
     split,
@@ -44,6 +47,7 @@ from kerbside.operators.payments import (
 )
 from kerbside.operators.profile import null_profile, outlier_counts, profile_row, profile_summary
 from kerbside.operators.quality import (
+    described_columns,
     distance_duration_stats,
     enrich_trips,
     speed_by_day,

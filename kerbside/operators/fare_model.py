@@ -1,13 +1,14 @@
 """The fare model: a random forest on zone, distance, hour and weekday."""
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kerbside.functions.derive import with_calendar
 from kerbside.operators.core import count_by
+from kerbside.sources.shared import stored
 
 LABEL = "total_amount"
 MODEL_COLUMNS = (
@@ -26,9 +27,17 @@ def ml_dataset(trips: DataFrame) -> DataFrame:
     return with_calendar(trips).select(*MODEL_COLUMNS).na.drop()
 
 
+def _as_text(df: DataFrame, name: str) -> Column:
+    """A value as text that any engine writes alike: fractions as whole millionths."""
+    if dict(df.dtypes)[name] in ("double", "float"):
+        return F.round(F.col(name) * 1_000_000).cast("bigint").cast("string")
+    return F.col(name).cast("string")
+
+
 def is_test_row(df: DataFrame, test_share: float = 0.2, seed: int = 1234) -> Column:
     """Whether a row belongs to the test part, told by a hash of the whole row."""
-    bucket = F.pmod(F.xxhash64(F.lit(seed), *df.columns), F.lit(10_000))
+    text = F.concat_ws("|", F.lit(str(seed)), *[_as_text(df, name) for name in df.columns])
+    bucket = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") % 10_000
     return bucket < round(test_share * 10_000)
 
 
@@ -48,29 +57,34 @@ def split_counts(df: DataFrame, test_share: float = 0.2, seed: int = 1234) -> Da
     return count_by(df.select(part.alias("part")), ["part"])
 
 
-def day_indexer() -> StringIndexer:
-    return StringIndexer(inputCol="day_of_week", outputCol="day_index")
+def day_indexer(counts: DataFrame) -> StringIndexerModel:
+    """The indexer of ``day_of_week``, from its counts: one row per day reaches the driver."""
+    days = counts.orderBy(F.desc("n"), "day_of_week").collect()
+    return StringIndexerModel.from_labels(
+        [row["day_of_week"] for row in days], inputCol="day_of_week", outputCol="day_index"
+    )
 
 
 def day_index(df: DataFrame) -> DataFrame:
     """``day_of_week``, ``n`` and ``day_index``: 0 for the most frequent, ties by name."""
-    counts = count_by(df, ["day_of_week"])
-    model: StringIndexerModel = day_indexer().fit(df.select("day_of_week"))
-    return model.transform(counts)
+    counts = stored(count_by(df.select("day_of_week"), ["day_of_week"], derive=False), "day-counts")
+    return day_indexer(counts).transform(counts)
 
 
 def fit_fare_model(train: DataFrame, trees: int = 20, seed: int = 1234) -> PipelineModel:
     """Fit indexer, assembler and forest. Runs at once.
 
-    The fit passes over ``train`` some four times before the forest keeps its own binned
+    The fit passes over ``train`` some three times before the forest keeps its own binned
     copy. A scan with filters is as quick as a second cached copy; rows that take a
-    shuffle to make are better stored first.
+    shuffle to make are better stored first. The forest draws its samples by partition, so
+    it depends on how the rows are laid out in files, within a narrow band.
     """
     forest = RandomForestRegressor(
         labelCol=LABEL, featuresCol="features", numTrees=trees, seed=seed
     )
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-    return Pipeline(stages=[day_indexer(), assembler, forest]).fit(train)
+    days = count_by(train.select("day_of_week"), ["day_of_week"], derive=False)
+    return Pipeline(stages=[day_indexer(days), assembler, forest]).fit(train)
 
 
 def fare_predictions(model: PipelineModel, test: DataFrame) -> DataFrame:
@@ -96,10 +110,37 @@ def fare_model_metrics(predictions: DataFrame, train: DataFrame) -> DataFrame:
     )
 
 
-def fare_prediction_sample(predictions: DataFrame, k: int = 10) -> DataFrame:
-    """``k`` test trips with their actual and predicted total, the same ones every time."""
-    return (
-        predictions.select("trip_distance", LABEL, "prediction")
-        .orderBy("trip_distance", LABEL, "prediction")
-        .limit(k)
+def fare_sample_rows(rows: DataFrame, k: int = 10) -> DataFrame:
+    """The first ``k`` rows in the order of all model columns: the same ones every time."""
+    return rows.orderBy("trip_distance", LABEL, *MODEL_COLUMNS[:2], "hour", "day_of_week").limit(k)
+
+
+def fare_prediction_sample(model: PipelineModel, test: DataFrame, k: int = 10) -> DataFrame:
+    """``k`` test trips with their actual and predicted total. Only these are scored."""
+    return fare_predictions(model, fare_sample_rows(test, k)).select(
+        "trip_distance", LABEL, "prediction"
+    )
+
+
+def fare_model_checks(predictions: DataFrame, train: DataFrame) -> DataFrame:
+    """What holds of any good fit: row counts of both parts, and whether every prediction lies
+    within the train labels, none is null, the error is below the labels' spread, R² above 0."""
+    figures = fare_model_metrics(predictions, train)
+    low_high = train.agg(F.min(LABEL).alias("low"), F.max(LABEL).alias("high"))
+    shown = predictions.agg(
+        F.min("prediction").alias("least"),
+        F.max("prediction").alias("most"),
+        F.count_if(F.col("prediction").isNull()).alias("missing"),
+        F.stddev_pop(LABEL).alias("spread"),
+    )
+    # Three frames of one row each, side by side.
+    row = [frame.withColumn("one", F.lit(1)) for frame in (figures, low_high, shown)]
+    joined = row[0].join(row[1], "one").join(row[2], "one")
+    return joined.select(
+        "train_rows",
+        "test_rows",
+        ((F.col("least") >= F.col("low")) & (F.col("most") <= F.col("high"))).alias("within_labels"),
+        (F.col("missing") == 0).alias("all_predicted"),
+        (F.col("rmse") < F.col("spread")).alias("better_than_mean"),
+        (F.col("r2") > 0).alias("explains_some"),
     )

@@ -13,31 +13,21 @@ from kerbside.functions.derive import (
     with_tip_ratio,
 )
 from kerbside.functions.rules import anomaly_flags
-from kerbside.operators.core import count_by, count_flags, sum_of, top_k, with_keys
+from kerbside.operators.core import Trips, count_by, count_flags, sum_of, top_k, with_keys
 from kerbside.sources.shared import stored
 
-# A broadcast table of this many (zone, count) rows takes some 50 MB per executor.
-MAX_BROADCAST_ROWS = 500_000
-
-
-def with_zone_frequency(
-    trips: DataFrame, key: str = "PULocationID", max_broadcast_rows: int = MAX_BROADCAST_ROWS
-) -> DataFrame:
+def with_zone_frequency(trips: DataFrame, key: str = "PULocationID") -> DataFrame:
     """``zone_trip_frequency``: how many of the trips start in the trip's zone.
 
     A window over the zone would put a whole zone into one task. Instead the counts,
-    combined before their shuffle, are stored and their number is read off: while they
-    are few the trips stay where they are and the counts go to them. More than
-    ``max_broadcast_rows`` take a shuffled join, with both sides plain scans, so
-    adaptive execution can split hot zones. Counting runs when this is called.
+    combined before their shuffle, are stored and joined back. Both sides are plain scans:
+    Spark knows the counts' size and broadcasts them within the session's threshold, or
+    shuffles, and then adaptive execution can split hot zones. Counting runs when this is
+    called.
     """
     counts = stored(count_by(trips, [key]), "zone-counts")
-    zones, without_zone = counts.agg(
-        F.count("*"), F.max(F.when(F.col(key).isNull(), F.col("n")))
-    ).first()
+    without_zone = counts.agg(F.max(F.when(F.col(key).isNull(), F.col("n")))).first()[0]
     counts = counts.withColumnRenamed("n", "zone_trip_frequency")
-    if zones <= max_broadcast_rows:
-        counts = F.broadcast(counts)
     counted = trips.join(counts, key, "left")
     # A null key joins nothing: its count goes in as a value, and the join stays on a plain id.
     frequency = F.coalesce("zone_trip_frequency", F.lit(without_zone).cast("bigint"))
@@ -52,19 +42,19 @@ def feature_table(trips: DataFrame) -> DataFrame:
     return with_length_class(trips, (2, 10), ("short", "medium", "long"))
 
 
-def feature_trips_by_hour(trips: DataFrame) -> DataFrame:
+def feature_trips_by_hour(trips: Trips) -> DataFrame:
     return count_by(trips, ["hour"]).orderBy("hour")
 
 
-def revenue_by_hour(trips: DataFrame) -> DataFrame:
+def revenue_by_hour(trips: Trips) -> DataFrame:
     revenue = F.round(sum_of(trips, "total"), 2)
     return with_keys(trips, ["hour"]).groupBy("hour").agg(revenue.alias("revenue")).orderBy("hour")
 
 
-def anomaly_counts(trips: DataFrame) -> DataFrame:
+def anomaly_counts(trips: Trips) -> DataFrame:
     return count_flags(trips, anomaly_flags())
 
 
-def zone_frequency(trips: DataFrame, k: int = 10) -> DataFrame:
+def zone_frequency(trips: Trips, k: int = 10) -> DataFrame:
     """The ``k`` pickup zones with most trips."""
     return top_k(count_by(trips, ["PULocationID"]), "n", k, ["PULocationID"])

@@ -1,14 +1,17 @@
-"""The zone-by-hour heatmap, its figures, roll-ups and pivots."""
+"""The zone-by-hour heatmap, its figures, roll-ups and pivots.
+
+A cell without a zone counts in the figures; rankings and matrices leave it out, before any cut.
+"""
 
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.operators.core import count_by, top_k
+from kerbside.operators.core import Tally, Trips, count_by, top_k
 
 
-def heatmap(trips: DataFrame) -> DataFrame:
+def heatmap(trips: Trips) -> DataFrame:
     """``PULocationID``, ``hour`` and ``n`` for every pair that occurs."""
     return count_by(trips, ["PULocationID", "hour"])
 
@@ -24,17 +27,22 @@ def heatmap_kpis(heat: DataFrame) -> DataFrame:
 
 
 def heatmap_hourly(heat: DataFrame) -> DataFrame:
-    return count_by(heat, ["hour"]).orderBy("hour")
+    return count_by(Tally(heat), ["hour"]).orderBy("hour")
 
 
 def heatmap_top_zones(heat: DataFrame, k: int = 15) -> DataFrame:
-    return top_k(count_by(heat, ["PULocationID"]), "n", k, ["PULocationID"])
+    return busiest(heat, "PULocationID", k)
+
+
+def busiest(heat: DataFrame, key: str, k: int) -> DataFrame:
+    """The ``k`` keys with most trips, and ``n``."""
+    known = heat.filter(F.col(key).isNotNull())
+    return top_k(count_by(Tally(known), [key]), "n", k, [key])
 
 
 def keep_busiest(heat: DataFrame, key: str, n: int) -> DataFrame:
     """The cells whose ``key`` is among the ``n`` with most trips."""
-    busiest = top_k(count_by(heat, [key]), "n", n, [key]).select(key)
-    return heat.join(busiest, key, "left_semi")
+    return heat.join(busiest(heat, key, n).select(key), key, "left_semi")
 
 
 def heatmap_pivot(
@@ -51,6 +59,7 @@ def heatmap_pivot(
     Spark finds them, within its own limit. ``prefix`` goes before each column name.
     ``top_n`` keeps the busiest of the row keys.
     """
+    heat = heat.filter(F.col(rows).isNotNull() & F.col(columns).isNotNull())
     if top_n is not None:
         heat = keep_busiest(heat, rows, top_n)
     pivot = heat.groupBy(rows).pivot(columns, None if values is None else list(values)).sum("n")

@@ -7,14 +7,15 @@ from pyspark.sql import functions as F
 
 from kerbside import operators as ops
 from kerbside.functions import clean, trip_seconds, with_tip_ratio
-from kerbside.plans.reports import payment_report
+from kerbside.plans import reports
+from kerbside.plans.published import KEYS, published
 from kerbside.sources import (
     fresh_path,
     read_heatmap,
     stored,
     trips_table,
     write_heatmap,
-    write_results,
+    written_once,
     zones_table,
 )
 
@@ -67,24 +68,22 @@ def heatmap_csv_roundtrip(spark: SparkSession, tables: str) -> DataFrame:
     return read_heatmap(spark, path)
 
 
-def published_results(spark: SparkSession, tables: str) -> DataFrame:
-    """Payment results published as tables, read back as one long table."""
-    results = payment_report(trips_table(spark, tables))
-    out = fresh_path(spark, "results")
-    write_results(results, out)
+def _published(report: str) -> Query:
+    """A report's tables, published and read back."""
 
-    def back(name: str, key: str, value: str) -> DataFrame:
-        return spark.read.schema(results[name].schema).parquet(f"{out}/{name}").select(
-            F.lit(name).alias("result"),
-            F.col(key).cast("string").alias("result_key"),
-            F.col(value).cast("double").alias("result_value"),
-        )
+    def query(spark: SparkSession, tables: str) -> DataFrame:
+        trips = trips_table(spark, tables)
+        if report == "spatial":
+            results = reports.spatial_report(trips, zones_table(spark, tables))
+        elif report == "heatmap":
+            heat = heatmap_csv_roundtrip(spark, tables)
+            results = reports.heatmap_report(heat, zones=MAPPED_ZONES)
+        else:
+            name = "payments" if report == "results" else report
+            results = reports.TRIP_REPORTS[name](trips)
+        return published(spark, report, results)
 
-    return (
-        back("payment_distribution", "payment_type", "n")
-        .unionAll(back("tips_by_hour", "hour", "avg_tip"))
-        .unionAll(back("tips_by_day", "day_of_week", "avg_tip"))
-    )
+    return query
 
 
 def enrich_trips(spark: SparkSession, tables: str) -> DataFrame:
@@ -134,21 +133,39 @@ def heatmap_top_n(trips: DataFrame) -> DataFrame:
     return ops.heatmap_pivot(heat, "PULocationID", "hour", HOURS, "h", top_n=15)
 
 
-def _scored(trips: DataFrame) -> tuple[DataFrame, DataFrame]:
-    train, test = ops.split(ops.ml_dataset(trips))
-    return ops.fare_predictions(ops.fit_fare_model(train), test), train
+def _parts(spark: SparkSession, tables: str) -> tuple[DataFrame, DataFrame]:
+    return ops.split(ops.ml_dataset(model(spark, tables)))
+
+
+def fare_predictions(spark: SparkSession, tables: str) -> DataFrame:
+    """The scored test rows: fitted and stored once per application."""
+
+    def write(path: str) -> None:
+        train, test = _parts(spark, tables)
+        ops.fare_predictions(ops.fit_fare_model(train), test).write.parquet(path)
+
+    return spark.read.parquet(written_once(spark, tables, "fare-predictions", write))
+
+
+def fare_model_metrics(spark: SparkSession, tables: str) -> DataFrame:
+    return ops.fare_model_metrics(fare_predictions(spark, tables), _parts(spark, tables)[0])
+
+
+def fare_model_checks(spark: SparkSession, tables: str) -> DataFrame:
+    return ops.fare_model_checks(fare_predictions(spark, tables), _parts(spark, tables)[0])
 
 
-def fare_predictions(trips: DataFrame) -> DataFrame:
-    return _scored(trips)[0]
+def fare_prediction_sample(spark: SparkSession, tables: str) -> DataFrame:
+    sample = ops.fare_sample_rows(fare_predictions(spark, tables))
+    return sample.select("trip_distance", "total_amount", "prediction")
 
 
-def fare_model_metrics(trips: DataFrame) -> DataFrame:
-    return ops.fare_model_metrics(*_scored(trips))
+def fare_test_rows(spark: SparkSession, tables: str) -> DataFrame:
+    return fare_predictions(spark, tables).drop("prediction")
 
 
-def fare_prediction_sample(trips: DataFrame) -> DataFrame:
-    return ops.fare_prediction_sample(_scored(trips)[0])
+def fare_sample_rows(spark: SparkSession, tables: str) -> DataFrame:
+    return fare_prediction_sample(spark, tables).drop("prediction")
 
 
 QUERIES: dict[str, Query] = {
@@ -156,7 +173,7 @@ QUERIES: dict[str, Query] = {
     "scan_trips": scan_trips,
     "zone_lookup": zones_table,
     "heatmap_csv_roundtrip": heatmap_csv_roundtrip,
-    "published_results": published_results,
+    **{f"published_{report}": _published(report) for report in KEYS},
     # derived columns and rule sets
     "enrich_trips": enrich_trips,
     "tip_ratios": _over(payment, tip_ratios),
@@ -210,7 +227,10 @@ QUERIES: dict[str, Query] = {
     "ml_dataset": _over(model, ops.ml_dataset),
     "split_counts": _over(model, lambda t: ops.split_counts(ops.ml_dataset(t))),
     "day_index": _over(model, lambda t: ops.day_index(ops.ml_dataset(t))),
-    "fare_predictions": _over(model, fare_predictions),
-    "fare_model_metrics": _over(model, fare_model_metrics),
-    "fare_prediction_sample": _over(model, fare_prediction_sample),
+    "fare_predictions": fare_predictions,
+    "fare_model_metrics": fare_model_metrics,
+    "fare_model_checks": fare_model_checks,
+    "fare_prediction_sample": fare_prediction_sample,
+    "fare_test_rows": fare_test_rows,
+    "fare_sample_rows": fare_sample_rows,
 }

@@ -3,6 +3,8 @@
 Every query starts from the order tables themselves and derives the trips anew.
 """
 
+from kerbside.plans.published import KEYS, published_sql
+
 _TRIPS = """
 keyed AS (
   SELECT l.*, o_orderpriority,
@@ -167,15 +169,6 @@ ORACLE: dict[str, str] = {
     ),
     "zone_lookup": _sql("raw", "SELECT LocationID, Borough, Zone FROM zones"),
     "heatmap_csv_roundtrip": _sql("timed", "SELECT * FROM heat", _HEAT),
-    "published_results": _sql(
-        "payment",
-        "SELECT 'payment_distribution' AS result, CAST(payment_type AS VARCHAR) AS result_key, "
-        "CAST(count(*) AS DOUBLE) AS result_value FROM t GROUP BY payment_type "
-        "UNION ALL SELECT 'tips_by_hour', CAST(hour AS VARCHAR), "
-        f"{_round2('avg(tip_amount)')} FROM t GROUP BY hour "
-        f"UNION ALL SELECT 'tips_by_day', day_of_week, {_round2('avg(tip_amount)')} "
-        "FROM t GROUP BY day_of_week",
-    ),
     "enrich_trips": _sql(
         "quality",
         "SELECT tpep_pickup_datetime AS pickup_ts, tpep_dropoff_datetime AS dropoff_ts, "
@@ -340,8 +333,8 @@ ORACLE: dict[str, str] = {
     ),
     "heatmap_top_zones": _sql(
         "timed",
-        "SELECT PULocationID, CAST(sum(n) AS BIGINT) AS n FROM heat GROUP BY 1 "
-        "ORDER BY n DESC, 1 LIMIT 15",
+        "SELECT PULocationID, CAST(sum(n) AS BIGINT) AS n FROM heat WHERE PULocationID IS NOT NULL "
+        "GROUP BY 1 ORDER BY n DESC, 1 LIMIT 15",
         _HEAT,
     ),
     "heatmap_by_hour": _sql(
@@ -363,3 +356,69 @@ ORACLE: dict[str, str] = {
         f",\ndays AS (SELECT day_of_week, count(*) AS n FROM ({_ML}) GROUP BY day_of_week)",
     ),
 }
+
+# Which rows of the model's input are test rows: an MD5 of the seed and all columns, fractions as
+# whole millionths.
+_PART = (
+    f",\nml AS ({_ML}),\nparts_of AS (SELECT *, CAST('0x' || substr(md5(concat_ws('|', 1234, "
+    "PULocationID, DOLocationID, CAST(round(trip_distance * 1000000) AS BIGINT), hour, "
+    "day_of_week, CAST(round(total_amount * 1000000) AS BIGINT))), 1, 8) AS BIGINT) % 10000 < 2000 "
+    "AS is_test FROM ml)"
+)
+
+ORACLE |= {
+    "split_counts": _sql(
+        "model",
+        "SELECT CASE WHEN is_test THEN 'test' ELSE 'train' END AS part, count(*) AS n "
+        "FROM parts_of GROUP BY 1",
+        _PART,
+    ),
+    "fare_test_rows": _sql("model", "SELECT * EXCLUDE (is_test) FROM parts_of WHERE is_test", _PART),
+    "fare_model_checks": _sql(
+        "model",
+        "SELECT count(*) FILTER (WHERE NOT is_test) AS train_rows, "
+        "count(*) FILTER (WHERE is_test) AS test_rows, TRUE AS within_labels, "
+        "TRUE AS all_predicted, TRUE AS better_than_mean, TRUE AS explains_some FROM parts_of",
+        _PART,
+    ),
+    "fare_sample_rows": _sql(
+        "model",
+        "SELECT trip_distance, total_amount FROM parts_of WHERE is_test ORDER BY trip_distance, "
+        "total_amount, PULocationID, DOLocationID, hour, day_of_week LIMIT 10",
+        _PART,
+    ),
+}
+
+# Value columns of the results that reports publish.
+_VALUES = {
+    "profile_summary": ["n"],
+    "null_profile": ["null_count"],
+    "outlier_counts": ["invalid_distance", "negative_fare", "invalid_passengers", "invalid_dates"],
+    "speed_by_hour": ["avg_speed_kmh"],
+    "speed_by_day": ["avg_speed_kmh"],
+    "distance_duration_stats": ["trip_distance", "trip_duration"],
+    "tip_stats": ["avg_tip", "avg_tip_percent", "total_tips"],
+    "tips_by_hour": ["avg_tip"],
+    "tips_by_day": ["avg_tip"],
+    "payment_comparison": ["avg_total_amount", "avg_distance", "avg_speed"],
+    "carpool_summary": ["short_trips", "carpool_groups"],
+    "carpool_gains": ["distance_saved", "fare_saved", "time_saved"],
+    "revenue_by_hour": ["revenue"],
+    "anomaly_counts": ["very_short", "very_long", "too_fast", "too_lengthy"],
+    "heatmap_kpis": ["cells", "trips", "hours", "zones"],
+    "heatmap_by_hour": [f"z{zone}" for zone in range(27)],
+    "heatmap_top_n": [f"h{hour}" for hour in range(24)],
+}
+_TOTALS = {"quality": "quality", "spatial": "timed", "features": "feature"}
+
+
+def _published(report: str) -> str:
+    def sql(result: str) -> tuple[str, list[str]]:
+        if result in ("trips", "clean_trips"):
+            return _sql(_TOTALS[report], "SELECT count(*) AS n FROM t"), ["n"]
+        return ORACLE[result], _VALUES.get(result, ["n"])
+
+    return published_sql(report, sql)
+
+
+ORACLE |= {f"published_{report}": _published(report) for report in KEYS}

@@ -4,7 +4,7 @@ A report first stores a tally on the keys its results need between them, at most
 million rows however many trips there are, and rolls each result up from that.
 """
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 
@@ -15,6 +15,10 @@ from kerbside.sources import stored
 Results = dict[str, DataFrame]
 
 
+def _stored(counts: ops.Tally, name: str) -> ops.Tally:
+    return ops.Tally(stored(counts.frame, name))
+
+
 def profile_report(trips: DataFrame) -> Results:
     """Size, period, nulls and outliers of raw trips: one pass."""
     row = stored(ops.profile_row(trips), "profile")
@@ -26,23 +30,24 @@ def profile_report(trips: DataFrame) -> Results:
 
 
 def quality_report(trips: DataFrame) -> Results:
-    """Distance classes, speeds and statistics: one pass for the tally, one for the statistics."""
+    """Distance classes, speeds and statistics: one pass."""
     rows = clean(trips, "quality")
     keys = ["trip_category", "hour", "day_of_week"]
-    counts = stored(ops.tally(with_length_class(rows), keys, ["speed"]), "quality")
+    counts = ops.tally(with_length_class(rows), keys, ["speed"], spreads=ops.described_columns())
+    counts = _stored(counts, "quality")
     return {
         "clean_trips": ops.count_all(counts),
         "trip_category_dist": ops.trip_category_dist(counts),
         "speed_by_hour": ops.speed_by_hour(counts),
         "speed_by_day": ops.speed_by_day(counts),
-        "distance_duration_stats": ops.distance_duration_stats(rows),
+        "distance_duration_stats": ops.distance_duration_stats(counts, scale=6),
     }
 
 
 def spatial_report(trips: DataFrame, zones: DataFrame) -> Results:
     """Zones, times, hotspots, flows and the heatmap: one pass."""
     keys = ["PULocationID", "DOLocationID", "hour", "day_of_week"]
-    counts = stored(ops.tally(clean(trips, "timed"), keys), "spatial")
+    counts = _stored(ops.tally(clean(trips, "timed"), keys), "spatial")
     return {
         "trips": ops.count_all(counts),
         "top_pickup_zones": ops.top_zones(counts, zones),
@@ -59,7 +64,7 @@ def payment_report(trips: DataFrame) -> Results:
     """Payment types and tips: one pass."""
     keys = ["payment_type", "hour", "day_of_week"]
     measures = ["tip", "tip_ratio", "total", "distance", "speed"]
-    counts = stored(ops.tally(clean(trips, "payment"), keys, measures), "payments")
+    counts = _stored(ops.tally(clean(trips, "payment"), keys, measures), "payments")
     return {
         "payment_distribution": ops.payment_distribution(counts),
         "tip_stats": ops.tip_stats(counts),
@@ -82,7 +87,7 @@ def feature_report(trips: DataFrame) -> Results:
     """Hourly trips and revenue, anomalies and busiest zones: one pass."""
     keys = ["PULocationID", "hour"]
     counts = ops.tally(clean(trips, "feature"), keys, ["total"], anomaly_flags())
-    counts = stored(counts, "features")
+    counts = _stored(counts, "features")
     return {
         "trips": ops.count_all(counts),
         "feature_trips_by_hour": ops.feature_trips_by_hour(counts),
@@ -96,20 +101,26 @@ def fare_model_report(trips: DataFrame) -> Results:
     """Fit once, score once: metrics and a sample of the predictions."""
     rows = stored(ops.ml_dataset(clean(trips, "model")), "model-rows")
     train, test = ops.split(rows)
-    scored = stored(ops.fare_predictions(ops.fit_fare_model(train), test), "predictions")
+    model = ops.fit_fare_model(train)
+    scored = stored(ops.fare_predictions(model, test), "predictions")
     return {
         "fare_model_metrics": ops.fare_model_metrics(scored, train),
-        "fare_prediction_sample": ops.fare_prediction_sample(scored),
+        "fare_prediction_sample": ops.fare_prediction_sample(model, test),
     }
 
 
-def heatmap_report(heat: DataFrame, top_n: int = 15) -> Results:
-    """Figures, roll-ups and both matrices of a heatmap read back from its CSV."""
+def heatmap_report(
+    heat: DataFrame, top_n: int = 15, zones: Sequence[int] | None = None
+) -> Results:
+    """Figures, roll-ups and both matrices of a heatmap read back from its CSV.
+
+    ``zones`` names the columns of the matrix by hour; without it Spark looks them up.
+    """
     return {
         "heatmap_kpis": ops.heatmap_kpis(heat),
         "heatmap_hourly": ops.heatmap_hourly(heat),
         "heatmap_top_zones": ops.heatmap_top_zones(heat),
-        "heatmap_by_hour": ops.heatmap_pivot(heat, "hour", "PULocationID", prefix="z"),
+        "heatmap_by_hour": ops.heatmap_pivot(heat, "hour", "PULocationID", zones, "z"),
         "heatmap_top_n": ops.heatmap_pivot(
             heat, "PULocationID", "hour", range(24), prefix="h", top_n=top_n
         ),

@@ -4,14 +4,12 @@ One trip per order line. Distances and amounts are multiples of 0.25, so sums of
 doubles are exact in any order of addition.
 """
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.sources.readers import conform_trips, read_trips, read_zone_lookup
-from kerbside.sources.schema import TRIP_SCHEMA
-from kerbside.sources.shared import fresh_path, shuffles_sized_for, still_there
+from kerbside.sources.schema import TRIP_COLUMNS, TRIP_SCHEMA
+from kerbside.sources.shared import session_for_shuffle, written_once
 from kerbside.sources.sinks import write_csv
 
 _AMOUNTS = (
@@ -110,7 +108,7 @@ def mapped_trips(spark: SparkSession, tables: str) -> DataFrame:
         F.timestamp_add("SECOND", seconds.cast("int"), F.col("tpep_pickup_datetime")),
     )
     total = sum((F.coalesce(F.col(name), F.lit(0.0)) for name in _AMOUNTS), F.lit(0.0))
-    return conform_trips(trips.withColumn("total_amount", total))
+    return conform_trips(trips.withColumn("total_amount", total).select(*TRIP_COLUMNS))
 
 
 def mapped_zones(spark: SparkSession, tables: str) -> DataFrame:
@@ -124,65 +122,32 @@ def mapped_zones(spark: SparkSession, tables: str) -> DataFrame:
     )
 
 
-# What this process has written: (application, tables, name) -> (state of the inputs, path).
-_written: dict[tuple[str, str, str], tuple[tuple, str]] = {}
-
-# Fixed value: Spark's default for the bytes of a file that one task reads.
-_BYTES_PER_TASK = 128 * 1024 * 1024
-
-
-def _written_once(
+def trips_table(
     spark: SparkSession,
     tables: str,
-    name: str,
-    inputs: list[str],
-    write: Callable[[str, int, int], None],
-) -> str:
-    """The path of a table derived from ``inputs``, written anew when one has changed or
-    the table is gone.
-
-    ``write`` gets the path, and the number of files and bytes of the inputs.
-    """
-    files = spark.read.format("binaryFile").load([f"{tables}/{table}.parquet" for table in inputs])
-    state = tuple(
-        files.agg(F.count("*"), F.sum("length"), F.max("modificationTime").cast("string")).first()
-    )
-    key = (spark.sparkContext.applicationId, tables, name)
-    known, path = _written.get(key, (None, None))
-    if known != state or not still_there(spark, path):
-        path = fresh_path(spark, name)
-        write(path, *state[:2])
-        _written[key] = (state, path)
-    return path
-
-
-def trips_table(spark: SparkSession, tables: str) -> DataFrame:
+    partitions: int | None = None,
+    shuffle_partitions: int | None = None,
+) -> DataFrame:
     """The mapped trips as a stored trip table.
 
     Deriving a trip takes a join and some hundred operations, and no filter on a derived
     column can reach the scan. So the table is written once per application, and each
-    query reads the columns and row groups it needs. Input too small to give every core
-    a task, few files of few bytes, is spread over the cores first; other input is
-    written as it comes.
+    query reads the columns and row groups it needs. Its files are as the input's, or
+    ``partitions`` of them where the first caller says so. ``shuffle_partitions`` is the
+    number for the join of whole tables: a few hundred megabytes each is a good size.
     """
 
-    def write(path: str, files: int, size: int) -> None:
-        trips, cores = mapped_trips(spark, tables), spark.sparkContext.defaultParallelism
-        if files < cores and size < cores * _BYTES_PER_TASK:
-            trips = trips.repartition(cores)
-        with shuffles_sized_for(spark, size):
-            trips.write.parquet(path)
+    def write(path: str) -> None:
+        trips = mapped_trips(session_for_shuffle(spark, shuffle_partitions), tables)
+        (trips if partitions is None else trips.repartition(partitions)).write.parquet(path)
 
-    path = _written_once(spark, tables, "trips", ["lineitem", "orders"], write)
-    return read_trips(spark, path, TRIP_SCHEMA)
+    return read_trips(spark, written_once(spark, tables, "trips", write), TRIP_SCHEMA)
 
 
 def zones_table(spark: SparkSession, tables: str) -> DataFrame:
     """The mapped zone lookup as a stored CSV."""
 
-    def write(path: str, files: int, size: int) -> None:
+    def write(path: str) -> None:
         write_csv(mapped_zones(spark, tables), path)
 
-    return read_zone_lookup(
-        spark, _written_once(spark, tables, "zone-lookup", ["nation", "region"], write)
-    )
+    return read_zone_lookup(spark, written_once(spark, tables, "zone-lookup", write))

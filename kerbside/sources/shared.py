@@ -2,17 +2,16 @@
 
 import tempfile
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Tables written by ``stored`` and not yet released.
+# Paths handed out in the shared folder and not yet released.
 _kept: list[str] = []
 
-# Input bytes per shuffle partition, and the most partitions worth tracking.
-_BYTES_PER_SHUFFLE_PARTITION = 256 * 1024 * 1024
-_MAX_SHUFFLE_PARTITIONS = 20_000
+
+# What this process has written: (application, tables, name) -> path.
+_written: dict[tuple[str, str, str], str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -33,15 +32,16 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that no other run uses."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A path in the shared folder that no other run uses; ``release_stored`` deletes it."""
+    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _kept.append(path)
+    return path
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as parquet in the shared folder and read back."""
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
-    _kept.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -51,31 +51,52 @@ def _file_system(spark: SparkSession, path: str):
     return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
 
 
-def still_there(spark: SparkSession, path: str) -> bool:
-    """Whether a table written to ``path`` has not been cleared away."""
+def release(spark: SparkSession, path: str) -> None:
+    """Delete one table. Frames that read it are void then."""
     files, location = _file_system(spark, path)
-    return files.exists(location)
+    files.delete(location, True)
+    if path in _kept:
+        _kept.remove(path)
+    for key in [key for key, known in _written.items() if known == path]:
+        del _written[key]
 
 
 def release_stored(spark: SparkSession) -> None:
-    """Delete the tables that ``stored`` has written. Frames that read them are void then."""
+    """Delete every table under a path that ``fresh_path`` or ``stored`` has handed out."""
     while _kept:
-        files, path = _file_system(spark, _kept.pop())
-        files.delete(path, True)
+        release(spark, _kept[-1])
+
+
+def written_once(
+    spark: SparkSession, tables: str, name: str, write: Callable[[str], None]
+) -> str:
+    """The path of a table derived from the tables in a folder, written once per application.
+
+    Nothing is listed or compared on later calls; ``refresh`` makes the next one write anew.
+    """
+    key = (spark.sparkContext.applicationId, tables, name)
+    if key not in _written:
+        path = fresh_path(spark, name)
+        write(path)
+        _written[key] = path
+    return _written[key]
+
+
+def refresh(spark: SparkSession, tables: str) -> None:
+    """Delete what was derived from the tables in a folder. To be called when they have changed."""
+    application = spark.sparkContext.applicationId
+    for path in [path for key, path in _written.items() if key[:2] == (application, tables)]:
+        release(spark, path)
 
 
-@contextmanager
-def shuffles_sized_for(spark: SparkSession, size: int) -> Iterator[None]:
-    """More shuffle partitions while ``size`` bytes of input are shuffled whole.
+def session_for_shuffle(spark: SparkSession, partitions: int | None) -> SparkSession:
+    """A session of its own with a number of shuffle partitions, for one wide job.
 
-    The session's number is never lowered: adaptive execution joins what is too small,
-    but it does not divide partitions that are all too large.
+    The caller's session keeps its number, also for queries that run at the same time.
+    Without a number it is the caller's session.
     """
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    wanted = min(size // _BYTES_PER_SHUFFLE_PARTITION, _MAX_SHUFFLE_PARTITIONS)
-    spark.conf.set(key, str(max(wanted, int(before))))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+    if partitions is None:
+        return spark
+    session = spark.newSession()
+    session.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    return session

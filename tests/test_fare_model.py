@@ -79,7 +79,27 @@ def test_same_model_on_a_rerun(parts, scored):
     assert again.agg(total).first()[0] == pytest.approx(scored.agg(total).first()[0], rel=1e-12)
 
 
-def test_sample_is_repeatable(scored):
-    first = ops.fare_prediction_sample(scored).collect()
+def test_sample_is_repeatable(parts):
+    train, test = parts
+    model = ops.fit_fare_model(train, trees=2)
+    first = ops.fare_prediction_sample(model, test).collect()
     assert len(first) == 10
-    assert first == ops.fare_prediction_sample(scored.repartition(5)).collect()
+    assert first == ops.fare_prediction_sample(model, test.repartition(5)).collect()
+
+
+def test_the_layout_moves_the_figures_little(parts):
+    train, test = parts
+    seen = []
+    for partitions in (3, 8, 64):
+        model = ops.fit_fare_model(train.repartition(partitions, "trip_distance", "hour"))
+        seen.append(ops.fare_model_metrics(ops.fare_predictions(model, test), train).first())
+    assert max(row["rmse"] for row in seen) - min(row["rmse"] for row in seen) < 0.3
+    assert max(row["r2"] for row in seen) - min(row["r2"] for row in seen) < 0.05
+
+
+def test_checks_hold_and_can_fail(parts, scored):
+    train, _ = parts
+    checks = ops.fare_model_checks(scored, train).first().asDict()
+    assert all(value is True for name, value in checks.items() if not name.endswith("_rows"))
+    far = scored.withColumn("prediction", F.lit(1e9))
+    assert not ops.fare_model_checks(far, train).first()["within_labels"]

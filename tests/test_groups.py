@@ -159,13 +159,12 @@ def test_slot_groups_against_brute_force(spark):
     assert got == {key: group for key, group in expected.items() if group[0] >= 2}
 
 
-def test_zone_frequency_counts_every_zone_with_and_without_broadcast(spark):
+def test_zone_frequency_counts_every_zone(spark):
     ids = [1, 1, 1, 2, None, None]
     trips = frame(spark, [trip(PULocationID=z) for z in ids])
     expected = Counter((z, ids.count(z)) for z in ids)
-    for limit in (500_000, 2):
-        counted = ops.with_zone_frequency(trips, max_broadcast_rows=limit)
-        assert Counter(rows(counted.select("PULocationID", "zone_trip_frequency"))) == expected
+    counted = ops.with_zone_frequency(trips)
+    assert Counter(rows(counted.select("PULocationID", "zone_trip_frequency"))) == expected
 
 
 def test_heatmap_figures_and_matrices(spark):
@@ -203,3 +202,24 @@ def test_a_tally_gives_what_the_trips_give(spark):
 def test_a_trip_column_called_n_is_no_count(spark):
     trips = frame(spark, [trip(), trip()]).withColumn("n", F.lit(50))
     assert rows(ops.count_by(trips, ["PULocationID"])) == [(1, 2)]
+    other = trips.select("PULocationID", "n")
+    assert rows(ops.count_by(other, ["PULocationID"])) == [(1, 2)]
+    assert rows(ops.count_by(trips.withColumn("hour", F.lit(3)), ["hour"])) == [(8, 2)]
+
+
+def test_a_null_zone_takes_no_rank(spark):
+    heat = ops.heatmap(frame(spark, [trip(PULocationID=z) for z in [None] * 3 + [*range(1, 17)]]))
+    assert len(rows(ops.heatmap_top_zones(heat, 15))) == 15
+    assert rows(ops.heatmap_top_zones(heat, 2)) == [(1, 1), (2, 1)]
+    assert len(rows(ops.heatmap_pivot(heat, "PULocationID", "hour", [8], "h", top_n=15))) == 15
+    named = ops.heatmap_pivot(heat, "hour", "PULocationID", range(1, 17), "z")
+    assert named.columns == ops.heatmap_pivot(heat, "hour", "PULocationID", prefix="z").columns
+
+
+def test_statistics_of_a_tally(spark):
+    made = [trip(trip_distance=d / 7, at=PICKUP + timedelta(hours=d % 5)) for d in range(1, 90)]
+    trips = frame(spark, made)
+    columns = {"x": F.col("trip_distance")}
+    for part in (trips, trips.limit(1), trips.limit(0)):
+        tally = ops.tally(part, ["hour"], spreads=columns)
+        assert rows(ops.numeric_stats(tally, columns, 9)) == rows(ops.numeric_stats(part, columns, 9))

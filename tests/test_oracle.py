@@ -1,7 +1,9 @@
 import pytest
 from compare import connect, differences
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from kerbside.plans.catalog import QUERIES
+from kerbside.plans.oracle import ORACLE
 
 FOLDERS = ["/root/testdata/sf0.001", "/root/testdata/sf0.01"]
 
@@ -16,13 +18,13 @@ def db(tables):
     return connect(tables)
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_matches_oracle(spark, tables, db, name):
-    assert differences(queries()[name](spark, tables), db, oracle_sql()[name]) == []
+    assert differences(QUERIES[name](spark, tables), db, ORACLE[name]) == []
 
 
 def test_every_oracle_has_a_query():
-    assert set(oracle_sql()) <= set(queries())
+    assert set(ORACLE) <= set(QUERIES)
 
 
 def test_entry(spark):

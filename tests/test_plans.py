@@ -6,14 +6,21 @@ import pytest
 from pyspark.sql import functions as F
 from trips import frame, trip
 
-from __spark_entry__ import oracle_sql, queries
+from kerbside.plans.catalog import QUERIES
+from kerbside.plans.oracle import ORACLE
+from kerbside.plans.reports import quality_report
 from kerbside import operators as ops
 from kerbside.functions import clean
 from kerbside.sources import read_trips, trips_table, zones_table
 from kerbside.sources.mapped import mapped_trips
 
 TABLES = "/root/testdata/sf0.001"
-MODEL = {"fare_predictions", "fare_model_metrics", "fare_prediction_sample"}
+MODEL = {
+    "fare_predictions",
+    "fare_model_metrics",
+    "fare_model_checks",
+    "fare_prediction_sample",
+}
 
 
 def plan(df) -> str:
@@ -27,9 +34,9 @@ def scanned(df) -> set[str]:
     return {field.split(":")[0] for schema in schemas for field in schema.split(",") if field}
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - MODEL))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - MODEL))
 def test_no_python_no_cross_join_no_window(spark, name):
-    text = plan(queries()[name](spark, TABLES))
+    text = plan(QUERIES[name](spark, TABLES))
     for banned in ("Python", "Pandas", "CartesianProduct", "NestedLoopJoin", "Window ("):
         assert banned not in text
 
@@ -85,13 +92,12 @@ def test_one_scan_for_all_flags_and_nulls(trips):
         assert tree.count("Scan parquet") == 1 and tree.count("Exchange") == 1
 
 
-def test_zone_counts_are_broadcast_only_while_few(spark):
+def test_zone_counts_are_broadcast_within_the_sessions_threshold(spark):
     some = frame(spark, [trip(PULocationID=z) for z in range(5)])
-    assert "BroadcastHashJoin" in plan(ops.with_zone_frequency(some))
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
-        assert "SortMergeJoin" in plan(ops.with_zone_frequency(some, max_broadcast_rows=4))
+        assert "SortMergeJoin" in plan(ops.with_zone_frequency(some))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
@@ -123,7 +129,7 @@ def ran(df) -> str:
 def test_a_hot_zone_is_split_where_zone_counts_are_not_broadcast(spark, trips, tight):
     hot = F.when(F.col("passenger_count") < 4, 7).otherwise(F.col("PULocationID"))
     skewed = trips.withColumn("PULocationID", hot.cast("int")).repartition(8)
-    counted = ops.with_zone_frequency(skewed, max_broadcast_rows=1)
+    counted = ops.with_zone_frequency(skewed)
     assert "skew=true" in ran(counted)
     assert counted.count() == 6000
 
@@ -141,4 +147,15 @@ def test_a_hot_order_is_split_in_the_mapping(spark, tmp_path, tight):
 
 
 def test_every_query_but_the_forest_has_an_oracle():
-    assert set(queries()) - set(oracle_sql()) == MODEL | {"split_counts"}
+    assert set(QUERIES) - set(ORACLE) == MODEL - {"fare_model_checks"}
+
+
+def test_a_quality_report_scans_the_trips_once(trips):
+    results = quality_report(trips)
+    assert all("trips-" not in plan(frame) and "/t]" not in plan(frame) for frame in results.values())
+    assert "quality-" in plan(results["distance_duration_stats"])
+
+
+def test_day_index_scans_once(trips):
+    tree = plan(ops.day_index(ops.ml_dataset(trips))).split("\n\n")[0]
+    assert tree.count("Scan parquet") == 1 and "Exchange" not in tree

@@ -4,7 +4,8 @@ import duckdb
 import pytest
 from compare import TABLES, connect, differences
 
-from __spark_entry__ import oracle_sql, queries
+from kerbside.plans.catalog import QUERIES
+from kerbside.plans.oracle import ORACLE
 
 SOURCE = "/root/testdata/sf0.001"
 
@@ -40,11 +41,11 @@ def db(skewed):
     return connect(skewed)
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_matches_oracle(spark, skewed, db, name):
-    assert differences(queries()[name](spark, skewed), db, oracle_sql()[name]) == []
+    assert differences(QUERIES[name](spark, skewed), db, ORACLE[name]) == []
 
 
 def test_the_hot_line_survives_cleaning(spark, skewed):
     for rules in ("quality", "payment", "carpool", "feature", "model"):
-        assert queries()[f"clean_{rules}"](spark, skewed).first()["n"] > 7000
+        assert QUERIES[f"clean_{rules}"](spark, skewed).first()["n"] > 7000

@@ -7,15 +7,17 @@ from pyspark.sql import functions as F
 from trips import PICKUP, frame, trip
 
 from kerbside.operators import heatmap
+from kerbside.plans import catalog
 from kerbside.sources import (
     TRIP_COLUMNS,
     mapped,
     read_heatmap,
     read_trips,
     read_zone_lookup,
+    refresh,
     release_stored,
+    session_for_shuffle,
     shared_folder,
-    shuffles_sized_for,
     stored,
     trips_table,
     write_heatmap,
@@ -31,10 +33,29 @@ def test_read_trips_from_several_files(spark, tmp_path):
     assert both.count() == read_trips(spark, f"{tmp_path}/*").count() == 2
 
 
-def test_read_trips_orders_and_drops_columns(spark, tmp_path):
+def test_read_trips_orders_columns_and_refuses_unknown_ones(spark, tmp_path):
     odd = frame(spark, [trip()]).select(*reversed(TRIP_COLUMNS), F.lit(1).alias("note"))
-    odd.withColumnRenamed("Airport_fee", "airport_fee").write.parquet(f"{tmp_path}/t")
+    odd = odd.withColumnRenamed("Airport_fee", "airport_fee")
+    odd.drop("note").write.parquet(f"{tmp_path}/t")
     assert read_trips(spark, f"{tmp_path}/t").columns == TRIP_COLUMNS
+    odd.write.parquet(f"{tmp_path}/u")
+    with pytest.raises(ValueError, match="note"):
+        read_trips(spark, f"{tmp_path}/u")
+    assert "note" in read_trips(spark, f"{tmp_path}/u", strict=False).columns
+
+
+def test_months_with_other_types_and_columns(spark, tmp_path):
+    month = frame(spark, [trip(passenger_count=2)])
+    month.write.parquet(f"{tmp_path}/a")
+    other = month.withColumn("passenger_count", F.col("passenger_count").cast("double"))
+    other = other.withColumn("VendorID", F.col("VendorID").cast("bigint"))
+    other.write.parquet(f"{tmp_path}/b")
+    both = read_trips(spark, [f"{tmp_path}/a", f"{tmp_path}/b"])
+    assert both.dtypes == month.dtypes
+    assert both.filter("passenger_count = 2 AND VendorID = 1").count() == 2
+    other.drop("cbd_congestion_fee").write.parquet(f"{tmp_path}/c")
+    three = read_trips(spark, [f"{tmp_path}/{name}" for name in "abc"], strict=False)
+    assert three.filter("cbd_congestion_fee IS NULL").count() == 1 and three.count() == 3
 
 
 def test_read_trips_names_missing_columns(spark, tmp_path):
@@ -116,13 +137,12 @@ def test_stored_tables_can_be_released(spark):
     assert not folder.exists()
 
 
-def test_shuffle_partitions_grow_with_the_input_and_come_back(spark):
+def test_a_session_for_a_wide_shuffle_leaves_the_callers_alone(spark):
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
-    for size, expected in ((10, before), (10**12, "3725"), (10**14, "20000")):
-        with shuffles_sized_for(spark, size):
-            assert spark.conf.get(key) == expected
-        assert spark.conf.get(key) == before
+    assert session_for_shuffle(spark, 400_000).conf.get(key) == "400000"
+    assert spark.conf.get(key) == before
+    assert session_for_shuffle(spark, None) is spark
 
 
 def _order_tables(spark, folder, lines):
@@ -136,21 +156,37 @@ def _order_tables(spark, folder, lines):
     ).write.mode("overwrite").parquet(f"{folder}/orders.parquet")
 
 
-def test_trips_are_written_once_and_anew_when_the_tables_change(spark, tmp_path):
+def test_trips_are_written_once_and_anew_after_a_refresh(spark, tmp_path):
     _order_tables(spark, str(tmp_path), 3)
     first = trips_table(spark, str(tmp_path))
     assert trips_table(spark, str(tmp_path)).inputFiles() == first.inputFiles()
     assert first.count() == 3
+    folder = Path(urlparse(first.inputFiles()[0]).path).parent
     _order_tables(spark, str(tmp_path), 50)
-    second = trips_table(spark, str(tmp_path))
-    assert second.count() == 50
-    folder = Path(urlparse(second.inputFiles()[0]).path).parent
-    for file in folder.iterdir():
-        file.unlink()
-    folder.rmdir()
+    refresh(spark, str(tmp_path))
+    assert not folder.exists()
+    assert trips_table(spark, str(tmp_path), partitions=3).count() == 50
+    assert len(trips_table(spark, str(tmp_path)).inputFiles()) == 3
+    release_stored(spark)
     assert trips_table(spark, str(tmp_path)).count() == 50
 
 
+def test_a_second_query_starts_no_job_to_be_built(spark):
+    catalog.QUERIES["clean_model"](spark, "/root/testdata/sf0.001")
+    jobs = spark.sparkContext.statusTracker()
+    before = len(jobs.getJobIdsForGroup(None))
+    catalog.QUERIES["clean_model"](spark, "/root/testdata/sf0.001")
+    assert len(jobs.getJobIdsForGroup(None)) == before
+
+
+def test_nothing_is_left_after_all_queries_and_a_release(spark):
+    for query in catalog.QUERIES.values():
+        query(spark, "/root/testdata/sf0.001")
+    release_stored(spark)
+    folder = Path(urlparse(shared_folder(spark)).path)
+    assert [path.name for path in folder.iterdir()] == []
+
+
 def test_mapped_trips_types_match_the_declared_ones(spark):
     trips = mapped.mapped_trips(spark, "/root/testdata/sf0.001")
     declared = frame(spark, []).dtypes
