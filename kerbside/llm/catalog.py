@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from kerbside.llm.bpe import Vocabulary, token_digests
 from kerbside.llm.cap_filters import near_duplicate_vectors
 from kerbside.llm.chunking import passage_digest, repeated_passages
+from kerbside.llm.licenses import oracle as licenses_oracle
 from kerbside.llm.licenses import scan_licenses
 from kerbside.llm.minhash import near_duplicates
 from kerbside.llm.mixing import ORACLE as MIXING_ORACLE
@@ -88,4 +89,7 @@ QUERIES: dict[str, Query] = {
     "op10_chunk_dedup": op10_chunk_dedup,
 }
 
-ORACLE: dict[str, str] = {"op2_poisson_mix": MIXING_ORACLE}
+ORACLE: dict[str, str] = {
+    "op2_poisson_mix": MIXING_ORACLE,
+    "op9_license_scan": licenses_oracle(),
+}

@@ -218,3 +218,75 @@ def scan_licenses(
         F.array_join(F.array_sort(F.array_distinct(every)), ",").alias("labels"),
         F.greatest(floor, F.coalesce("share", F.lit(0.0))).alias("score"),
     )
+
+
+def _values(rows: list[tuple]) -> str:
+    written = (
+        "(" + ", ".join(f"'{v}'" if isinstance(v, str) else str(v).upper() for v in row) + ")"
+        for row in rows
+    )
+    return ", ".join(written)
+
+
+def oracle(rarest: int = 12, min_anchors: int = 2) -> str:
+    """The scan in DuckDB's SQL, from the words themselves."""
+    parsed = [parse_template(*entry) for entry in TEMPLATES]
+    words = [
+        (number, template.label, word, position, bool(template.mandatory >> i & 1))
+        for number, template in enumerate(parsed)
+        for i, (word, position) in enumerate(template.words)
+    ]
+    phrases = [
+        (label, len(phrase.split()), word, step)
+        for phrase, label in PHRASES.items()
+        for step, word in enumerate(phrase.split())
+    ]
+    vocabulary = [(word,) for word in licence_words(parsed)]
+    pattern = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    return f"""
+WITH files AS (
+    SELECT row_number() OVER () AS file, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '{pattern}') AS words
+    FROM documents
+), listed AS (
+    SELECT file, unnest(words) AS word, unnest(range(len(words))) AS p FROM files
+), vocabulary(word) AS (VALUES {_values(vocabulary)}),
+template(t, label, word, q, needed) AS (VALUES {_values(words)}),
+size AS (
+    SELECT t, label, count(*) AS words, count(*) FILTER (WHERE needed) AS needed
+    FROM template GROUP BY ALL
+), phrase(label, words, word, step) AS (VALUES {_values(phrases)}),
+hits AS (SELECT * FROM listed WHERE word IN (SELECT word FROM vocabulary)),
+ranks AS (
+    SELECT v.word, row_number() OVER (ORDER BY count(DISTINCT h.file), v.word) AS rank
+    FROM vocabulary v LEFT JOIN hits h USING (word) GROUP BY v.word
+), anchors AS (
+    SELECT file, word FROM (SELECT DISTINCT file, word FROM hits) JOIN ranks USING (word)
+    QUALIFY row_number() OVER (PARTITION BY file ORDER BY rank) <= {rarest}
+), votes AS (
+    SELECT h.file, t.t, count(DISTINCT q) AS found, count(DISTINCT q) FILTER (WHERE needed) AS needed,
+           count(DISTINCT q) FILTER (WHERE a.word IS NOT NULL) AS anchored
+    FROM hits h JOIN template t USING (word)
+        LEFT JOIN anchors a ON a.file = h.file AND a.word = h.word
+    GROUP BY h.file, t.t, h.p - t.q
+), verified AS (
+    SELECT file, label, max(found / words) AS share FROM votes v JOIN size s USING (t)
+    WHERE anchored >= least({min_anchors}, words) AND v.needed = s.needed GROUP BY file, label
+), places AS (
+    SELECT file, label, p - step AS start FROM hits JOIN phrase USING (word)
+    GROUP BY file, label, p - step, words HAVING count(DISTINCT step) = words
+), base AS (
+    SELECT file, count(*) AS n, min(start) AS first_word, max(start) AS last_word,
+           string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+    FROM places GROUP BY file
+), every AS (
+    SELECT file, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS share
+    FROM (SELECT file, label, 0.5::DOUBLE AS share FROM places
+          UNION ALL SELECT file, label, share FROM verified)
+    GROUP BY file
+)
+SELECT doc_id, CAST(len(f.words) AS BIGINT) AS n_words, coalesce(b.n, 0) AS n_base,
+       b.first_word, b.last_word, coalesce(b.labels, '') AS base_labels,
+       coalesce(e.labels, '') AS labels, coalesce(e.share, 0.0)::DOUBLE AS score
+FROM files f LEFT JOIN base b USING (file) LEFT JOIN every e USING (file)
+"""
