@@ -63,9 +63,9 @@ def _careful_word() -> str:
 
 
 # Characters of text worked on at once, and words and pairs remembered by a worker.
-SLICE_CHARS = 1_000_000
-REMEMBERED_WORDS = 200_000
-REMEMBERED_PAIRS = 400_000
+SLICE_CHARS = 500_000
+REMEMBERED_WORDS = 160_000
+REMEMBERED_PAIRS = 150_000
 
 
 def _byte_letters() -> dict[str, str]:
@@ -301,6 +301,7 @@ def _encoder(shared: _Shared):
                     [part.column(0), counts, pa.array(ids, pa.binary())],
                     names=["doc_id", "n_tokens", "ids"],
                 )
+            pa.default_memory_pool().release_unused()
 
     return encode
 

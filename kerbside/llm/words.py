@@ -70,6 +70,8 @@ def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[Text]:
         at = offsets[row : end + 1] - offsets[row]
         yield Text(row, data[offsets[row] : offsets[end]], at[:-1], at[1:])
         row = end
+    # What a batch has left free goes back to the system: workers live on between stages.
+    pa.default_memory_pool().release_unused()
 
 
 @dataclass
