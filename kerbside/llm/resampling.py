@@ -55,7 +55,8 @@ def _scorer(ratios: np.ndarray):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, count, rows, buckets in _ngrams(batch.column(2)):
-                weights = np.bincount(rows, ratios[buckets], count)
+                # Without any rows the counts would be whole numbers.
+                weights = np.bincount(rows, ratios[buckets], count).astype(np.float64)
                 columns = [batch.column(i).slice(first, count) for i in (0, 1)]
                 yield pa.RecordBatch.from_arrays(
                     [*columns, pa.array(weights)], names=["doc_id", "noise", "log_weight"]
