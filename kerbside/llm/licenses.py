@@ -1,10 +1,11 @@
 """Licence scan with a positional index of rare template words.
 
 Spark expressions only. One pass takes each file's licence words with their positions; how many
-files hold each word is counted over all files. A file then looks up its rarest (highest-IDF)
-licence words in the postings of the templates, the postings are intersected by relative position
-(file position less template position), and a template counts only if its mandatory key phrases
-stand there.
+files hold each word is counted over all files. Every licence word of a file is looked up in the
+postings of the templates, the postings are intersected by relative position (file position less
+template position), and a template counts at each place where its mandatory key phrases stand and
+enough of its own anchors do: its rarest (highest-IDF) words and all words of its key phrases. So
+other licences in the same file take no anchor away.
 
 Null or empty text: no words, no label, score 0. A null id is kept as it is; rows with the same id
 stay apart, for each row is scanned by itself. Extra columns are ignored.
@@ -135,6 +136,12 @@ def _postings(templates: list[Template]) -> Column:
     return F.create_map(*pairs)
 
 
+def _anchors(template: Template, rank: dict[str, int], rarest: int) -> int:
+    """Bits of a template's rarest words and of all words of its key phrases."""
+    order = sorted(range(len(template.words)), key=lambda i: (rank[template.words[i][0]], i))
+    return template.mandatory | sum(1 << i for i in order[:rarest])
+
+
 def scan_licenses(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -145,8 +152,8 @@ def scan_licenses(
 ) -> DataFrame:
     """Base phrases and licences of every file.
 
-    ``rarest`` is how many of its highest-IDF licence words a file looks up, ``min_anchors`` how
-    many of them must agree on one position of one template. ``score`` is the largest share of a
+    ``rarest`` is how many highest-IDF words of each template are anchors besides those of its key
+    phrases, ``min_anchors`` how many anchors must agree on one position. ``score`` is the largest share of a
     verified template's licence words found in place, 0.5 at least where a base phrase stands.
     """
     parsed = [parse_template(*entry) for entry in (TEMPLATES if templates is None else templates)]
@@ -164,34 +171,28 @@ def scan_licenses(
     held = files.select(F.explode(F.array_distinct(F.transform("hits", lambda h: h["w"]))).alias("w"))
     files_with = {r["w"]: r["n"] for r in held.groupBy("w").agg(F.count("*").alias("n")).collect()}
     ranked = sorted(vocabulary, key=lambda word: (files_with.get(word, 0), word))
-    rank = F.create_map(*[x for i, word in enumerate(ranked) for x in (F.lit(word), F.lit(i))])
-
-    found = files.filter(F.size("hits") > 0)
-    ranks = F.transform("hits", lambda h: F.element_at(rank, h["w"]))
-    anchors = F.slice(F.array_sort(F.array_distinct(ranks)), 1, rarest)
+    rank = {word: i for i, word in enumerate(ranked)}
     votes = (
-        found.select("row", anchors.alias("anchors"), F.explode("hits").alias("hit"))
+        files.select("row", F.explode("hits").alias("hit"))
         .select(
             "row",
             F.col("hit.p").alias("p"),
-            F.array_contains("anchors", F.element_at(rank, F.col("hit.w"))).alias("is_anchor"),
             F.explode(F.element_at(_postings(parsed), F.col("hit.w"))).alias("post"),
         )
         .groupBy("row", F.col("post.t").alias("t"), (F.col("p") - F.col("post.q")).alias("at"))
-        .agg(
-            F.bit_or("post.bit").alias("mask"),
-            F.bit_or(F.when(F.col("is_anchor"), F.col("post.bit")).otherwise(0)).alias("anchored"),
-        )
+        .agg(F.bit_or("post.bit").alias("mask"))
     )
 
     def per_template(values: list) -> Column:
         return F.element_at(F.array(*[F.lit(v) for v in values]), F.col("t") + 1)
 
     mandatory = per_template([t.mandatory for t in parsed]).cast("long")
+    anchors = per_template([_anchors(t, rank, rarest) for t in parsed]).cast("long")
     needed = per_template([min(min_anchors, len(t.words)) for t in parsed])
     share = F.bit_count("mask") / per_template([float(len(t.words)) for t in parsed])
     verified = votes.filter(
-        (F.bit_count("anchored") >= needed) & (F.col("mask").bitwiseAND(mandatory) == mandatory)
+        (F.bit_count(F.col("mask").bitwiseAND(anchors)) >= needed)
+        & (F.col("mask").bitwiseAND(mandatory) == mandatory)
     ).groupBy("row").agg(
         F.collect_set(per_template([t.label for t in parsed])).alias("found"),
         F.max(share).alias("share"),

@@ -71,6 +71,26 @@ def test_templates_are_found_in_place_and_only_with_their_key_phrases(spark):
     assert got[n + 2]["labels"] == ""
 
 
+def test_a_file_of_all_templates_keeps_every_label(spark):
+    plain = [text.replace("[", "").replace("]", "") for _, text in TEMPLATES]
+    grant = plain[1] + ". licensed under CC BY SA 4"
+    # The grant's words are the rarer ones over all files.
+    common = ["licensed under cc by sa 4 and by sa cc"] * 5
+    stray = " ".join(reversed(" ".join(plain).split()))
+    texts = [". ".join(plain), f"{stray}. {plain[8]}", grant, *common]
+    got = {r["doc_id"]: r for r in scan_licenses(frame(spark, texts)).collect()}
+    assert got[0]["labels"] == ",".join(sorted({label for label, _ in TEMPLATES}))
+    assert "cc-by-sa" in got[1]["labels"].split(",")
+    assert got[2]["labels"] == "cc-by-sa,mit"
+
+
+def test_key_phrases_outside_the_rarest_words_are_anchors(spark):
+    rare = " ".join(f"rare{i}" for i in range(20))
+    texts = ["key phrase here", "key phrase here", f"nothing {rare}"]
+    got = scan_licenses(frame(spark, texts), templates=[("own", f"{rare} [key phrase here]")])
+    assert [r["labels"] for r in got.orderBy("doc_id").collect()] == ["own", "own", ""]
+
+
 def test_odd_rows(spark):
     got = scan_licenses(odd(spark)).collect()
     assert len(got) == 11
