@@ -19,10 +19,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kerbside.llm.words import hash_spans, mix, text_slices, words_of
+from kerbside.sources import stored
 
 # The lexicon.
 LEXICON = """
@@ -33,9 +34,9 @@ degenerate vermin subhuman hate kill
 
 # Bits of a hashed feature, and lengths of word beginnings in bytes.
 BITS, BEGINNINGS = 22, (4, 5)
-# Bounds of the training: labelled rows, induced voters, features with a weight; hashes that tell
-# copies.
-SAMPLE_ROWS, VOTERS, FEATURES, COPY_KEYS = 8000, 96, 4096, 8
+# Bounds of the training: labelled ids, induced voters, features with a weight; hashes that tell
+# copies; parts in which one id's texts are ranked.
+SAMPLE_ROWS, VOTERS, FEATURES, COPY_KEYS, SALTS = 8000, 96, 4096, 8, 211
 # Least likelihood ratio statistic of a voter or feature, far beyond chance among 2**22.
 SURE = 20.0
 
@@ -90,16 +91,23 @@ def _copy_keys(rows: np.ndarray, features: np.ndarray, count: int) -> np.ndarray
 
 
 def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    # A task reads each text of an id once, however often it comes: at most as many as are chosen.
+    seen: set[tuple] = set()
     for batch in batches:
+        fresh = []
+        for key in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            fresh.append(key not in seen)
+            seen.add(key)
+        batch = batch.filter(pa.array(fresh, pa.bool_()))
         for first, count, rows, features in _features(batch.column(1)):
             rows, features = _distinct(rows, features)
             ends = np.searchsorted(rows, np.arange(count + 1))
             held = [features[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])]
             keys = [key.tobytes() for key in _copy_keys(rows, features, count)]
-            labels = batch.column(0).slice(first, count)
+            labels, ids, digests = (batch.column(i).slice(first, count) for i in (0, 2, 3))
             yield pa.RecordBatch.from_arrays(
-                [labels, pa.array(held, pa.binary()), pa.array(keys, pa.binary())],
-                names=["toxic", "held", "keys"],
+                [labels, ids, digests, pa.array(held, pa.binary()), pa.array(keys, pa.binary())],
+                names=["toxic", "id", "digest", "held", "keys"],
             )
 
 
@@ -287,19 +295,51 @@ def train(votes: Votes, rounds: int = 300, rate: float = 0.5, shrink: float = 1e
     return LinearModel(votes.features[chosen], slopes, float(intercept))
 
 
+def _chosen_texts(texts: DataFrame, most: int) -> DataFrame:
+    """``id`` and ``digest`` of at most ``most`` different texts of each id, by hash.
+
+    Equal rows become one before the shuffle, and an id with very many texts is dealt out in
+    salts, each of which passes on ``most`` at the most.
+    """
+    different = texts.select("id", "digest").distinct()
+    order = [F.xxhash64("digest", F.lit(1)), F.col("digest")]
+    salted = different.withColumn("salt", F.pmod(F.col("digest"), F.lit(SALTS)))
+    first = Window.partitionBy("id", "salt").orderBy(*order)
+    salted = salted.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= most)
+    last = Window.partitionBy("id").orderBy(*order)
+    ranked = salted.withColumn("place", F.row_number().over(last)).filter(F.col("place") <= most)
+    return ranked.select("id", "digest")
+
+
 def fit(
     docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, sample_rows: int
 ) -> LinearModel:
-    """A model from at most ``sample_rows`` labelled training rows, picked by hash of the id."""
+    """A model from at most ``sample_rows`` labelled training ids, picked by hash of the id.
+
+    Equal texts of an id count once. An id that repeats with different texts gives as many of them
+    as every id may, twice ``sample_rows`` shared out evenly, picked by hash of the text.
+    """
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("toxic"))
     known = known.filter("id IS NOT NULL AND toxic IS NOT NULL").filter(~is_held_out("id"))
     known = known.groupBy("id").agg(F.max("toxic").alias("toxic"))
-    picked = known.orderBy(F.xxhash64("id"), "id").limit(sample_rows)
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    picked = stored(known.orderBy(F.xxhash64("id"), "id").limit(sample_rows), "labelled-ids")
+    texts = docs.select(
+        F.col(id_col).alias("id"), F.xxhash64(text_col).alias("digest"), F.col(text_col).alias("text")
+    )
     # At most ``sample_rows`` ids: small enough to broadcast at any size of the tables.
-    rows = texts.join(F.broadcast(picked), "id").select(F.col("toxic").cast("int"), "text")
-    gathered = rows.mapInArrow(_gather, "toxic int, held binary, keys binary")
-    gathered = gathered.limit(2 * sample_rows).collect()
+    texts = texts.join(F.broadcast(picked), "id")
+    most = 2 * sample_rows // max(1, min(picked.count(), sample_rows))
+    chosen = stored(_chosen_texts(texts, most), "labelled-texts")
+    rows = texts.join(F.broadcast(chosen), ["id", "digest"]).select(
+        F.col("toxic").cast("int"), "text", "id", "digest"
+    )
+    kind = rows.schema["id"].dataType.simpleString()
+    gathered = rows.mapInArrow(
+        _gather, f"toxic int, id {kind}, digest bigint, held binary, keys binary"
+    )
+    gathered = gathered.dropDuplicates(["id", "digest"]).collect()
+    # In an order of its own, so that sums do not depend on how the rows lie in files.
+    gathered.sort(key=lambda row: (row["id"], row["digest"]))
     votes = Votes(
         [np.frombuffer(row["held"], np.int32) for row in gathered],
         np.array([np.frombuffer(row["keys"], np.int64) for row in gathered]).reshape(-1, COPY_KEYS),

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 from texts import empty, frame, invented, odd
 
-from kerbside.llm.toxicity import LEXICON, LabelModel, score_toxicity, without_toxic
+from kerbside.llm.toxicity import LEXICON, LabelModel, _chosen_texts, score_toxicity, without_toxic
 
 LABELS = "doc_id long, quality int, toxic int"
 
@@ -45,6 +45,27 @@ def test_held_out_labels_have_no_influence(spark, taught):
     assert before == after
 
 
+def test_an_id_of_very_many_rows_pushes_no_other_out(spark, taught):
+    docs, labels = taught
+
+    def scores(rows):
+        found = score_toxicity(rows, labels, sample_rows=600).select("doc_id", "score").distinct()
+        return {r["doc_id"]: r["score"] for r in found.collect()}
+
+    copies = docs.filter("doc_id = 1").crossJoin(spark.range(5000)).select(docs.columns)
+    hot = copies.coalesce(1).unionAll(docs)
+    alone = scores(docs)
+    assert scores(hot) == alone
+    assert scores(hot.repartition(7)) == alone
+
+
+def test_texts_of_one_id_are_bounded_by_hash(spark):
+    ids = F.when(F.col("id") < 5000, 0).otherwise(F.col("id"))
+    texts = spark.range(5100).select(ids.alias("id"), F.xxhash64("id").alias("digest"))
+    got = _chosen_texts(texts.unionAll(texts), 3).groupBy("id").count().collect()
+    assert {r["id"]: r["count"] for r in got} == {0: 3, **{i: 1 for i in range(5000, 5100)}}
+
+
 def test_given_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
