@@ -73,7 +73,7 @@ def op7_bpe_tokens(spark: SparkSession, tables: str) -> DataFrame:
 
 
 def op10_chunk_dedup(spark: SparkSession, tables: str) -> DataFrame:
-    return passage_digest(repeated_passages(documents(spark, tables)))
+    return passage_digest(repeated_passages(documents(spark, tables), every_place=True))
 
 
 QUERIES: dict[str, Query] = {

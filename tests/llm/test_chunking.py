@@ -91,3 +91,23 @@ def test_copies_and_odd_rows(spark):
     assert cut.columns == odd(spark).columns and cut.count() == 11
     assert [r["text"] for r in cut.collect() if r["doc_id"] == 4] == [""]
     assert repeated_passages(empty(spark)).count() == 0 and without_repeats(empty(spark)).count() == 0
+
+
+def test_repeats_within_a_document_and_among_rows_of_one_id(spark):
+    passage, own = invented(77, 200, 10**9), [invented(900 + i, 60, 10**9) for i in range(9)]
+    again = f"{own[0]} {passage} {own[1]} {passage} {own[2]} {passage} {own[3]}"
+    texts = [again, own[4], own[4], own[5], own[5], own[6], f"{own[7]} {passage} {own[8]}"]
+    docs = frame(spark, texts, ids=[0, 1, 1, None, None, 2, -5])
+    found = repeated_passages(docs, every_place=True).collect()
+    got = sorted((r["doc"], len(r["repeats"])) for r in found if r["doc"] in (-5, 0, 1))
+    assert got == [(-5, 0), (0, 3), (1, 0), (1, 1)]
+    assert sorted(len(r["repeats"]) for r in found if r["doc"] not in (-5, 0, 1)) == [0, 1]
+    kept = [r["text"] for r in without_repeats(docs).collect()]
+    middle = passage[len(passage) // 2 - 20 : len(passage) // 2 + 20]
+    assert sum(text.count(middle) for text in kept) == 1
+    assert sorted(len(text) < 30 for text in kept) == [False] * 5 + [True] * 2
+
+    alone = without_repeats(docs.filter("doc_id = 0")).first()["text"]
+    assert alone.count(middle) == 1 and alone.startswith(f"{own[0]} {passage}")
+    more = {r["doc"] for r in repeated_passages(odd(spark), every_place=True).collect()}
+    assert more == {3, 4, 6}
