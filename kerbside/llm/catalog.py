@@ -16,7 +16,7 @@ from kerbside.llm.mixing import ORACLE as MIXING_ORACLE
 from kerbside.llm.mixing import mix_sources
 from kerbside.llm.multi_index import nearest_neighbours
 from kerbside.llm.personal import find_personal_data, personal_data_digest
-from kerbside.llm.resampling import resample
+from kerbside.llm.resampling import resample, target_share
 from kerbside.llm.toxicity import score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,7 +36,10 @@ def vocabulary(spark: SparkSession, path: str | None = None) -> Vocabulary:
 
 def op8_importance_resampling(spark: SparkSession, tables: str) -> DataFrame:
     labels = spark.read.parquet(f"{tables}/labels.parquet")
-    return resample(documents(spark, tables), labels.filter("quality = 1"))
+    # As many rows as the labels say are of the target quality; the default share without labels.
+    share = target_share(labels, "quality = 1")
+    size = {} if share is None else {"share": share}
+    return resample(documents(spark, tables), labels.filter("quality = 1"), **size)
 
 
 def op9_license_scan(spark: SparkSession, tables: str) -> DataFrame:

@@ -115,6 +115,16 @@ def kth_largest(df: DataFrame, column: str, k: int) -> float | None:
     return low
 
 
+def target_share(labels: DataFrame, wanted: str, id_col: str = "doc_id") -> float | None:
+    """The share of labelled ids with a label as ``wanted``, an expression; none without labels.
+
+    A null id or label does not count, and an id labelled twice is wanted if one label says so.
+    """
+    known = labels.select(F.col(id_col).alias("id"), F.expr(wanted).cast("int").alias("wanted"))
+    known = known.filter("id IS NOT NULL AND wanted IS NOT NULL")
+    return known.groupBy("id").agg(F.max("wanted").alias("wanted")).agg(F.avg("wanted")).first()[0]
+
+
 def resample(
     docs: DataFrame,
     target: DataFrame,

@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 from texts import empty, frame, invented, odd
 
+from kerbside.llm.catalog import QUERIES
 from kerbside.llm.mixing import mix_sources, replicate, source_rates
-from kerbside.llm.resampling import kth_largest, resample
+from kerbside.llm.resampling import kth_largest, resample, target_share
 
 
 def rates(spark, values):
@@ -114,3 +115,14 @@ def test_resampling_odd_rows(spark):
         got = resample(odd(spark), target, share=share).collect()
         assert len(got) == 11 and sum(r["kept"] for r in got) == expected
     assert resample(empty(spark), target).count() == 0
+
+
+def test_the_query_keeps_the_share_that_labels_say(spark, tmp_path):
+    texts = [invented(i) for i in range(200)]
+    frame(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = [(i, int(i % 5 > 1), 0) for i in range(100)] + [(0, 0, 0), (3, None, 0), (None, 0, 0)]
+    labels = spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    got = QUERIES["op8_importance_resampling"](spark, str(tmp_path)).collect()
+    assert sum(r["kept"] for r in got) == 120
+    assert target_share(labels.limit(0), "quality = 1") is None
