@@ -9,12 +9,17 @@ from pyspark.sql import functions as F
 from kerbside.llm.bpe import Vocabulary, token_digests
 from kerbside.llm.cap_filters import near_duplicate_vectors
 from kerbside.llm.chunking import passage_digest, repeated_passages
+from kerbside.llm.digest_runs import ORACLE as DIGEST_RUNS_ORACLE
+from kerbside.llm.digest_runs import exact_duplicates
+from kerbside.llm.filter_audit import audit_filters, failures
+from kerbside.llm.filter_audit import oracle as filter_audit_oracle
 from kerbside.llm.licenses import oracle as licenses_oracle
 from kerbside.llm.licenses import scan_licenses
 from kerbside.llm.minhash import near_duplicates
 from kerbside.llm.mixing import ORACLE as MIXING_ORACLE
 from kerbside.llm.mixing import mix_sources
 from kerbside.llm.multi_index import nearest_neighbours
+from kerbside.llm.periodic_runs import periodic_runs, runs_digest
 from kerbside.llm.personal import find_personal_data, personal_data_digest
 from kerbside.llm.resampling import resample, target_share
 from kerbside.llm.toxicity import score_toxicity
@@ -79,6 +84,19 @@ def op10_chunk_dedup(spark: SparkSession, tables: str) -> DataFrame:
     return passage_digest(repeated_passages(documents(spark, tables), every_place=True))
 
 
+def op11_periodic_runs(spark: SparkSession, tables: str) -> DataFrame:
+    return runs_digest(periodic_runs(documents(spark, tables), loops=True))
+
+
+def op12_filter_audit(spark: SparkSession, tables: str) -> DataFrame:
+    labels = spark.read.parquet(f"{tables}/labels.parquet")
+    return audit_filters(failures(documents(spark, tables), labels))
+
+
+def op13_digest_runs(spark: SparkSession, tables: str) -> DataFrame:
+    return exact_duplicates(documents(spark, tables), keep="largest")
+
+
 QUERIES: dict[str, Query] = {
     "op1_cap_filter_dedup": op1_cap_filter_dedup,
     "op2_poisson_mix": op2_poisson_mix,
@@ -90,9 +108,14 @@ QUERIES: dict[str, Query] = {
     "op8_importance_resampling": op8_importance_resampling,
     "op9_license_scan": op9_license_scan,
     "op10_chunk_dedup": op10_chunk_dedup,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_digest_runs": op13_digest_runs,
 }
 
 ORACLE: dict[str, str] = {
     "op2_poisson_mix": MIXING_ORACLE,
     "op9_license_scan": licenses_oracle(),
+    "op12_filter_audit": filter_audit_oracle(),
+    "op13_digest_runs": DIGEST_RUNS_ORACLE,
 }

@@ -34,7 +34,7 @@ def test_a_row_for_every_row(spark, name):
 def test_all_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(queries())
     assert set(ORACLE) <= set(oracle_sql())
-    assert [name.split("_")[0] for name in QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [name.split("_")[0] for name in QUERIES] == [f"op{i}" for i in range(1, 14)]
 
 
 def test_pipeline_stages(spark, tmp_path):

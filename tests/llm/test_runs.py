@@ -1,0 +1,147 @@
+"""Periodic runs against all stretches and periods, suffix trees against plain comparison."""
+
+import random
+from hashlib import sha256
+from zlib import crc32
+
+import numpy as np
+import pytest
+from texts import empty, frame, invented, odd
+
+from kerbside.llm.periodic_runs import periodic_runs, repeated_pieces, runs_digest, runs_of
+from kerbside.llm.suffix_tree import CommonExtension, SuffixTree, ranks
+
+
+def plain_runs(words, min_length=24, exponent=3):
+    """All runs: stretches in which words ``period`` apart agree, without a smaller period."""
+    found = []
+    for period in range(1, len(words) // exponent + 1):
+        start = 0
+        while start + period < len(words):
+            end = start
+            while end + period < len(words) and words[end] == words[end + period]:
+                end += 1
+            length = end - start + period
+            if length >= max(min_length, exponent * period):
+                stretch = words[start : start + length]
+                if not any(stretch[p:] == stretch[:-p] for p in range(1, period)):
+                    found.append((start, length, period))
+            start = max(end, start + 1)
+    return sorted(found, key=lambda run: (run[0], run[2]))
+
+
+def plain_row(doc_id, text, loops):
+    words = (text or "").encode().split()
+    check = crc32(str(doc_id).encode()) if doc_id is not None else 1
+    if loops and check % 10 == 0 and words:
+        a, n = check // 10 % len(words), len(words)
+        p = 1 + (n - a) // (3 + check // 10 % 8)
+        words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+    runs = plain_runs(words)
+    dropped = {i for start, length, q in runs for i in range(start + q, start + length)}
+    left = b" ".join(word for i, word in enumerate(words) if i not in dropped)
+    lines = "".join(f"{s},{length},{q}\n" for s, length, q in runs)
+    best = max(runs, key=lambda r: (r[1] / r[2], -r[0], -r[2]), default=(None,) * 3)
+    milli = 1000 * best[1] // best[2] if runs else None
+    digests = [sha256(lines.encode()).hexdigest(), sha256(left).hexdigest()]
+    return (doc_id, len(runs), *best, milli, *digests)
+
+
+def loop_text(pick, words=60):
+    """A text of few words with some stretches that repeat."""
+    made = []
+    while len(made) < words:
+        root = [f"v{pick.randrange(3)}" for _ in range(pick.randrange(1, 12))]
+        made += (root * pick.randrange(1, 8))[: pick.randrange(1, 60)]
+        made += [f"u{pick.randrange(10**6)}" for _ in range(pick.randrange(0, 3))]
+    return " ".join(made)
+
+
+@pytest.mark.parametrize("bounds", [(4, 2), (6, 3), (24, 3)])
+def test_runs_of_random_sequences(bounds):
+    pick = random.Random(1)
+    for _ in range(300):
+        letters = pick.choice([1, 2, 2, 3, 5])
+        words = [pick.randrange(letters) for _ in range(pick.randrange(0, 70))]
+        if words and pick.random() < 0.5:
+            at, period = pick.randrange(len(words)), pick.randrange(1, 7)
+            words[at:] = [words[min(at + i % period, len(words) - 1)] for i in range(len(words) - at)]
+        assert runs_of(words, *bounds) == plain_runs(words, *bounds)
+
+
+def test_suffix_order_and_common_extensions():
+    pick = random.Random(2)
+    for _ in range(60):
+        text = [pick.randrange(3) for _ in range(pick.randrange(1, 50))]
+        tree = SuffixTree(text)
+        suffixes, depths = tree.tour()
+        assert suffixes.tolist() == sorted(range(len(text) + 1), key=lambda i: text[i:])
+        falling = tree.tour(falling=True)[0]
+        assert falling.tolist() == sorted(range(len(text) + 1), key=lambda i: [-x for x in text[i:]])
+        extension = CommonExtension(suffixes, depths)
+        assert (extension.place == ranks(suffixes)).all()
+        a, b = np.triu_indices(len(text) + 1, 1)
+        for i, j, length in zip(a, b, extension(a, b)):
+            same = 0
+            while j + same < len(text) and text[i + same] == text[j + same]:
+                same += 1
+            assert length == same
+
+
+def test_pieces_hold_every_repeated_stretch():
+    pick = random.Random(4)
+    for width in (1, 2, 5, 16, 17):
+        values = np.array([pick.randrange(3) for _ in range(400)], np.uint64)
+        values[60 : 60 + 40] = values[200:240]
+        rows = np.repeat([0, 1, 2], [150, 150, 100])
+        covered = set()
+        for row in range(3):
+            own = np.flatnonzero(rows == row)
+            grams = [tuple(values[i : i + width]) for i in own[: len(own) - width + 1]]
+            for i, gram in zip(own, grams):
+                if grams.count(gram) > 1:
+                    covered |= set(range(i, i + width))
+        got = [set(range(a, b)) for a, b in zip(*repeated_pieces(values, rows, width))]
+        assert set().union(*got) == covered
+        assert all(len({int(rows[i]) for i in piece}) == 1 for piece in got)
+
+
+def test_documents_against_all_stretches(spark):
+    pick = random.Random(3)
+    texts = [loop_text(pick) for _ in range(150)] + [invented(i, 70) for i in range(40)]
+    texts += [None, "", " ", "a " * 23, "a " * 24, "\x0b".join(["é"] * 30), "x x " * 30, "y\x1cy " * 30]
+    docs = frame(spark, texts)
+    for loops in (False, True):
+        rows = runs_digest(periodic_runs(docs, loops=loops)).collect()
+        assert sorted(map(tuple, rows)) == [plain_row(i, text, loops) for i, text in enumerate(texts)]
+
+
+def test_the_text_left_and_the_greatest_run(spark):
+    words = "one two three " * 10 + "end " + "a b " * 12 + "c " * 40
+    row = periodic_runs(frame(spark, [words])).first()
+    assert [tuple(run) for run in row["runs"]] == [(0, 30, 3), (31, 24, 2), (55, 40, 1)]
+    assert tuple(row["best"]) == (55, 40, 1)
+    assert row["collapsed"] == "one two three end a b c"
+
+
+def test_odd_rows(spark):
+    rows = runs_digest(periodic_runs(odd(spark), loops=True)).collect()
+    assert len(rows) == 11
+    assert {r["n_runs"] for r in rows if r["doc_id"] in (0, 1, 2)} == {0}
+    nothing = sha256(b"").hexdigest()
+    assert all(r["runs_sha256"] == nothing for r in rows if r["n_runs"] == 0)
+    assert all(r["start"] is r["exponent_milli"] is None for r in rows if r["n_runs"] == 0)
+    assert periodic_runs(empty(spark)).count() == 0
+
+
+def test_a_very_long_text(spark):
+    """Half a million letters of one word each, in a run of a third of them."""
+    pick = random.Random(6)
+    words = [f"w{pick.randrange(9)}" for _ in range(20_000)] + ["a", "b", "c"] * 5000 + ["end"] * 23
+    row = periodic_runs(frame(spark, [" ".join(words)])).first()
+    assert tuple(row["best"]) == (20_000, 15_000, 3)
+
+
+def test_settings(spark):
+    with pytest.raises(ValueError):
+        periodic_runs(empty(spark), exponent=1)
