@@ -199,8 +199,8 @@ def exact_duplicates(
     text_col: str = "text",
     keep: str = "smallest",
     normalise: Callable[[Column], Column] | None = None,
-    part_rows: int = 1 << 15,
-    fan: int = 16,
+    part_rows: int = 1 << 14,
+    fan: int = 8,
 ) -> DataFrame:
     """Per row: ``doc_id``, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``.
 

@@ -1,6 +1,11 @@
-"""Groups for tasks that compare their members: dealt out in blocks, and read back whole."""
+"""Buckets whose members are compared: leaders first, then what is left of them in blocks.
 
-from collections.abc import Iterator, Sequence
+A member that is compared with its bucket's leader costs a row, whatever the bucket's size. What a
+leader has linked has one label afterwards, and only pairs of different labels are still looked at:
+the members that lack a bucket's most frequent label stay in blocks, and all others pass by.
+"""
+
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -56,60 +61,166 @@ def pairs_within(starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.
     return np.concatenate(left), np.concatenate(right)
 
 
-def intersections(sets: list[np.ndarray], chunk: int = 4096) -> np.ndarray:
-    """Sizes of all intersections of some sets, from products of chunks of their incidence."""
-    owner = np.repeat(np.arange(len(sets)), [len(each) for each in sets])
-    _, column, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    shared = held[column] > 1
-    _, column = np.unique(column[shared], return_inverse=True)
-    order = np.argsort(column, kind="stable")
-    owner, column = owner[shared][order], column[order]
-    sizes = np.zeros((len(sets), len(sets)), np.float32)
-    for start in range(0, int(column[-1]) + 1 if len(column) else 0, chunk):
-        part = slice(*np.searchsorted(column, [start, start + chunk]))
-        incidence = np.zeros((len(sets), chunk), np.float32)
-        incidence[owner[part], column[part] - start] = 1
-        sizes += incidence @ incidence.T
-    return sizes.astype(np.int64)
-
-
-def spanning_forest(linked: np.ndarray) -> np.ndarray:
-    """Pairs that join what a symmetric table of links joins, one tree after the other."""
-    left, taken = np.ones(len(linked), bool), []
-    for root in range(len(linked)):
-        queue = [root] if left[root] else []
-        left[root] = False
-        while queue:
-            node = queue.pop()
-            near = np.flatnonzero(linked[node] & left)
-            left[near] = False
-            taken += [(node, int(other)) for other in near]
-            queue += near.tolist()
-    return np.array(taken, np.int64).reshape(-1, 2)
-
-
-def shared_blocks(entries: DataFrame, keys: Sequence[str], size: int) -> DataFrame:
-    """Members of every bucket of two or more, once for each pair of blocks they stand in.
-
-    ``entries`` has a row per bucket (``keys``) and member (``id``). A bucket of more than ``size``
-    members falls into blocks by hash, and every pair of blocks (``low``, ``high``) is a group of
-    its own; ``block`` is the member's. Pairs within a block belong to the group of equal ends.
+def shared_buckets(entries: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Members of every bucket of two or more, with the smallest of them as ``leader``.
+
+    ``entries`` has a row per bucket (``keys``) and member (``id``).
+    """
+    shared = entries.groupBy(*keys).agg(F.min("id").alias("leader"), F.count("*").alias("members"))
+    return entries.join(shared.filter("members > 1").drop("members"), list(keys))
+
+
+def open_buckets(members: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Members (``keys``, ``id``, ``label``) of buckets in which labels differ, with figures of these.
+
+    ``main`` is a bucket's most frequent label, ``rest`` the number of members without it, ``leader`` and
+    ``leader_label`` the smallest of those, and ``members`` the number of all.
     """
-    shared = entries.groupBy(*keys).agg(F.count("*").alias("members")).filter("members > 1")
-    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    return (
-        entries.join(shared, list(keys))
-        .withColumn("blocks", F.ceil(F.col("members") / size).cast("int"))
-        .withColumn("block", own)
-        .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select(
-            *keys,
-            F.least("block", "with").alias("low"),
-            F.greatest("block", "with").alias("high"),
-            "block",
-            "id",
-        )
+    sizes = members.groupBy(*keys, "label").agg(F.count("*").alias("n"), F.min("id").alias("least"))
+    top = F.max(F.struct("n", "label")).getField("label").alias("main")
+    heads = sizes.groupBy(*keys).agg(top, F.count("*").alias("labels"), F.sum("n").alias("members"))
+    heads = heads.filter("labels > 1").drop("labels")
+    rest = sizes.join(heads, list(keys)).filter("label != main")
+    lead = rest.groupBy(*keys, "main", "members").agg(
+        F.min(F.struct("least", "label")).alias("lead"), F.sum("n").alias("rest")
     )
+    lead = lead.select(
+        *keys, "main", "members", "rest",
+        F.col("lead.least").alias("leader"), F.col("lead.label").alias("leader_label"),
+    )
+    return members.join(lead, list(keys))
+
+
+def in_stars(pairs: DataFrame, size: int) -> DataFrame:
+    """Pairs ``a``, ``b`` with a ``slot``, so that ``a`` and ``slot`` have some ``size`` pairs at most."""
+    many = pairs.groupBy("a").agg(F.ceil(F.count("*") / size).cast("int").alias("slots"))
+    slot = F.pmod(F.xxhash64("b"), F.col("slots")).cast("int").alias("slot")
+    return pairs.join(many, "a").select("a", slot, "b")
+
+
+def star_rows(stars: DataFrame, payload: DataFrame) -> DataFrame:
+    """The leader of every star, once per slot, and after it its members, each with its payload."""
+    own = [name for name in payload.columns if name != "id"]
+    members = stars.join(payload, stars["b"] == payload["id"])
+    leaders = stars.select("a", "slot").distinct()
+    leaders = leaders.join(payload, leaders["a"] == payload["id"])
+    rows = leaders.select("a", "slot", "id", F.lit(True).alias("leads"), *own).unionAll(
+        members.select("a", "slot", "id", F.lit(False), *own)
+    )
+    return rows.repartition("a", "slot").sortWithinPartitions("a", "slot", F.desc("leads"))
+
+
+def by_leader(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]]:
+    """Rows of stars, the members' places among them, and the place of each member's leader."""
+    held: dict[str, np.ndarray] | None = None
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        rows = {name: _array(batch.column(name)) for name in batch.schema.names}
+        if held is not None:
+            rows = {name: np.concatenate([held[name], rows[name]]) for name in rows}
+        at = np.maximum.accumulate(np.where(rows["leads"], np.arange(len(rows["id"])), -1))
+        members = np.flatnonzero(~rows["leads"].astype(bool))
+        yield rows, members, at[members]
+        held = {name: values[at[-1] : at[-1] + 1] for name, values in rows.items()}
+
+
+def meetings(members: DataFrame, keys: Sequence[str], residents: int, passers: int) -> DataFrame:
+    """Rows of ``open_buckets`` so that any two of a bucket with different labels meet in one task.
+
+    Members without their bucket's main label are ``resident`` in a block of some ``residents`` and pass
+    by the blocks after it; members with the main label pass by every block. Passers come in parts
+    of some ``passers``. ``keys``, ``block`` and ``part`` make a group.
+    """
+    blocks, parts = F.ceil(F.col("rest") / residents), F.ceil(F.col("members") / passers)
+    sized = members.select(
+        *keys, "id", "label", (F.col("label") != F.col("main")).alias("lives"),
+        blocks.cast("int").alias("blocks"), parts.cast("int").alias("parts"),
+    ).withColumn("own", F.when(F.col("lives"), F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")))
+    stay = sized.filter("lives").select(
+        *keys, F.col("own").alias("block"),
+        F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+        F.lit(True).alias("resident"), "id", "label",
+    )
+    first = F.coalesce(F.col("own") + 1, F.lit(0))
+    go = sized.filter(first < F.col("blocks")).select(
+        *keys, F.explode(F.sequence(first, F.col("blocks") - 1)).alias("block"),
+        F.pmod(F.xxhash64("id", F.lit(1)), F.col("parts")).cast("int").alias("part"),
+        F.lit(False).alias("resident"), "id", "label",
+    )
+    return stay.unionAll(go)
+
+
+def met(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Each group of ``meetings`` whole in one task, residents first."""
+    group = [*keys, "block", "part"]
+    return rows.repartition(*group).sortWithinPartitions(*group, F.desc("resident"))
+
+
+def meeting_pairs(
+    batches: Iterator[pa.RecordBatch],
+    keys: Sequence[str],
+    near: Callable[[dict, np.ndarray, np.ndarray], np.ndarray] | None = None,
+    small: int = 9,
+    pairs: int = 1 << 17,
+) -> Iterator[tuple[dict[str, np.ndarray], np.ndarray, np.ndarray, int]]:
+    """Rows, and the places of pairs of different labels that are to be compared there.
+
+    Groups of ``small`` rows at most are done together. Of larger ones the residents are held and the
+    passers come by, so many at a time that there are ``pairs`` pairs; ``near`` may thin these out, and
+    the last figure is the number of rows that they come from, 0 for small groups.
+    """
+    group = [*keys, "block", "part"]
+    held: dict[str, np.ndarray] | None = None
+    # Whether the residents held have been compared with each other.
+    settled = False
+
+    def of_many(rows: dict, stay: np.ndarray, go: np.ndarray, own: bool):
+        step = max(1, pairs // max(len(stay), 1))
+        for at in range(0, len(go), step):
+            some = go[at : at + step]
+            keep = rows["label"][stay][:, None] != rows["label"][some][None, :]
+            if own:
+                keep &= stay[:, None] < some[None, :]
+            if near is not None and keep.any():
+                keep &= near(rows, stay, some)
+            a, b = np.nonzero(keep)
+            yield rows, stay[a], some[b], len(stay) + len(some)
+
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        rows = {name: _array(batch.column(name)) for name in batch.schema.names}
+        rows["resident"] = rows["resident"].astype(bool)
+        if held is not None:
+            rows = {name: np.concatenate([held[name], rows[name]]) for name in rows}
+        starts = _starts(rows, group)
+        sizes = np.diff(np.append(starts, len(rows["id"])))
+        together = sizes <= small
+        together[-1] = False
+        together[0] &= not settled
+        a, b = pairs_within(starts[together], sizes[together])
+        lives = rows["resident"]
+        keep = (lives[a] | lives[b]) & (rows["label"][a] != rows["label"][b])
+        keep &= ~(lives[a] & lives[b]) | (rows["part"][a] == 0)
+        if len(a):
+            yield rows, a[keep], b[keep], 0
+        for number in np.flatnonzero(~together):
+            start, size = starts[number], sizes[number]
+            stay = start + np.flatnonzero(lives[start : start + size])
+            go = start + np.flatnonzero(~lives[start : start + size])
+            done = settled and number == 0
+            whole = len(go) > 0 or number < len(starts) - 1
+            if whole and not done and rows["part"][start] == 0:
+                yield from of_many(rows, stay, stay, True)
+            yield from of_many(rows, stay, go, False)
+            settled = whole or done
+        held = {name: values[stay] for name, values in rows.items()}
+        if len(stay) == 0:
+            held, settled = None, False
+    if held is not None and not settled and held["part"][0] == 0:
+        every = np.arange(len(held["id"]))
+        yield from of_many(held, every, every, True)
 
 
 def dealt(rows: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -2,19 +2,22 @@
 
 1. One pass gives each text its number of distinct shingles, a digest of the set and a signature
    of 128 minima, of which 16 bits each are kept. Equal sets form a class with one representative.
-2. Representatives that share a band of four minima are candidates. A bucket with many members is
-   dealt out in blocks, each pair of blocks to a task of its own.
-3. In a task, signatures are compared batch by batch. After each batch a pair goes as soon as the
-   posterior probability of a similarity of 0.75 or more is below the chosen miss probability. A
-   pair is looked at in the first band it shares and nowhere else.
-4. Survivors are confirmed on full shingle sets, made from the texts again. Where a block has more
-   survivors than four per member, its members' sets go to the block's task instead, which counts
-   all intersections at once and hands out a spanning forest of the confirmed pairs. So no pair
-   within a large group of copies need be written, and no link is lost.
+2. Representatives that share a band of four minima are candidates. Signatures are compared batch by
+   batch; after each batch a pair goes as soon as the posterior probability of a similarity of 0.75
+   or more is below the chosen miss probability. Survivors are confirmed on full shingle sets, made
+   from the texts again.
+3. Every member is compared with the smallest member of all its buckets first, so a group of
+   copies, however large, costs a row per member. What links so far join has one label. Only pairs
+   of different labels are still looked at: for some rounds a leader without its bucket's most
+   frequent label against all others of the bucket, and then all members without that label against
+   all, in blocks. A pair of a block is looked at in the first band it shares and nowhere else.
+4. Where a block has more survivors than four per member, its members' sets go to the block's task
+   instead, which gives one confirmed link for any two labels it can join. So no pairs within a
+   large group are written, and no link that joins different texts' groups is lost.
 
 Null or empty text has no shingles and is linked with nothing; so is a row with a null id, which
-stays as it is. Ids are expected to be unique; rows that repeat one are kept, each placed by its
-own text. Extra columns are ignored.
+stays as it is. Rows that repeat an id but not the text are placed each by its own text. Very long
+texts are worked on whole. Extra columns are ignored.
 """
 
 import math
@@ -27,19 +30,21 @@ from pyspark.sql import functions as F
 
 from kerbside.llm.components import connected_components
 from kerbside.llm.groups import (
-    dealt,
-    intersections,
-    pairs_within,
-    shared_blocks,
-    spanning_forest,
-    whole_groups,
+    by_leader,
+    in_stars,
+    meeting_pairs,
+    meetings,
+    met,
+    open_buckets,
+    shared_buckets,
+    star_rows,
 )
 from kerbside.llm.words import mix, shingles_of, text_slices, words_of
 from kerbside.sources import stored
 
 HASHES, BANDS, BATCH = 128, 32, 32
-# Most members of a bucket that a task holds from each of two blocks.
-BLOCK = 256
+# Members of a star in a task; residents of a bucket that a task holds, and passers that come by.
+STAR, BLOCK, PASSERS = 512, 256, 1 << 16
 
 _seeds = mix(np.arange(1, 2 * HASHES + 1, dtype=np.uint64))
 _XOR = (_seeds[:HASHES] >> np.uint64(32)).astype(np.uint32)
@@ -113,15 +118,12 @@ def fewest_matches(threshold: float, miss: float) -> list[int]:
     return needed
 
 
-_GROUP = ["band", "key", "low", "high"]
-_PAIR_SCHEMA = "band int, key long, low int, high int, a long, b long"
+_BUCKET = ["band", "key"]
+_GROUP = [*_BUCKET, "block", "part"]
 
 
-class _PairFinder:
-    """Surviving pairs of whole blocks. Of a dense block only its key, with -1 for the pair."""
-
-    # A group of nine has four pairs per member, so it is never dense.
-    SMALL = 9
+class _Bounds:
+    """What may be linked by sizes and signatures, batch after batch."""
 
     def __init__(self, threshold: float, miss: float):
         self.percent = round(100 * threshold)
@@ -129,8 +131,7 @@ class _PairFinder:
 
     def survivors(self, rows: dict, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         small, large = np.minimum(rows["n"][a], rows["n"][b]), np.maximum(rows["n"][a], rows["n"][b])
-        keep = (rows["id"][a] != rows["id"][b]) & (100 * small >= self.percent * large)
-        keep &= (rows["low"][a] == rows["high"][a]) | (rows["block"][a] != rows["block"][b])
+        keep = 100 * small >= self.percent * large
         a, b = a[keep], b[keep]
         matches = np.zeros(len(a), np.int64)
         signature = rows["bands"].view(np.uint16)
@@ -139,49 +140,95 @@ class _PairFinder:
             matches += (signature[a, part] == signature[b, part]).sum(1)
             keep = matches >= least
             a, b, matches = a[keep], b[keep], matches[keep]
+        return a, b
+
+
+def shares_enough(first: np.ndarray, second: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets have a similarity of ``percent`` or more."""
+    at = np.searchsorted(first, second)
+    at[at == len(first)] = 0
+    both = int((first[at] == second).sum())
+    return 100 * both >= percent * (len(first) + len(second) - both)
+
+
+class _StarSignatures(_Bounds):
+    """Members whose signatures may be linked with their leader's."""
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, member, leader in by_leader(batches):
+            leader, member = self.survivors(rows, leader, member)
+            columns = [rows["a"][member], rows["slot"][member], rows["id"][member]]
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=["a", "slot", "b"])
+
+
+def _star_sets(percent: int):
+    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, members, leaders in by_leader(batches):
+            linked, last, own = [], -1, None
+            for member, leader in zip(members, leaders):
+                if leader != last:
+                    last, own = leader, np.frombuffer(rows["set"][leader], np.uint64)
+                if shares_enough(own, np.frombuffer(rows["set"][member], np.uint64), percent):
+                    linked.append(member)
+            linked = np.array(linked, np.int64)
+            columns = [pa.array(rows[name][linked].astype(np.int64)) for name in ("a", "id")]
+            yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
+
+    return confirm
+
+
+class _BlockSignatures(_Bounds):
+    """Surviving pairs of residents and passers; where there are very many, only the group's key."""
+
+    def looked_at(self, rows: dict, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        a, b = self.survivors(rows, a, b)
         # The first band that two signatures share is the one that they are looked at in.
         first = np.argmax(rows["bands"][a] == rows["bands"][b], axis=1) if len(a) else a
         keep = first == rows["band"][a]
         return a[keep], b[keep]
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, starts in whole_groups(batches, _GROUP):
-            sizes = np.diff(np.append(starts, len(rows["id"])))
-            small = sizes <= self.SMALL
-            found = [self.survivors(rows, *pairs_within(starts[small], sizes[small]))]
-            dense = []
-            for start, size in zip(starts[~small], sizes[~small]):
-                a, b = self.survivors(rows, *(start + at for at in np.triu_indices(size, 1)))
-                if len(a) > 4 * size:
-                    dense.append(start)
-                else:
-                    found.append((a, b))
-            a, b = (np.concatenate(each).astype(np.int64) for each in zip(*found))
-            at = np.concatenate([a, np.array(dense, np.int64)])
-            first, second, none = rows["id"][a], rows["id"][b], np.full(len(dense), -1)
-            columns = [rows[key][at] for key in _GROUP]
-            columns.append(np.concatenate([np.minimum(first, second), none]))
-            columns.append(np.concatenate([np.maximum(first, second), none]))
+        for rows, a, b, members in meeting_pairs(batches, _BUCKET):
+            a, b = self.looked_at(rows, a, b)
+            dense = 0 < 4 * members < len(a)
+            key = a[:1] if dense else a
+            columns = [rows[name][key] for name in _GROUP]
+            columns += [np.full(1, -1)] * 2 if dense else [rows["id"][a], rows["id"][b]]
             yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=[*_GROUP, "a", "b"])
 
 
-class _DenseBlocks(_PairFinder):
-    """Spanning forests of the confirmed pairs of dense blocks, whose rows carry their sets."""
+class _BlockSets(_BlockSignatures):
+    """Confirmed links of dense groups, whose rows carry their sets: one for any two labels that
+    no other link of the group has joined."""
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, starts in whole_groups(batches, _GROUP):
-            for start, end in zip(starts, np.append(starts[1:], len(rows["id"]))):
-                own = {name: values[start:end] for name, values in rows.items()}
-                a, b = self.survivors(own, *np.triu_indices(end - start, 1))
-                sets = [np.frombuffer(each, np.uint64) for each in own["set"]]
-                size, both = np.array(list(map(len, sets))), intersections(sets)
-                union = size[a] + size[b] - both[a, b]
-                keep = 100 * both[a, b] >= self.percent * union
-                linked = np.zeros((len(sets), len(sets)), bool)
-                linked[a[keep], b[keep]] = linked[b[keep], a[keep]] = True
-                pairs = spanning_forest(linked)
-                columns = [pa.array(own["id"][pairs[:, side]]) for side in (0, 1)]
-                yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
+        group, joined = None, {}
+
+        def top(label: int) -> int:
+            while joined.get(label, label) != label:
+                joined[label] = label = joined.get(joined[label], joined[label])
+            return label
+
+        for rows, a, b, _ in meeting_pairs(batches, _BUCKET, small=0):
+            a, b = self.looked_at(rows, a, b)
+            if len(a) == 0:
+                continue
+            own = tuple(int(rows[name][a[0]]) for name in _GROUP)
+            if own != group:
+                group, joined = own, {}
+            links, sets = [], {}
+            for pair in zip(a.tolist(), b.tolist()):
+                first, second = (top(int(rows["label"][each])) for each in pair)
+                if first != second:
+                    for each in pair:
+                        if each not in sets:
+                            sets[each] = np.frombuffer(rows["set"][each], np.uint64)
+                    if shares_enough(*(sets[each] for each in pair), self.percent):
+                        joined[max(first, second)] = min(first, second)
+                        links.append(pair)
+            at = np.array(links, np.int64).reshape(-1, 2)
+            columns = [pa.array(rows["id"][at[:, side]]) for side in (0, 1)]
+            yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
 
 
 def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,48 +244,70 @@ def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield pa.RecordBatch.from_arrays([ids, pa.array(sets, pa.binary())], names=["id", "set"])
 
 
-def _confirmer(percent: int):
-    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            linked = []
-            for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                both = np.concatenate([np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)])
-                union = len(np.unique(both))
-                linked.append(100 * (len(both) - union) >= percent * union)
-            arrays = [batch.column(0), batch.column(1), pa.array(linked, pa.bool_())]
-            yield pa.RecordBatch.from_arrays(arrays, names=["a", "b", "linked"])
-
-    return confirm
-
-
 def _sets(ids: DataFrame, texts: DataFrame) -> DataFrame:
-    """The shingle sets of some documents, stored. A repeated id may have several."""
+    """The shingle sets of some nodes, stored."""
     some = texts.join(ids.distinct(), "id", "left_semi").select("id", "text")
     return stored(some.mapInArrow(_shingle_sets, "id long, set binary"), "shingle-sets")
 
 
-def _links(nodes: DataFrame, texts: DataFrame, threshold: float, miss: float) -> DataFrame:
-    """Confirmed links between nodes: all sparse ones, a forest of each dense block."""
-    entries = nodes.select("id", F.posexplode("bands").alias("band", "key"))
-    blocks = stored(shared_blocks(entries, ["band", "key"], BLOCK), "blocks")
-    rows = blocks.join(nodes, "id").select(*_GROUP, "block", "id", "n", "bands")
-    found = dealt(rows, _GROUP).mapInArrow(_PairFinder(threshold, miss), _PAIR_SCHEMA)
-    found = stored(found, "surviving-pairs")
-
-    pairs = found.filter("a >= 0").select("a", "b").distinct()
-    dense = blocks.join(found.filter("a < 0").select(*_GROUP), _GROUP, "left_semi")
-    ids = pairs.select(F.col("a").alias("id")).unionAll(pairs.select("b"))
-    sets = _sets(ids.unionAll(dense.select("id")), texts)
-
-    first = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("set_a")), "a")
-    both = first.join(sets.select(F.col("id").alias("b"), F.col("set").alias("set_b")), "b")
-    confirmed = both.select("a", "b", "set_a", "set_b").mapInArrow(
-        _confirmer(round(100 * threshold)), "a long, b long, linked boolean"
-    )
-    members = dense.join(nodes, "id").join(sets, "id")
-    members = members.select(*_GROUP, "block", "id", "n", "bands", "set")
-    forests = dealt(members, _GROUP).mapInArrow(_DenseBlocks(threshold, miss), "a long, b long")
-    return confirmed.filter("linked").select("a", "b").unionAll(forests)
+class _Linker:
+    """Confirmed links of a table of nodes."""
+
+    def __init__(self, nodes: DataFrame, texts: DataFrame, threshold: float, miss: float):
+        self.nodes, self.texts = nodes, texts
+        self.threshold, self.miss = threshold, miss
+
+    def confirmed(self, pairs: DataFrame) -> DataFrame:
+        """Those of some pairs that are links, stored. Equal ``a`` are one star."""
+        percent = round(100 * self.threshold)
+        rows = star_rows(stored(in_stars(pairs, STAR), "stars"), self.nodes)
+        near = rows.mapInArrow(_StarSignatures(self.threshold, self.miss), "a long, slot int, b long")
+        near = stored(near, "surviving-pairs")
+        ids = near.select(F.col("a").alias("id")).unionAll(near.select("b"))
+        rows = star_rows(near, _sets(ids, self.texts))
+        return stored(rows.mapInArrow(_star_sets(percent), "a long, b long"), "confirmed-pairs")
+
+    def in_blocks(self, members: DataFrame) -> DataFrame:
+        """Links between different labels of open buckets: all sparse ones, a forest of dense groups."""
+        rows = stored(meetings(members, _BUCKET, BLOCK, PASSERS), "meetings")
+        schema = "band int, key long, block int, part int, a long, b long"
+        found = met(rows.join(self.nodes, "id"), _BUCKET).mapInArrow(
+            _BlockSignatures(self.threshold, self.miss), schema
+        )
+        found = stored(found, "surviving-pairs")
+        sparse = self.confirmed(found.filter("a >= 0").select("a", "b").distinct())
+        dense = stored(rows.join(found.filter("a < 0").select(*_GROUP), _GROUP, "left_semi"), "dense")
+        carried = dense.join(self.nodes, "id").join(_sets(dense.select("id"), self.texts), "id")
+        forests = met(carried, _BUCKET).mapInArrow(
+            _BlockSets(self.threshold, self.miss), "a long, b long"
+        )
+        return sparse.unionAll(stored(forests, "dense-links"))
+
+    def links(self, rounds: int) -> DataFrame:
+        """Links that join all nodes which links join."""
+        entries = self.nodes.select("id", F.posexplode("bands").alias("band", "key"))
+        buckets = stored(shared_buckets(entries, _BUCKET), "buckets")
+        # Each member's smallest leader first: one pair per member joins most of any group.
+        tried = buckets.filter("id != leader").groupBy(F.col("id").alias("b")).agg(F.min("leader").alias("a"))
+        tried = stored(tried.select("a", "b"), "first-pairs")
+        found = self.confirmed(tried)
+        left = buckets.select(*_BUCKET, "id")
+        for round_ in range(rounds):
+            parts = connected_components(found).withColumnRenamed("node", "id")
+            labelled = left.join(parts, "id", "left").select(
+                *_BUCKET, "id", F.coalesce("component", "id").alias("label")
+            )
+            members = stored(open_buckets(labelled, _BUCKET), "open-buckets")
+            if members.isEmpty():
+                return found
+            if round_ == rounds - 1:
+                return found.unionAll(self.in_blocks(members))
+            # A leader is compared with all of its bucket that has another label, and leaves it.
+            others = members.filter("label != leader_label")
+            pairs = others.select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
+            found = stored(found.unionAll(self.confirmed(pairs.join(tried, ["a", "b"], "left_anti"))), "links")
+            left = members.filter("id != leader").select(*_BUCKET, "id")
+        raise ValueError("rounds is 1 at least")
 
 
 def near_duplicates(
@@ -247,11 +316,13 @@ def near_duplicates(
     text_col: str = "text",
     threshold: float = 0.75,
     miss: float = 1e-6,
+    rounds: int = 2,
 ) -> DataFrame:
-    """Per row: ``doc_id``, ``n_shingles``, ``component_id`` and ``kept``, and ``version``, a hash
-    of the text.
+    """Per row: ``doc_id``, ``n_shingles``, ``component_id`` and ``kept``; besides ``version``, a hash of
+    the text, and ``stands_for_group``, which of each group one id and text has.
 
-    ``miss`` is the posterior probability of a link at which a pair of signatures is given up.
+    ``miss`` is the posterior probability of a link at which a pair of signatures is given up,
+    ``rounds`` how often buckets are labelled anew before what is left goes into blocks.
     """
     taken = docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"),
@@ -265,23 +336,32 @@ def near_duplicates(
         "signatures",
     )
     linkable = signed.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = linkable.groupBy("h1", "h2").agg(F.min("doc_id").alias("id"))
+    classes = linkable.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "version")).alias("least"))
+    # A repeated id may stand for several texts, so a class has a number of its own.
+    classes = classes.select("h1", "h2", "least.*", F.monotonically_increasing_id().alias("id"))
     classes = stored(classes, "classes")
-    nodes = linkable.join(
-        classes.withColumnRenamed("id", "doc_id"), ["h1", "h2", "doc_id"], "left_semi"
-    ).select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "bands")
-    nodes = stored(nodes.dropDuplicates(["id", "n", "bands"]), "nodes")
-    texts = taken.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("id"), "text")
-
-    parts = connected_components(_links(nodes, texts, threshold, miss))
-    members = classes.join(parts.withColumnRenamed("node", "id"), "id", "left").select(
-        "h1", "h2", F.coalesce("component", "id").alias("component_id")
+    nodes = linkable.join(classes, ["h1", "h2", "doc_id", "version"]).select(
+        "id", F.col("n_shingles").alias("n"), "bands"
+    )
+    nodes = stored(nodes.dropDuplicates(["id"]), "nodes")
+    texts = taken.join(classes.select("doc_id", "version", "id"), ["doc_id", "version"])
+    texts = texts.select("id", "text")
+
+    parts = connected_components(_Linker(nodes, texts, threshold, miss).links(rounds))
+    placed = classes.join(parts.withColumnRenamed("node", "id"), "id", "left").select(
+        "h1", "h2", "doc_id", "version", F.coalesce("component", "id").alias("component")
     )
-    placed = linkable.select("doc_id", "version", "n_shingles", "h1", "h2").join(members, ["h1", "h2"])
+    placed = stored(placed, "placed-classes")
+    least = placed.groupBy("component").agg(F.min(F.struct("doc_id", "version")).alias("first"))
+    members = placed.join(least, "component").select("h1", "h2", "first")
+    every = linkable.select("doc_id", "version", "n_shingles", "h1", "h2").join(members, ["h1", "h2"])
+    first = (F.col("doc_id") == F.col("first.doc_id")) & (F.col("version") == F.col("first.version"))
     alone = signed.filter("NOT (n_shingles > 0 AND doc_id IS NOT NULL)")
-    return placed.select("doc_id", "n_shingles", "component_id", "version").unionAll(
-        alone.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "version")
-    ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    return every.select(
+        "doc_id", "n_shingles", F.col("first.doc_id").alias("component_id"), "version", first.alias("stands_for_group")
+    ).unionAll(
+        alone.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "version", F.lit(True))
+    ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def one_of_each(
@@ -292,7 +372,7 @@ def one_of_each(
     Of repeated rows one stays; rows without an id all stay.
     """
     near = near_duplicates(docs, id_col, text_col, threshold)
-    kept = near.filter("kept AND doc_id IS NOT NULL").select("doc_id", "version").distinct()
+    kept = near.filter("stands_for_group AND doc_id IS NOT NULL").select("doc_id", "version").distinct()
     rows = docs.filter(F.col(id_col).isNotNull()).select(
         F.struct("*").alias("row"),
         F.col(id_col).cast("bigint").alias("doc_id"),

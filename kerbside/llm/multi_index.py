@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kerbside.llm.groups import dealt, whole_groups
-from kerbside.llm.vectors import cosines, dimensions_of, is_direction, unit
+from kerbside.llm.vectors import cosines, is_direction, lengths_of, unit
 from kerbside.sources import stored
 
 # Most vectors and most queries of a group.

@@ -6,18 +6,16 @@ from pyspark.sql import functions as F
 import numpy as np
 
 
-def is_direction(vector: Column, dimensions: int) -> Column:
-    """Whether a vector has the right length and finite components that are not all zero."""
+def is_direction(vector: Column) -> Column:
+    """Whether a vector has components that are all finite and not all zero."""
     bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     zero = ~F.exists(vector, lambda x: x != 0)
-    return F.coalesce((F.size(vector) == dimensions) & ~bad & ~zero, F.lit(False))
+    return F.coalesce(~bad & ~zero, F.lit(False))
 
 
-def dimensions_of(df: DataFrame, vector_col: str) -> int:
-    """The most frequent length of the vectors, the greater one of equals; 0 without any."""
-    lengths = df.filter(F.size(vector_col) > 0).groupBy(F.size(vector_col).alias("d")).count()
-    most = lengths.orderBy(F.desc("count"), F.desc("d")).limit(1).collect()
-    return most[0]["d"] if most else 0
+def lengths_of(df: DataFrame, vector_col: str) -> list[int]:
+    """The different lengths of the vectors. A length is a row, so few reach the driver."""
+    return sorted(row["d"] for row in df.select(F.size(vector_col).alias("d")).distinct().collect())
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:

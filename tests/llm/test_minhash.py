@@ -6,10 +6,11 @@ import pyarrow as pa
 import pytest
 from texts import empty, frame, invented, odd
 
-from kerbside.llm import minhash
+from kerbside.llm import components, minhash
 from kerbside.llm.components import connected_components
 from kerbside.llm.minhash import near_duplicates, one_of_each
 from kerbside.llm.words import shingles_of, text_slices, words_of
+from kerbside.sources import stored
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -137,3 +138,74 @@ def test_components_of_random_edges(spark):
     got = {r[0]: r[1] for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     # A node whose only edge is to itself has no neighbour and no row.
     assert got == {i: find(i) for i in parent if any(i in e and e[0] != e[1] for e in edges)}
+
+
+def test_repeated_ids_are_placed_by_their_own_text(spark):
+    x, y = invented(1, 100), invented(2, 100)
+    docs = frame(spark, [x, y, x + " more", y + " more", y], ids=[5, 5, 3, 9, 5])
+    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in near_duplicates(docs).collect())
+    assert got == [(3, 97, 3, True), (5, 96, 3, False), (5, 96, 5, True), (5, 96, 5, True), (9, 97, 5, False)]
+    left = sorted((r["doc_id"], r["text"]) for r in one_of_each(docs).collect())
+    assert left == [(3, x + " more"), (5, y)]
+
+
+@pytest.mark.parametrize("rounds", [1, 2, 4])
+def test_chains_and_groups_with_any_number_of_rounds(spark, monkeypatch, rounds):
+    """Groups that lie side by side, chains of small steps, and lone texts near a group."""
+    monkeypatch.setattr(minhash, "BLOCK", 8)
+    monkeypatch.setattr(minhash, "PASSERS", 16)
+    monkeypatch.setattr(minhash, "STAR", 4)
+    pick = random.Random(21)
+    texts = []
+    for start in range(3):
+        text = invented(100 + start, 120)
+        for _ in range(25):
+            texts.append(text)
+            text = edited(text, 3, pick)
+        texts += [edited(texts[-1], pick.randrange(3, 9), pick) for _ in range(30)]
+    pick.shuffle(texts)
+    got = answers(near_duplicates(frame(spark, texts), rounds=rounds))
+    assert got == brute_force(list(enumerate(texts)))
+
+
+def rows_of(spark, monkeypatch, texts):
+    """Rows of every table that the links go through, by name."""
+    counts = {}
+
+    def counting(df, name):
+        held = stored(df, name)
+        counts[name] = counts.get(name, 0) + held.count()
+        return held
+
+    for module in (minhash, components):
+        monkeypatch.setattr(module, "stored", counting)
+    near_duplicates(frame(spark, texts)).count()
+    return counts
+
+
+@pytest.mark.parametrize("edits, most", [(1, 2.2), (3, 2.4)])
+def test_rows_grow_with_a_group_and_not_with_its_square(spark, monkeypatch, edits, most):
+    """Near copies, and a group in which about half of all pairs are below the threshold."""
+    pick = random.Random(8)
+    base = invented(3, 200)
+    texts = [edited(base, edits, pick) for _ in range(2000)]
+    small = rows_of(spark, monkeypatch, texts[:1000])
+    large = rows_of(spark, monkeypatch, texts)
+    for name in ("buckets", "stars", "surviving-pairs", "confirmed-pairs", "edges"):
+        assert large[name] <= most * small[name], name
+    assert large.get("meetings", 0) <= 2 * large["buckets"]
+
+
+def test_joins_of_components_have_a_row_per_edge(spark, monkeypatch):
+    """A star of many edges, listed often: tasks fold it before the first join."""
+    edges = spark.range(0, 40_000, numPartitions=4).selectExpr("0 AS a", "id % 5000 AS b")
+    sizes = []
+
+    def counting(df, name):
+        held = stored(df, name)
+        sizes.append(held.count())
+        return held
+
+    monkeypatch.setattr(components, "stored", counting)
+    assert connected_components(edges).filter("component = 0").count() == 5000
+    assert max(sizes) <= 4999

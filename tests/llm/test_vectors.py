@@ -2,9 +2,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from kerbside.llm import cap_filters, multi_index
+from kerbside.llm import cap_filters, components, multi_index
 from kerbside.llm.cap_filters import near_duplicate_vectors
 from kerbside.llm.multi_index import nearest_neighbours
+from kerbside.sources import stored
 
 SCHEMA = "vec_id long, embedding array<float>, label int, id string, vector string"
 
@@ -84,6 +85,82 @@ def test_links_of_odd_vectors(spark):
     assert near_duplicate_vectors(frame(spark, [None])).first()["n_links"] == 0
 
 
+def test_links_of_several_lengths(spark):
+    """Vectors of each length are compared among themselves, however few there are."""
+    random = np.random.default_rng(12)
+    made = [list(v) for v in random.standard_normal((20, 3))] + [[1.0, 2.0], [1.0, 2.0], [0.5, 1.0], [1.0, 2.0, 0.0, 0.0]]
+    got = {r["vec_id"]: r for r in near_duplicate_vectors(frame(spark, made)).collect()}
+    assert [(got[i]["n_links"], got[i]["component_id"]) for i in (20, 21, 22, 23)] == [(2, 20)] * 3 + [(0, 23)]
+    links, component = brute_force_links(np.array(made[:20], np.float32))
+    assert [(got[i]["n_links"], got[i]["component_id"]) for i in range(20)] == list(zip(links, component))
+
+
+@pytest.mark.parametrize("spread, block", [(0.05, 4096), (0.2, 4096), (0.24, 32)])
+def test_a_large_group_tight_or_wide(spark, monkeypatch, spread, block):
+    """Balls hold a tight group; of a wide one, links are counted in blocks."""
+    monkeypatch.setattr(cap_filters, "BLOCK", block)
+    monkeypatch.setattr(cap_filters, "PASSERS", block)
+    random = np.random.default_rng(13)
+    centre = random.standard_normal(32)
+    made = (centre + spread * random.standard_normal((500, 32))).astype(np.float32)
+    links, component = brute_force_links(made)
+    got = {r["vec_id"]: r for r in near_duplicate_vectors(frame(spark, made)).collect()}
+    assert [got[i]["n_links"] for i in range(500)] == links.tolist()
+    assert [got[i]["component_id"] for i in range(500)] == component.tolist()
+
+
+def test_rows_of_a_group_grow_with_its_size(spark, monkeypatch):
+    random = np.random.default_rng(14)
+    centre = random.standard_normal(32)
+    counts = {}
+
+    def counting(df, name):
+        held = stored(df, name)
+        counts[name] = counts.get(name, 0) + held.count()
+        return held
+
+    for module in (cap_filters, components):
+        monkeypatch.setattr(module, "stored", counting)
+    for spread in (0.05, 0.2):
+        made = (centre + spread * random.standard_normal((2000, 32))).astype(np.float32)
+        found = []
+        for size in (1000, 2000):
+            counts.clear()
+            near_duplicate_vectors(frame(spark, made[:size]), occupancy=1e9).count()
+            found.append(dict(counts))
+        for name in ("shared-filters", "stars"):
+            assert found[1][name] <= 2.2 * found[0][name], (spread, name)
+        # All rounds of the components together.
+        assert found[1]["edges"] <= 4 * 2000
+        for name in ("meetings", "vector-links"):
+            assert found[1][name] <= 2.2 * found[0][name] + 1000, (spread, name)
+
+
+def test_filters_hold_as_many_at_any_number_of_vectors():
+    for count in (20_000, 10**6, 10**7):
+        alpha, words = cap_filters.filter_sizes(64, count, 0.95, 0.12, 20.0, 1.1e-5)
+        share = cap_filters.cap_share(64, alpha)
+        assert count * share == pytest.approx(0.12, rel=0.05) or words > 0.9 * cap_filters.WORDS
+        mean = cap_filters.ROTATIONS * words**2 * share * cap_filters.covered(64, alpha, 0.95)
+        assert mean == pytest.approx(20, rel=0.05)
+
+
+@pytest.mark.parametrize("dimensions, count", [(64, 20_000), (16, 3000), (2, 100)])
+def test_shared_filters_follow_the_formula(dimensions, count):
+    """Pairs at the threshold share as many filters as the collision formula says."""
+    alpha, words = cap_filters.filter_sizes(dimensions, count, 0.95, 0.12, 20.0, 1.1e-5)
+    code = cap_filters.ProductCode(dimensions, alpha, words, 7)
+    random = np.random.default_rng(15)
+    first = random.standard_normal((300, dimensions))
+    first /= np.linalg.norm(first, axis=1, keepdims=True)
+    side = random.standard_normal((300, dimensions))
+    side -= (side * first).sum(1, keepdims=True) * first
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    (a, f), (b, g) = code.decode(first), code.decode(0.95 * first + np.sqrt(1 - 0.95**2) * side)
+    shared = [len(np.intersect1d(f[a == i], g[b == i])) for i in range(300)]
+    assert np.mean(shared) == pytest.approx(20, rel=0.15)
+
+
 def nearest(vectors, query, k=5):
     scores = cosines(vectors)[query]
     others = [i for i in range(len(vectors)) if i != query]
