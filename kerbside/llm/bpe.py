@@ -12,7 +12,7 @@ fixed number and worked out again beyond it.
 
 Null text counts as empty: no tokens. Ids may be null or repeat, rows stay as they are. Extra
 columns are ignored. The file's two special tokens are recognised in the text, as by default.
-The 55 capitals that are newer than Python's Unicode tables keep their case.
+Where Python's Unicode tables differ from the library's on a letter's case, the library's count.
 """
 
 import json
@@ -26,6 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Regex
+from tokenizers.normalizers import Lowercase
 from tokenizers.pre_tokenizers import Split
 
 # The word pattern and the white space of the vocabulary's file.
@@ -62,6 +63,22 @@ def _careful_word() -> str:
     return rf"'s|'t|'re|'ve|'m|'ll|'d|{letter}+|{number}|{other}+"
 
 
+@cache
+def _lower_case() -> tuple[dict[int, str], str]:
+    """What the library makes of each code point that it lower-cases, and a class of those code
+    points on which Python's tables, which are older, say something else."""
+    library, table, other = Lowercase(), {}, []
+    for character in map(chr, range(0x110000)):
+        if not 0xD800 <= ord(character) < 0xE000 and not character.isascii():
+            small = library.normalize_str(character)
+            if small != character:
+                table[ord(character)] = small
+            if small != character.lower():
+                other.append(character)
+    table |= {code: chr(code + 32) for code in range(65, 91)}
+    return table, "".join(rf"\U{ord(character):08x}" for character in other) or r"\U0010ffff"
+
+
 # Characters of text worked on at once, and words and pairs remembered by a worker.
 SLICE_CHARS = 500_000
 REMEMBERED_WORDS = 160_000
@@ -112,6 +129,8 @@ class WordBpe:
         self.pattern = regex.compile(_WORD)
         self.careful_pattern = regex.compile(_careful_word(), regex.V1)
         self.unassigned = regex.compile(f"[{_unassigned()}]")
+        self.small, differing = _lower_case()
+        self.differs = regex.compile(f"[{differing}]")
         names = "|".join(map(regex.escape, self.special))
         self.special_pattern = regex.compile(f"({names})") if names else None
         self.stable: dict[int, bool] = {}
@@ -167,15 +186,16 @@ class WordBpe:
             else:
                 return True
 
-    def last_token(self, path: str, last: list[int], tokens: dict[str, int]) -> int:
-        """The token that ends at the end of ``path``. ``last`` holds the states before it."""
+    def last_token(self, tail: str, last: list[int], tokens: dict[str, int]) -> int:
+        """The token that ends at the end of a prefix. ``tail`` is the prefix, or as much of its end as
+        the longest token takes; ``last`` holds the states before it."""
         # There is just one, so the order is free: short tokens are the likely ones.
-        depth, stable = len(path), self.stable
-        for start in range(depth - 1, max(0, depth - self.longest) - 1, -1):
-            token = tokens.get(path[start:])
+        stable = self.stable
+        for size in range(1, len(tail) + 1):
+            token = tokens.get(tail[-size:])
             if token is not None:
-                answer = stable.get(last[start] << 20 | token)
-                if answer or (answer is None and self.is_stable(last[start], token)):
+                answer = stable.get(last[-size] << 20 | token)
+                if answer or (answer is None and self.is_stable(last[-size], token)):
                     return token
         raise RuntimeError("a word without an encoding: the vocabulary lacks a byte")
 
@@ -186,26 +206,35 @@ class WordBpe:
             node = root
             for letter in word:
                 node = node.setdefault(letter, {})
-            node[_END] = True
+            node[_END] = word
         # last[d] is the state of the walk's prefix of length d; -1 stands for the empty one.
-        last, stack = [-1], [("", root)]
+        last, stack, longest = [-1], [(0, "", root)], self.longest
         while stack:
-            path, node = stack.pop()
-            depth = len(path)
-            if _END in node:
-                at, token, tokens = depth, self.last_token(path, last, self.final), []
+            depth, tail, node = stack.pop()
+            del last[max(depth, 1) :]
+            if _END in node and depth:
+                at, token, tokens = depth, self.last_token(tail, last, self.final), []
                 while True:
                     tokens.append(token)
                     at -= self.width[token]
                     if at == 0:
                         break
                     token = last[at]
-                yield path, tokens[::-1]
-            if depth:
-                del last[depth:]
-                if len(node) > (_END in node):
-                    last.append(self.last_token(path, last, self.inner))
-            stack += [(path + letter, below) for letter, below in node.items() if letter != _END]
+                yield node[_END], tokens[::-1]
+            if depth and len(node) > (_END in node):
+                last.append(self.last_token(tail, last, self.inner))
+            if len(tail) >= longest:
+                tail = tail[1:]
+            stack += [(depth + 1, tail + letter, below) for letter, below in node.items() if letter != _END]
+
+    def lowered(self, text: str) -> str:
+        """A text composed and lower-cased letter by letter: a final sigma is one like any other."""
+        if text.isascii():
+            return text.lower()
+        text = unicodedata.normalize("NFC", text)
+        if self.differs.search(text):
+            return text.translate(self.small)
+        return text.replace("Σ", "σ").lower()
 
     def words(self, text: str, pattern: regex.Pattern) -> list[str]:
         """The words of a text; a special token is an item of its own."""
@@ -217,9 +246,7 @@ class WordBpe:
             if part in self.special:
                 found.append(part)
             else:
-                part = unicodedata.normalize("NFC", part)
-                # Letter by letter: a final sigma is lower-cased like any other.
-                found += pattern.findall(part.replace("Σ", "σ").lower())
+                found += pattern.findall(self.lowered(part))
         return found
 
     def encode(self, texts: list[str]) -> list[bytes]:

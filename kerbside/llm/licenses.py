@@ -1,14 +1,21 @@
 """Licence scan with a positional index of rare template words.
 
 Spark expressions only. One pass takes each file's licence words with their positions; how many
-files hold each word is counted over all files. Every licence word of a file is looked up in the
-postings of the templates, the postings are intersected by relative position (file position less
-template position), and a template counts at each place where its mandatory key phrases stand and
-enough of its own anchors do: its rarest (highest-IDF) words and all words of its key phrases. So
-other licences in the same file take no anchor away.
+files hold each word is counted over all files.
+
+1. The index holds, per template, only the rarest (highest-IDF) words of its mandatory key phrases.
+   A file's words are looked up there, and postings are intersected by relative position (file
+   position less template position): a template is a candidate at a place where enough of its
+   rare words agree.
+2. Files with candidates are looked up in the postings of all template words, at their candidates'
+   places alone, and a template counts where all its mandatory key phrases stand.
+
+Every place where the key phrases stand has all rare words in it, so the choice of rare words tells
+how many candidates are verified and never which labels a file gets.
 
 Null or empty text: no words, no label, score 0. A null id is kept as it is; rows with the same id
-stay apart, for each row is scanned by itself. Extra columns are ignored.
+stay apart, for each row is scanned by itself. Very long texts are scanned whole. Extra columns are
+ignored.
 """
 
 from dataclasses import dataclass
@@ -121,11 +128,14 @@ def _phrase_places(phrase: str) -> Column:
     return F.transform(F.filter("hits", starts), lambda hit: hit["p"])
 
 
-def _postings(templates: list[Template]) -> Column:
-    """word -> [(template, position, bit)] as a literal; bounded by the template list."""
+def _postings(templates: list[Template], held: list[int] | None = None) -> Column:
+    """word -> [(template, position, bit)] as a literal; bounded by the template list. Only words with
+    their bit in ``held`` if that is given."""
     by_word: dict[str, list[Column]] = {}
     for number, template in enumerate(templates):
         for i, (word, position) in enumerate(template.words):
+            if held is not None and not held[number] >> i & 1:
+                continue
             entry = F.struct(
                 F.lit(number).alias("t"),
                 F.lit(position).alias("q"),
@@ -136,10 +146,43 @@ def _postings(templates: list[Template]) -> Column:
     return F.create_map(*pairs)
 
 
-def _anchors(template: Template, rank: dict[str, int], rarest: int) -> int:
-    """Bits of a template's rarest words and of all words of its key phrases."""
-    order = sorted(range(len(template.words)), key=lambda i: (rank[template.words[i][0]], i))
-    return template.mandatory | sum(1 << i for i in order[:rarest])
+def _files(docs: DataFrame, id_col: str, text_col: str, parsed: list[Template]) -> DataFrame:
+    """Every file with the number of its words, and its licence words with their positions."""
+    taken = docs.select(F.col(id_col).alias("doc_id"), words_of(F.col(text_col)).alias("words"))
+    return taken.select(
+        F.monotonically_increasing_id().alias("row"),
+        "doc_id",
+        F.size("words").cast("long").alias("n_words"),
+        _hits(F.col("words"), licence_words(parsed)).alias("hits"),
+    )
+
+
+def _rare(template: Template, rank: dict[str, int], rarest: int) -> int:
+    """Bits of the rarest words of a template's key phrases; of all its words if it has none."""
+    places = [i for i in range(len(template.words)) if template.mandatory >> i & 1]
+    places = places or list(range(len(template.words)))
+    return sum(1 << i for i in sorted(places, key=lambda i: (rank[template.words[i][0]], i))[:rarest])
+
+
+def _looked_up(hits: DataFrame, postings: Column) -> DataFrame:
+    """``row``, template ``t``, place ``at`` and word ``bit`` of every posting of some licence words."""
+    posted = hits.select("row", F.col("hit.p").alias("p"), F.explode(F.element_at(postings, F.col("hit.w"))).alias("post"))
+    return posted.select("row", "post.t", (F.col("p") - F.col("post.q")).alias("at"), "post.bit")
+
+
+def candidates(files: DataFrame, parsed: list[Template], rarest: int, min_anchors: int) -> DataFrame:
+    """``row``, ``t`` and ``at`` where enough rare words of a template agree on a position."""
+    # Files per licence word, over all files: as many rows as the templates have words.
+    held = files.select(F.explode(F.array_distinct(F.transform("hits", lambda h: h["w"]))).alias("w"))
+    files_with = {r["w"]: r["n"] for r in held.groupBy("w").agg(F.count("*").alias("n")).collect()}
+    ranked = sorted(licence_words(parsed), key=lambda word: (files_with.get(word, 0), word))
+    rank = {word: i for i, word in enumerate(ranked)}
+    rare = [_rare(template, rank, rarest) for template in parsed]
+    words = sorted({w for t, bits in zip(parsed, rare) for i, (w, _) in enumerate(t.words) if bits >> i & 1})
+    hits = files.select("row", F.explode(F.filter("hits", lambda hit: hit["w"].isin(words))).alias("hit"))
+    needed = F.element_at(F.array(*[F.lit(min(min_anchors, bits.bit_count())) for bits in rare]), F.col("t") + 1)
+    agreed = _looked_up(hits, _postings(parsed, rare)).groupBy("row", "t", "at").agg(F.bit_or("bit").alias("mask"))
+    return agreed.filter(F.bit_count("mask") >= needed).select("row", "t", "at")
 
 
 def scan_licenses(
@@ -147,53 +190,33 @@ def scan_licenses(
     id_col: str = "doc_id",
     text_col: str = "text",
     templates: list[tuple[str, str]] | None = None,
-    rarest: int = 12,
+    rarest: int = 3,
     min_anchors: int = 2,
 ) -> DataFrame:
     """Base phrases and licences of every file.
 
-    ``rarest`` is how many highest-IDF words of each template are anchors besides those of its key
-    phrases, ``min_anchors`` how many anchors must agree on one position. ``score`` is the largest share of a
-    verified template's licence words found in place, 0.5 at least where a base phrase stands.
+    ``rarest`` is how many highest-IDF words of each template's key phrases are looked up, ``min_anchors`` how
+    many of them must agree on one position (all, where there are fewer). ``score`` is the largest
+    share of a verified template's licence words found in place, 0.5 at least where a base phrase
+    stands.
     """
     parsed = [parse_template(*entry) for entry in (TEMPLATES if templates is None else templates)]
-    vocabulary = licence_words(parsed)
-    taken = docs.select(F.col(id_col).alias("doc_id"), words_of(F.col(text_col)).alias("words"))
-    files = taken.select(
-        F.monotonically_increasing_id().alias("row"),
-        "doc_id",
-        F.size("words").cast("long").alias("n_words"),
-        _hits(F.col("words"), vocabulary).alias("hits"),
-    )
-    files = stored(files, "licence-words")
-
-    # Files per licence word, over all files: as many rows as the templates have words.
-    held = files.select(F.explode(F.array_distinct(F.transform("hits", lambda h: h["w"]))).alias("w"))
-    files_with = {r["w"]: r["n"] for r in held.groupBy("w").agg(F.count("*").alias("n")).collect()}
-    ranked = sorted(vocabulary, key=lambda word: (files_with.get(word, 0), word))
-    rank = {word: i for i, word in enumerate(ranked)}
+    files = stored(_files(docs, id_col, text_col, parsed), "licence-words")
+    chosen = stored(candidates(files, parsed, rarest, min_anchors), "licence-candidates")
+    hits = files.join(chosen.select("row").distinct(), "row", "left_semi").select("row", F.explode("hits").alias("hit"))
     votes = (
-        files.select("row", F.explode("hits").alias("hit"))
-        .select(
-            "row",
-            F.col("hit.p").alias("p"),
-            F.explode(F.element_at(_postings(parsed), F.col("hit.w"))).alias("post"),
-        )
-        .groupBy("row", F.col("post.t").alias("t"), (F.col("p") - F.col("post.q")).alias("at"))
-        .agg(F.bit_or("post.bit").alias("mask"))
+        _looked_up(hits, _postings(parsed))
+        .join(chosen, ["row", "t", "at"], "left_semi")
+        .groupBy("row", "t", "at")
+        .agg(F.bit_or("bit").alias("mask"))
     )
 
     def per_template(values: list) -> Column:
         return F.element_at(F.array(*[F.lit(v) for v in values]), F.col("t") + 1)
 
     mandatory = per_template([t.mandatory for t in parsed]).cast("long")
-    anchors = per_template([_anchors(t, rank, rarest) for t in parsed]).cast("long")
-    needed = per_template([min(min_anchors, len(t.words)) for t in parsed])
     share = F.bit_count("mask") / per_template([float(len(t.words)) for t in parsed])
-    verified = votes.filter(
-        (F.bit_count(F.col("mask").bitwiseAND(anchors)) >= needed)
-        & (F.col("mask").bitwiseAND(mandatory) == mandatory)
-    ).groupBy("row").agg(
+    verified = votes.filter(F.col("mask").bitwiseAND(mandatory) == mandatory).groupBy("row").agg(
         F.collect_set(per_template([t.label for t in parsed])).alias("found"),
         F.max(share).alias("share"),
     )
@@ -229,7 +252,7 @@ def _values(rows: list[tuple]) -> str:
     return ", ".join(written)
 
 
-def oracle(rarest: int = 12, min_anchors: int = 2) -> str:
+def oracle() -> str:
     """The scan in DuckDB's SQL, from the words themselves."""
     parsed = [parse_template(*entry) for entry in TEMPLATES]
     words = [
@@ -258,21 +281,12 @@ size AS (
     FROM template GROUP BY ALL
 ), phrase(label, words, word, step) AS (VALUES {_values(phrases)}),
 hits AS (SELECT * FROM listed WHERE word IN (SELECT word FROM vocabulary)),
-ranks AS (
-    SELECT v.word, row_number() OVER (ORDER BY count(DISTINCT h.file), v.word) AS rank
-    FROM vocabulary v LEFT JOIN hits h USING (word) GROUP BY v.word
-), anchors AS (
-    SELECT file, word FROM (SELECT DISTINCT file, word FROM hits) JOIN ranks USING (word)
-    QUALIFY row_number() OVER (PARTITION BY file ORDER BY rank) <= {rarest}
-), votes AS (
-    SELECT h.file, t.t, count(DISTINCT q) AS found, count(DISTINCT q) FILTER (WHERE needed) AS needed,
-           count(DISTINCT q) FILTER (WHERE a.word IS NOT NULL) AS anchored
-    FROM hits h JOIN template t USING (word)
-        LEFT JOIN anchors a ON a.file = h.file AND a.word = h.word
-    GROUP BY h.file, t.t, h.p - t.q
+votes AS (
+    SELECT h.file, t.t, count(DISTINCT q) AS found, count(DISTINCT q) FILTER (WHERE needed) AS needed
+    FROM hits h JOIN template t USING (word) GROUP BY h.file, t.t, h.p - t.q
 ), verified AS (
     SELECT file, label, max(found / words) AS share FROM votes v JOIN size s USING (t)
-    WHERE anchored >= least({min_anchors}, words) AND v.needed = s.needed GROUP BY file, label
+    WHERE v.needed = s.needed GROUP BY file, label
 ), places AS (
     SELECT file, label, p - step AS start FROM hits JOIN phrase USING (word)
     GROUP BY file, label, p - step, words HAVING count(DISTINCT step) = words

@@ -244,17 +244,22 @@ def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield pa.RecordBatch.from_arrays([ids, pa.array(sets, pa.binary())], names=["id", "set"])
 
 
-def _sets(ids: DataFrame, texts: DataFrame) -> DataFrame:
-    """The shingle sets of some nodes, stored."""
-    some = texts.join(ids.distinct(), "id", "left_semi").select("id", "text")
-    return stored(some.mapInArrow(_shingle_sets, "id long, set binary"), "shingle-sets")
+def _sets(ids: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """The shingle sets of some nodes, stored. Only texts that are wanted are shuffled, if any."""
+    wanted = classes.join(ids.distinct(), "id").select("doc_id", "version", "id")
+    some = texts.join(stored(wanted, "wanted-texts"), ["doc_id", "version"]).select("id", "text")
+    # Rows that repeat a text give its set once each.
+    sets = some.mapInArrow(_shingle_sets, "id long, set binary")
+    return stored(sets.dropDuplicates(["id"]), "shingle-sets")
 
 
 class _Linker:
     """Confirmed links of a table of nodes."""
 
-    def __init__(self, nodes: DataFrame, texts: DataFrame, threshold: float, miss: float):
-        self.nodes, self.texts = nodes, texts
+    def __init__(
+        self, nodes: DataFrame, classes: DataFrame, texts: DataFrame, threshold: float, miss: float
+    ):
+        self.nodes, self.classes, self.texts = nodes, classes, texts
         self.threshold, self.miss = threshold, miss
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
@@ -264,7 +269,7 @@ class _Linker:
         near = rows.mapInArrow(_StarSignatures(self.threshold, self.miss), "a long, slot int, b long")
         near = stored(near, "surviving-pairs")
         ids = near.select(F.col("a").alias("id")).unionAll(near.select("b"))
-        rows = star_rows(near, _sets(ids, self.texts))
+        rows = star_rows(near, _sets(ids, self.classes, self.texts))
         return stored(rows.mapInArrow(_star_sets(percent), "a long, b long"), "confirmed-pairs")
 
     def in_blocks(self, members: DataFrame) -> DataFrame:
@@ -277,7 +282,7 @@ class _Linker:
         found = stored(found, "surviving-pairs")
         sparse = self.confirmed(found.filter("a >= 0").select("a", "b").distinct())
         dense = stored(rows.join(found.filter("a < 0").select(*_GROUP), _GROUP, "left_semi"), "dense")
-        carried = dense.join(self.nodes, "id").join(_sets(dense.select("id"), self.texts), "id")
+        carried = dense.join(self.nodes, "id").join(_sets(dense.select("id"), self.classes, self.texts), "id")
         forests = met(carried, _BUCKET).mapInArrow(
             _BlockSets(self.threshold, self.miss), "a long, b long"
         )
@@ -344,10 +349,9 @@ def near_duplicates(
         "id", F.col("n_shingles").alias("n"), "bands"
     )
     nodes = stored(nodes.dropDuplicates(["id"]), "nodes")
-    texts = taken.join(classes.select("doc_id", "version", "id"), ["doc_id", "version"])
-    texts = texts.select("id", "text")
 
-    parts = connected_components(_Linker(nodes, texts, threshold, miss).links(rounds))
+    linker = _Linker(nodes, classes, taken, threshold, miss)
+    parts = connected_components(linker.links(rounds))
     placed = classes.join(parts.withColumnRenamed("node", "id"), "id", "left").select(
         "h1", "h2", "doc_id", "version", F.coalesce("component", "id").alias("component")
     )

@@ -5,7 +5,8 @@ its target share of the output over its share of the input. Every document draws
 copies from a Poisson distribution with that mean: a uniform number hashed from seed and id is
 inverted on the distribution's running sums. A rate over 16 is drawn as a sum of equal parts, so
 the table of sums stays short at any rate. Copies are dealt out by hash and sorted by hash within
-a partition, so the output is in random order.
+a partition, so the output is in random order. The hash that deals them out takes in the row's
+number in its input partition, so rows that repeat an id, a third of all rows say, spread evenly.
 
 A null source is a source like any other. A document without an id draws by its text; repeated
 rows draw alike. An empty or null text has mass one and may be drawn. Columns of the input that are
@@ -99,6 +100,7 @@ def replicate(
         F.struct(*[F.col(f"`{name}`") for name in names]).alias("row"),
         F.col(source_col).alias("from_source"),
         _key(id_col, text_col).alias("draw"),
+        F.monotonically_increasing_id().alias("number"),
     )
 
     def drawn(part: Column) -> Column:
@@ -110,16 +112,19 @@ def replicate(
     )
     # The table has a row per source; whether it is broadcast is decided by its stored size.
     counted = rows.join(table, rows["from_source"].eqNullSafe(table["rate_of"])).select(
-        "row", "draw", copies.alias("copies")
+        "row", "draw", "number", copies.alias("copies")
     )
-    every = counted.filter("copies > 0").select(
-        "row", "draw", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy_no")
+    copy = F.transform(
+        F.sequence(F.lit(1), F.col("copies")),
+        lambda number: F.struct(number.alias("copy_no"), F.xxhash64("draw", number, "number").alias("place")),
     )
+    every = counted.filter("copies > 0").select("row", "draw", F.explode(copy).alias("copy"))
+    every = every.select("row", "draw", "copy.*")
     order = _hashed(15, F.lit(seed), F.lit("order"), F.col("draw"), F.col("copy_no"))
     return (
         every.withColumn("shuffle_key", order)
-        .repartition("shuffle_key")
-        .sortWithinPartitions("shuffle_key")
+        .repartition("place")
+        .sortWithinPartitions("shuffle_key", "place")
         .select("row.*", "copy_no", "shuffle_key")
     )
 

@@ -5,9 +5,11 @@ are its lexical pattern. How often each pattern occurs at all is counted over ev
 pattern's score is the share of its occurrences that a known identifier follows. Tokens with a
 digit or an at sign that no fixed pattern covers are instances without a kind; patterns and
 instances form a graph, on which Spark passes scores to and fro for some rounds. Tokens that
-follow a high-confidence pattern are added to the spans; the seeds always stay.
+follow a high-confidence pattern are added to the spans; the seeds always stay. A token goes on
+over groups of digits that single blanks, dots or dashes join, and has five characters at least
+and no greatest length; its pattern is read back to the second word, however far that lies.
 
-Null or empty text has no spans. Ids may be null or repeat: every row is scanned by itself. Extra
+Null or empty text has no spans. Very long texts are scanned whole. Ids may be null or repeat: every row is scanned by itself. Extra
 columns are ignored; ``redact`` keeps them.
 """
 
@@ -35,9 +37,15 @@ _SIGN = re.compile(r"[0-9@]")
 _GAP = re.compile(r"\s")
 _EDGE = "\"'`.,;:!?()[]{}<>"
 
-# Bits of the filter on pattern hashes, and characters looked back for a pattern's two words.
+# A group of digits after one blank goes on with the token before it.
+_MORE_DIGITS = re.compile(r" [0-9]+(?:[.-][0-9]+)*(?![^\s\"'`.,;:!?()\[\]{}<>])")
+
+# Bits of the filter on pattern hashes, and characters looked back for a pattern's two words at first.
 FILTER_BITS, LOOK_BACK = 20, 200
 
+# Fixed value: an unseen identifier has five characters at least.
+SHORTEST = 5
+
 _SPAN = "array<struct<kind: int, start: int, end: int>>"
 _SLOT = "array<struct<pattern: bigint, instance: string, kind: int, start: int, end: int>>"
 
@@ -70,7 +78,8 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     spans = [(0, start, end) for start, end in _emails(text)]
     if _SIGN.search(text):
         for match in _IP.finditer(text):
-            if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in match.group().split(".")):
+            parts = [part.lstrip("0") for part in match.group().split(".")]
+            if all(len(part) <= 3 and int(part or 0) <= 255 for part in parts):
                 spans.append((1, *match.span()))
         for match in _CARD.finditer(text):
             digits = match.group().replace(" ", "").replace("-", "")
@@ -84,12 +93,21 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def _pattern_before(text: str, start: int) -> int | None:
-    """Hash of the two words before a place; none if they do not lie within reach."""
-    reach = text[max(0, start - LOOK_BACK) : start]
-    data = reach.encode("utf-8", "replace").lower()
-    words = data.split()
-    if len(words) < 2 + (start > LOOK_BACK) or not data[-1:].isspace():
+    """Hash of the two words before a place, however far back; none if there are not two."""
+    if start == 0 or not text[start - 1].isspace():
         return None
+    reach = LOOK_BACK
+    while True:
+        data = text[max(0, start - reach) : start].encode("utf-8", "replace").lower()
+        words = data.split()
+        if not data[-1:].isspace():
+            return None
+        # The first word of a part of the text may be the end of a longer one.
+        if len(words) >= 2 + (start > reach):
+            break
+        if start <= reach:
+            return None
+        reach *= 4
     joined = np.frombuffer(b" ".join(words[-2:]), np.uint8)
     cut = len(words[-2])
     starts, ends = np.array([0, cut + 1]), np.array([cut, len(joined)])
@@ -117,13 +135,15 @@ def _slots(text: str, spans: list[tuple[int, int, int]]) -> list[tuple]:
             start -= 1
         gap = _GAP.search(text, place)
         at = gap.start() if gap else len(text)
+        while more := _MORE_DIGITS.match(text, at):
+            at = more.end()
         if i < len(taken) and taken[i][0] < at:
             at = taken[i][0]
             continue
         token = text[start:at]
         left = start + len(token) - len(token.lstrip(_EDGE))
         token = token.strip(_EDGE)
-        if 5 <= len(token) <= 64:
+        if len(token) >= SHORTEST:
             found.append((token.lower(), -1, start, left, left + len(token)))
     slots = []
     for instance, kind, after, start, end in found:

@@ -3,7 +3,11 @@ import re
 import pytest
 from texts import empty, frame, invented, odd
 
-from kerbside.llm.licenses import PHRASES, TEMPLATES, parse_template, scan_licenses
+import duckdb
+from compare import differences
+
+from kerbside.llm import licenses
+from kerbside.llm.licenses import PHRASES, TEMPLATES, candidates, oracle, parse_template, scan_licenses
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -84,6 +88,35 @@ def test_a_file_of_all_templates_keeps_every_label(spark):
     assert got[2]["labels"] == "cc-by-sa,mit"
 
 
+def mixed_files():
+    """All templates at once, single ones, parts of them, and words of theirs out of place."""
+    plain = [text.replace("[", "").replace("]", "") for _, text in TEMPLATES]
+    stray = " ".join(reversed(" ".join(plain).split()))
+    texts = [". ".join(plain), f"{stray}. {plain[8]}", plain[1] + ". licensed under CC BY SA 4", *plain]
+    texts += [" ".join(text.split()[2:]) for text in plain] + [f"{a} {b}" for a, b in zip(plain, plain[1:])]
+    return texts + [" ".join([plain[0], invented(1), plain[0].replace("mit", "x")]), "mit license " * 40, "", None]
+
+
+def test_matches_sql_on_files_of_many_licences(spark, tmp_path):
+    docs = frame(spark, mixed_files())
+    docs.write.parquet(f"{tmp_path}/documents")
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents/*.parquet'")
+    assert differences(scan_licenses(docs), db, oracle()) == []
+
+
+def test_rare_words_choose_candidates_and_no_labels(spark):
+    docs = frame(spark, mixed_files() + [f"licensed under {i}" for i in range(30)] + ["by cc 4 nc"] * 9)
+    parsed = [parse_template(*entry) for entry in TEMPLATES]
+    files = licenses._files(docs, "doc_id", "text", parsed).cache()
+    found, answers = [], []
+    for settings in ((1, 1), (2, 2), (3, 2), (63, 1)):
+        found.append(candidates(files, parsed, *settings).count())
+        answers.append(sorted(map(str, scan_licenses(docs, rarest=settings[0], min_anchors=settings[1]).collect())))
+    assert len(set(found)) > 2 and found[-1] == max(found)
+    assert all(answer == answers[0] for answer in answers)
+
+
 def test_key_phrases_outside_the_rarest_words_are_anchors(spark):
     rare = " ".join(f"rare{i}" for i in range(20))
     texts = ["key phrase here", "key phrase here", f"nothing {rare}"]

@@ -116,3 +116,21 @@ def test_odd_rows(spark):
     masked = redact(docs)
     assert masked.columns == docs.columns and masked.count() == 11
     assert find_personal_data(empty(spark)).count() == 0 and redact(empty(spark)).count() == 0
+
+
+def test_very_long_numbers_in_an_ip(spark):
+    zeros = "0" * 5000
+    texts = [f"{zeros}.1.1.1", f"1.{zeros}1.1.{zeros}", f"{zeros}1{zeros}.1.1.1", "1" * 5000 + ".2.3.4"]
+    rows = personal_data_digest(find_personal_data(frame(spark, texts))).orderBy("doc_id").collect()
+    assert [r["n_ip"] for r in rows] == [1, 1, 0, 0]
+
+
+def test_identifiers_in_groups_of_any_length_and_far_from_their_context(spark):
+    taught = [f"call me: +1 20{i} 555 01{i:02} now" for i in range(8)]
+    unseen = ["0171-2345678", "0171 234 5678", "DE89 3704 0044 0532", "7" * 70, "12.34-56 789"]
+    texts = taught + [f"do call me: {each} ok" for each in unseen]
+    texts += ["call" + " " * 220 + "me: 0171-2345678 ok", "call me:" + " " * 5000 + "0171-2345678, ok"]
+    rows = find_personal_data(frame(spark, texts)).orderBy("doc_id").collect()
+    for text, row in list(zip(texts, rows))[8:]:
+        found = [text[span["start"] : span["end"]] for span in row["spans"]]
+        assert any(each in found for each in unseen), text[:40]

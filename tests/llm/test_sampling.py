@@ -126,3 +126,16 @@ def test_the_query_keeps_the_share_that_labels_say(spark, tmp_path):
     got = QUERIES["op8_importance_resampling"](spark, str(tmp_path)).collect()
     assert sum(r["kept"] for r in got) == 120
     assert target_share(labels.limit(0), "quality = 1") is None
+
+
+def test_rows_of_one_id_spread_over_partitions(spark):
+    """A third of all rows repeat an id, another part has none: no partition holds much more."""
+    texts = [invented(7) if i % 3 == 0 else invented(i) for i in range(3000)]
+    ids = [1 if i % 3 == 0 else None if i % 7 == 0 else i for i in range(3000)]
+    mixed = replicate(frame(spark, texts, ids=ids), spark.createDataFrame([("a", 3.0)], "source string, rate double"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = sorted(r["count"] for r in mixed.groupBy(F.spark_partition_id()).count().collect())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert len(sizes) == 8 and sizes[-1] <= 1.5 * sizes[4]

@@ -3,6 +3,7 @@ import random
 
 import public_tokenizers
 import pytest
+import regex
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -91,3 +92,24 @@ def test_another_file_is_refused():
     with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
         with pytest.raises((ValueError, KeyError)):
             WordBpe(file.read())
+
+
+def test_every_code_point_is_lower_cased_like_the_library(own, library):
+    points = [chr(i) for i in range(0x110000) if not 0xD800 <= i < 0xE000]
+    points = [c for c in points if not regex.match(r"\p{White_Space}", c)]
+    for start in range(0, len(points), 4096):
+        text = "a".join(points[start : start + 4096])
+        assert own.lowered(text) == library.normalizer.normalize_str(text)
+
+
+def test_long_words_take_time_in_proportion(own):
+    from time import perf_counter
+
+    def seconds(size):
+        start = perf_counter()
+        ids = own.encode(["ab" * (size // 2) + "x" * size])
+        assert ids[0]
+        return perf_counter() - start
+
+    seconds(1000)
+    assert seconds(160_000) < 12 * max(seconds(20_000), 0.05)
