@@ -21,25 +21,26 @@ def _array(column: pa.Array) -> np.ndarray:
     return column.to_numpy(zero_copy_only=False)
 
 
-def whole_groups(
-    batches: Iterator[pa.RecordBatch], keys: Sequence[str]
-) -> Iterator[tuple[dict[str, np.ndarray], np.ndarray]]:
-    """Rows of some whole groups, and where each group starts. What is held at a time is a batch
-    and the group that runs on into the next one."""
+def grouped_rows(
+    batches: Iterator[pa.RecordBatch], keys: Sequence[str], passes: str
+) -> Iterator[tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]]:
+    """Rows, places of a group's resident rows, and places of those of its passing rows at hand.
+
+    Residents come first in a group and are held; ``passes`` is the column that tells the others."""
     held: dict[str, np.ndarray] | None = None
     for batch in batches:
         if batch.num_rows == 0:
             continue
         rows = {name: _array(batch.column(name)) for name in batch.schema.names}
+        rows[passes] = rows[passes].astype(bool)
         if held is not None:
             rows = {name: np.concatenate([held[name], rows[name]]) for name in rows}
         starts = _starts(rows, keys)
-        last = int(starts[-1])
-        held = {name: values[last:] for name, values in rows.items()}
-        if last:
-            yield {name: values[:last] for name, values in rows.items()}, starts[:-1]
-    if held is not None:
-        yield held, np.zeros(1, np.int64)
+        for start, end in zip(starts, np.append(starts[1:], len(rows[passes]))):
+            goes = rows[passes][start:end]
+            stay = start + np.flatnonzero(~goes)
+            yield rows, stay, start + np.flatnonzero(goes)
+        held = {name: values[stay] for name, values in rows.items()}
 
 
 def _starts(rows: dict[str, np.ndarray], keys: Sequence[str]) -> np.ndarray:
@@ -221,8 +222,3 @@ def meeting_pairs(
     if held is not None and not settled and held["part"][0] == 0:
         every = np.arange(len(held["id"]))
         yield from of_many(held, every, every, True)
-
-
-def dealt(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Each group whole in one task, its rows together."""
-    return rows.repartition(*keys).sortWithinPartitions(*keys)

@@ -3,17 +3,23 @@
 Unit vectors are cut in two halves and each half is quantised by its own k-means, fitted on a
 bounded sample. A cell of the index is a pair of centroids; every vector goes to its cell. A query
 visits cells in the order of the summed squared distance of its halves to the two centroids, taken
-from a heap, until the cells visited hold ``share`` of all vectors and ``at_least`` of them. Every
-vector of a visited cell is reranked by its exact cosine.
+from a heap. Every vector of a visited cell is reranked by its exact cosine.
 
-A visit is written as a set of second centroids per first centroid, so a query goes to at most as
-many groups as there are centroids of one half. Long lists of vectors and of queries are dealt out
-in blocks. At ``share`` 0.6 and 32 centroids recall among the five nearest is above 0.95 on vectors
-without any structure, the hardest case; with structure a smaller share does.
+A query stops by a bound: the ``k``-th best vector of the sample gives a squared distance that the ``k``
+nearest do not exceed, and a neighbour's cell lies at most a ``margin`` further, but for a share of
+1 - ``reach`` of all neighbours. The margin is measured on the sample's own neighbours. So where
+vectors have structure few cells are visited, and many where they have none; the size of the table
+plays no part.
 
-Vectors that are null, of another length than most, zero or not finite take no part, nor do rows
-with a null id. Repeated ids are candidates of their own, but none of a query's own id. Equal
-scores are ordered by the smaller id. Extra columns are ignored.
+A visit is written as a set of second centroids per first centroid, so a query goes to at most as
+many lists as there are centroids of one half. A list is held in blocks, each by one task, to which
+its vectors go once, and queries stream past it: what is shuffled is a row per vector and one per
+visit of a block.
+
+Vectors that are null, zero or not finite take no part, nor do rows with a null id. A query's candidates
+are the vectors of its own length; each length has an index of its own, so lengths should be few.
+Repeated ids are candidates of their own, but none of a query's own id. Equal scores are ordered by
+the smaller id. Extra columns are ignored.
 """
 
 import heapq
@@ -24,13 +30,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kerbside.llm.groups import dealt, whole_groups
+from kerbside.llm.groups import grouped_rows
 from kerbside.llm.vectors import cosines, is_direction, lengths_of, unit
 from kerbside.sources import stored
 
-# Most vectors and most queries of a group.
+# Vectors of a list that a task holds, and queries that it looks at together.
 BLOCK, QUERIES = 4096, 512
-_GROUP = ["first", "part", "batch"]
+# Sample vectors whose neighbours the margin is measured on.
+MEASURED = 256
+_GROUP = ["first", "part"]
 
 
 def k_means(points: np.ndarray, count: int, seed: int, rounds: int = 20) -> np.ndarray:
@@ -52,28 +60,56 @@ def distances(points: np.ndarray, centers: np.ndarray) -> np.ndarray:
 
 
 class MultiIndex:
-    """Centroids of both halves, and the number of vectors in each cell."""
+    """Centroids of both halves, the number of vectors in each cell, and the sample for the bound."""
 
-    def __init__(self, sample: np.ndarray, centroids: int, seed: int):
-        self.half = sample.shape[1] // 2
+    def __init__(self, sample: np.ndarray, ids: np.ndarray, centroids: int, k: int, reach: float, seed: int):
+        self.half, self.k = sample.shape[1] // 2, k
+        self.sample, self.ids = sample, ids
         self.first = k_means(sample[:, : self.half], centroids, seed)
         self.second = k_means(sample[:, self.half :], centroids, seed + 1)
         self.held = np.zeros((len(self.first), len(self.second)), np.int64)
+        self.margin = self._margin(reach)
 
     def cells(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        first = distances(vectors[:, : self.half], self.first)
-        second = distances(vectors[:, self.half :], self.second)
+        first, second = self.to_centroids(vectors)
         return first.argmin(1), second.argmin(1)
 
-    def visits(self, query: np.ndarray, enough: int) -> dict[int, int]:
-        """First centroid -> bits of the second centroids visited with it."""
-        to_first = distances(query[None, : self.half], self.first)[0]
-        to_second = distances(query[None, self.half :], self.second)[0]
+    def to_centroids(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        first = distances(vectors[:, : self.half], self.first)
+        return first, distances(vectors[:, self.half :], self.second)
+
+    def _margin(self, reach: float) -> float:
+        """How much further than a neighbour its cell lies, for a share ``reach`` of neighbours."""
+        if len(self.sample) <= self.k:
+            return np.inf
+        some = self.sample[:MEASURED]
+        near = some @ self.sample.T
+        near[np.arange(len(some)), np.arange(len(some))] = -9
+        found = np.argsort(-near, axis=1)[:, : self.k]
+        first, second = self.to_centroids(some)
+        own = [cells[found] for cells in self.cells(self.sample)]
+        row = np.arange(len(some))[:, None]
+        excess = first[row, own[0]] + second[row, own[1]] - (2 - 2 * near[row, found])
+        return float(np.quantile(excess, reach))
+
+    def limits(self, ids: np.ndarray, queries: np.ndarray) -> np.ndarray:
+        """The summed distance beyond which each query visits no cell."""
+        near = queries @ self.sample.T
+        near[ids[:, None] == self.ids[None, :]] = -9
+        if near.shape[1] < self.k:
+            return np.full(len(queries), np.inf)
+        score = -np.partition(-near, self.k - 1, axis=1)[:, self.k - 1]
+        return np.where(score < -5, np.inf, 2 - 2 * score + self.margin)
+
+    def visits(self, query: np.ndarray, limit: float) -> dict[int, int]:
+        """First centroid -> bits of the second centroids visited with it: cells within the limit, and
+        more until there are as many vectors as are asked for besides the query itself."""
+        to_first, to_second = (each[0] for each in self.to_centroids(query[None]))
         rows, columns = np.argsort(to_first, kind="stable"), np.argsort(to_second, kind="stable")
         near, far = to_first[rows].tolist(), to_second[columns].tolist()
         held = self.held[rows][:, columns].tolist()
         heap, found, seen = [(near[0] + far[0], 0, 0)], 0, {}
-        while heap and found < enough:
+        while heap and (heap[0][0] <= limit or found <= self.k):
             _, i, j = heapq.heappop(heap)
             found += held[i][j]
             seen[i] = seen.get(i, 0) | 1 << int(columns[j])
@@ -102,12 +138,16 @@ def _indexer(index: MultiIndex):
     return assign
 
 
-def _traverser(index: MultiIndex, enough: int):
+def _traverser(index: MultiIndex):
     def traverse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            visits = [index.visits(query, enough) for query in unit(_matrix(batch.column(1)))]
+            queries, limits = unit(_matrix(batch.column(1))), []
+            for at in range(0, len(queries), QUERIES):
+                ids = batch.column(0).slice(at, QUERIES).to_numpy(zero_copy_only=False)
+                limits += index.limits(ids, queries[at : at + QUERIES]).tolist()
+            visits = [index.visits(query, limit) for query, limit in zip(queries, limits)]
             row = np.repeat(np.arange(len(visits)), [len(each) for each in visits])
             cells = [item for each in visits for item in each.items()]
             yield pa.RecordBatch.from_arrays(
@@ -125,32 +165,36 @@ def _traverser(index: MultiIndex, enough: int):
 
 def _reranker(k: int):
     def rerank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, starts in whole_groups(batches, _GROUP):
-            for start, end in zip(starts, np.append(starts[1:], len(rows["id"]))):
-                asks = rows["is_query"][start:end]
-                queries, entries = start + np.flatnonzero(asks), start + np.flatnonzero(~asks)
-                if len(queries) == 0 or len(entries) == 0:
-                    continue
-                near = unit(rows["vector"][queries]) @ unit(rows["vector"][entries]).T
+        known, units = None, None
+        for rows, entries, asked in grouped_rows(batches, _GROUP, "is_query"):
+            if rows is not known:
+                known, units = rows, unit(rows["vector"])
+            for at in range(0, len(asked) if len(entries) else 0, QUERIES):
+                queries = asked[at : at + QUERIES]
+                near = units[queries] @ units[entries].T
                 visited = rows["cells"][queries][:, None] >> rows["cells"][entries][None, :] & 1
                 visited &= rows["id"][queries][:, None] != rows["id"][entries][None, :]
                 near[visited == 0] = -9
-                least = -np.partition(-near, min(k, len(entries)) - 1, axis=1)[:, min(k, len(entries)) - 1]
+                last = min(k, len(entries)) - 1
+                least = -np.partition(-near, last, axis=1)[:, last]
                 # With room for rounding; the kept ones are scored alike wherever they stand.
                 q, e = np.nonzero((near >= least[:, None] - 1e-9) & (near > -5))
-                asked, given = rows["id"][queries[q]], rows["id"][entries[e]]
+                query, given = rows["id"][queries[q]], rows["id"][entries[e]]
                 score = cosines(rows["vector"][queries[q]], rows["vector"][entries[e]])
-                order = np.lexsort((given, -score, asked))
-                first = np.searchsorted(asked[order], asked[order])
+                order = np.lexsort((given, -score, q))
+                first = np.searchsorted(q[order], q[order])
                 order = order[np.arange(len(order)) - first < k]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(asked[order]), pa.array(given[order]), pa.array(score[order])],
+                    [pa.array(query[order]), pa.array(given[order]), pa.array(score[order])],
                     names=["query_id", "vec_id", "score"],
                 )
 
     return rerank
 
 
+_FOUND = "query_id long, vec_id long, score double"
+
+
 def nearest_neighbours(
     vectors: DataFrame,
     is_query: Column,
@@ -158,48 +202,48 @@ def nearest_neighbours(
     id_col: str = "vec_id",
     vector_col: str = "embedding",
     centroids: int = 32,
-    share: float = 0.6,
-    at_least: int = 1000,
+    reach: float = 0.92,
     sample_rows: int = 8192,
     seed: int = 7,
 ) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id`` and ``score`` of the ``k`` nearest of each query.
 
-    ``is_query`` is a condition on column ``id``. The k-means see ``sample_rows`` vectors, picked
+    ``is_query`` is a condition on column ``id``. The index is fitted on ``sample_rows`` vectors, picked
     by hash of the id; ``centroids`` is 63 at most.
     """
     taken = vectors.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).alias("vector"))
-    dimensions = dimensions_of(taken, "vector")
-    usable = taken.filter(F.col("id").isNotNull() & is_direction(F.col("vector"), dimensions))
-    schema = "query_id long, vec_id long, score double"
-    sample = usable.orderBy(F.xxhash64("id"), "id").limit(sample_rows).select("vector").collect()
-    if not sample:
-        none = taken.sparkSession.createDataFrame([], schema)
-        return none.select("query_id", F.lit(1).alias("rank"), "vec_id", "score")
-    index = MultiIndex(unit(np.array([row["vector"] for row in sample])), centroids, seed)
-
-    kind = taken.schema["vector"].dataType.simpleString()
-    placed = usable.mapInArrow(
-        _indexer(index), f"id long, vector {kind}, first int, second int"
-    )
+    usable = taken.filter(F.col("id").isNotNull() & is_direction(F.col("vector")))
+    found = taken.sparkSession.createDataFrame([], _FOUND)
+    for dimensions in lengths_of(usable, "vector"):
+        own = usable.filter(F.size("vector") == dimensions)
+        found = found.unionAll(_searched(own, is_query, k, centroids, reach, sample_rows, seed))
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", "vec_id", "score")
+
+
+def _searched(
+    vectors: DataFrame, is_query: Column, k: int, centroids: int, reach: float, sample_rows: int, seed: int
+) -> DataFrame:
+    """The best ``k`` of every block that a query visits, among vectors of one length."""
+    sample = vectors.orderBy(F.xxhash64("id"), "id").limit(sample_rows).collect()
+    points = unit(np.array([row["vector"] for row in sample]))
+    index = MultiIndex(points, np.array([row["id"] for row in sample]), centroids, k, reach, seed)
+    kind = vectors.schema["vector"].dataType.simpleString()
+    placed = vectors.mapInArrow(_indexer(index), f"id long, vector {kind}, first int, second int")
     placed = stored(placed, "multi-index")
     # A row per cell: at most the square of the number of centroids.
     for cell in placed.groupBy("first", "second").count().collect():
         index.held[cell["first"], cell["second"]] = cell["count"]
-    total = int(index.held.sum())
-    enough = max(int(np.ceil(share * total)), at_least)
 
     parts = np.maximum(1, -(-index.held.sum(axis=1) // BLOCK)).tolist()
-    asked = placed.filter(is_query)
-    batches = max(1, -(-asked.count() // QUERIES))
     part_count = F.element_at(F.array(*map(F.lit, parts)), F.col("first") + 1).cast("int")
-    visits = asked.select("id", "vector").mapInArrow(
-        _traverser(index, enough), f"id long, vector {kind}, first int, bits long"
+    visits = placed.filter(is_query).select("id", "vector").mapInArrow(
+        _traverser(index), f"id long, vector {kind}, first int, bits long"
     )
     visits = visits.select(
         "first",
         F.explode(F.sequence(F.lit(0), part_count - 1)).alias("part"),
-        F.pmod(F.xxhash64("id"), F.lit(batches)).cast("int").alias("batch"),
         F.lit(True).alias("is_query"),
         "id",
         "vector",
@@ -208,13 +252,10 @@ def nearest_neighbours(
     entries = placed.select(
         "first",
         F.pmod(F.xxhash64("id"), part_count).cast("int").alias("part"),
-        F.explode(F.sequence(F.lit(0), F.lit(batches - 1))).alias("batch"),
         F.lit(False).alias("is_query"),
         "id",
         "vector",
         F.col("second").cast("bigint").alias("cells"),
     )
-    found = dealt(visits.unionAll(entries), _GROUP).mapInArrow(_reranker(k), schema)
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    rows = visits.unionAll(entries).repartition(*_GROUP).sortWithinPartitions(*_GROUP, "is_query")
+    return rows.mapInArrow(_reranker(k), _FOUND)

@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -167,8 +168,13 @@ def nearest(vectors, query, k=5):
     return sorted(others, key=lambda i: (-round(scores[i], 12), i))[:k], scores
 
 
-def test_small_tables_are_searched_whole(spark, clusters):
-    got = nearest_neighbours(frame(spark, clusters), F.col("id") % 20 == 0).collect()
+@pytest.mark.parametrize("block, queries", [(4096, 512), (16, 3)])
+def test_all_neighbours_within_the_measured_margin_are_found(spark, clusters, monkeypatch, block, queries):
+    """The sample is the whole table and every row's neighbours are measured, so none is missed."""
+    monkeypatch.setattr(multi_index, "BLOCK", block)
+    monkeypatch.setattr(multi_index, "QUERIES", queries)
+    monkeypatch.setattr(multi_index, "MEASURED", 400)
+    got = nearest_neighbours(frame(spark, clusters), F.col("id") % 20 == 0, reach=1.0).collect()
     assert len(got) == 20 * 5
     for query in range(0, 400, 20):
         rows = sorted((r for r in got if r["query_id"] == query), key=lambda r: r["rank"])
@@ -178,21 +184,90 @@ def test_small_tables_are_searched_whole(spark, clusters):
         assert [r["score"] for r in rows] == pytest.approx([scores[i] for i in expected], abs=1e-12)
 
 
-def test_recall_when_only_a_share_is_visited(spark, monkeypatch):
-    monkeypatch.setattr(multi_index, "BLOCK", 100)
-    monkeypatch.setattr(multi_index, "QUERIES", 7)
-    vectors = np.random.default_rng(8).standard_normal((3000, 32)).astype(np.float32)
-    found = nearest_neighbours(frame(spark, vectors), F.col("id") % 50 == 0, at_least=10).collect()
+def recall(found, vectors, queries):
     hits = sum(
-        len({r["vec_id"] for r in found if r["query_id"] == q} & set(nearest(vectors, q)[0]))
-        for q in range(0, 3000, 50)
+        len({r["vec_id"] for r in found if r["query_id"] == q} & set(nearest(vectors, q)[0])) for q in queries
     )
-    assert hits / (60 * 5) >= 0.9
+    return hits / (len(queries) * 5)
+
+
+def visited_share(vectors, queries):
+    """Recall-free: the mean share of all vectors in the cells that the queries visit."""
+    points = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    index = multi_index.MultiIndex(points, np.arange(len(points)), 32, 5, 0.92, 7)
+    first, second = index.cells(points)
+    np.add.at(index.held, (first, second), 1)
+    limits = index.limits(np.array(queries), points[queries])
+    shares = []
+    for query, limit in zip(queries, limits):
+        visits = index.visits(points[query], limit)
+        shares.append(sum(visits.get(int(i), 0) >> int(j) & 1 for i, j in zip(first, second)) / len(points))
+    return np.mean(shares)
 
 
-def test_cells_are_visited_in_order_and_no_further_than_needed():
+@pytest.mark.parametrize("kind, most", [("none", 0.95), ("clusters", 0.1)])
+def test_recall_and_share_follow_the_structure(spark, monkeypatch, kind, most):
+    monkeypatch.setattr(multi_index, "BLOCK", 100)
+    random = np.random.default_rng(8)
+    vectors = random.standard_normal((3000, 32))
+    if kind == "clusters":
+        vectors = random.standard_normal((60, 32))[random.integers(0, 60, 3000)] + 0.3 * vectors
+    vectors = vectors.astype(np.float32)
+    queries = list(range(0, 3000, 50))
+    found = nearest_neighbours(frame(spark, vectors), F.col("id") % 50 == 0).collect()
+    assert recall(found, vectors, queries) >= 0.9
+    share = visited_share(vectors.astype(np.float64), queries)
+    print(f"{kind}: recall {recall(found, vectors, queries):.3f}, visited share {share:.3f}")
+    assert share <= most
+
+
+@pytest.mark.parametrize("tables", ["sf0.001", "sf0.01"])
+def test_recall_on_the_given_vectors(spark, tables):
+    given = spark.read.parquet(f"/root/testdata/{tables}/embeddings.parquet")
+    rows = given.orderBy("vec_id").collect()
+    vectors = np.array([r["embedding"] for r in rows])
+    ids = [r["vec_id"] for r in rows]
+    found = nearest_neighbours(given, F.col("id") % 50 == 0).collect()
+    at = {i: n for n, i in enumerate(ids)}
+    hits = total = 0
+    for query in (i for i in ids if i % 50 == 0):
+        best = {ids[n] for n in nearest(vectors, at[query])[0]}
+        hits += len(best & {r["vec_id"] for r in found if r["query_id"] == query})
+        total += len(best)
+    assert hits / total >= 0.9
+
+
+def test_a_vector_goes_out_once_and_a_query_once_per_block(spark, monkeypatch):
+    """What is shuffled is a row per vector and one per visit of a block, however many queries."""
+    monkeypatch.setattr(multi_index, "BLOCK", 200)
+    seen = []
+
+    def counting(k):
+        def rerank(batches):
+            for batch in batches:
+                flags = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([int(flags.sum())]), pa.array([int((~flags).sum())]), pa.array([0.0])],
+                    names=["query_id", "vec_id", "score"],
+                )
+
+        return rerank
+
+    vectors = np.random.default_rng(9).standard_normal((2000, 16)).astype(np.float32)
+    monkeypatch.setattr(multi_index, "_reranker", counting)
+    for modulus in (50, 2):
+        own = frame(spark, vectors).selectExpr("vec_id AS id", "embedding AS vector")
+        rows = multi_index._searched(own, F.col("id") % modulus == 0, 5, 8, 0.92, 2000, 7).collect()
+        assert sum(r["vec_id"] for r in rows) == 2000
+        seen.append(sum(r["query_id"] for r in rows))
+    # At most a row per block for each query: 8 lists and 2,000 / 200 blocks more.
+    assert seen[0] <= 40 * 18 and seen[1] <= 1000 * 18 and seen[1] > seen[0]
+
+
+def test_cells_are_visited_in_order_and_no_further_than_the_bound():
     points = np.random.default_rng(1).standard_normal((500, 8))
-    index = multi_index.MultiIndex(points, 6, 3)
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    index = multi_index.MultiIndex(points, np.arange(500), 6, 5, 0.92, 3)
     first, second = index.cells(points)
     np.add.at(index.held, (first, second), 1)
     query = points[0]
@@ -201,13 +276,25 @@ def test_cells_are_visited_in_order_and_no_further_than_needed():
         + multi_index.distances(query[None, 4:], index.second)[0]
     )
     order = np.argsort(cost, axis=None)
-    for enough in (1, 100, 500):
-        count = np.searchsorted(np.cumsum(index.held.ravel()[order]), enough) + 1
+    for limit in (-1.0, 0.5, 1.0, 9.0):
+        # Within the limit, and until more vectors are found than are asked for.
+        enough = int(np.searchsorted(np.cumsum(index.held.ravel()[order]), 6)) + 1
+        count = max(int((cost <= limit).sum()), enough)
         expected = {tuple(map(int, divmod(cell, 6))) for cell in order[:count]}
-        visits = index.visits(query, enough)
+        visits = index.visits(query, limit)
         assert {(i, j) for i, bits in visits.items() for j in range(6) if bits >> j & 1} == expected
 
 
+def test_search_within_each_length(spark):
+    random = np.random.default_rng(16)
+    made = [list(v) for v in random.standard_normal((30, 4))] + [list(v) for v in random.standard_normal((3, 2))]
+    got = nearest_neighbours(frame(spark, made), F.col("id") >= 0).collect()
+    for query in range(33):
+        found = {r["vec_id"] for r in got if r["query_id"] == query}
+        assert found and all((i < 30) == (query < 30) for i in found)
+    assert {r["vec_id"] for r in got if r["query_id"] == 30} == {31, 32}
+
+
 def test_search_of_odd_vectors(spark):
     got = nearest_neighbours(frame(spark, [*ODD, ODD[9]], [*ODD_IDS, 9]), F.col("id") >= 0).collect()
     by_query = {}
