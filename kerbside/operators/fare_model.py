@@ -71,20 +71,39 @@ def day_index(df: DataFrame) -> DataFrame:
     return day_indexer(counts).transform(counts)
 
 
-def fit_fare_model(train: DataFrame, trees: int = 20, seed: int = 1234) -> PipelineModel:
+def canonical_rows(df: DataFrame, partitions: int, chunk: int = 65_536) -> DataFrame:
+    """The same rows in an order and in partitions that depend on nothing but the rows.
+
+    Equal rows are counted first, combined before the shuffle, and come in chunks of ``chunk``. Chunks go
+    to a partition by the hash of row and chunk number and are sorted there, so a row that makes up
+    a third of all is spread, too. The counts are stored.
+    """
+    columns = df.columns
+    counted = stored(df.groupBy(*columns).agg(F.count("*").alias("copies")), "counted-rows")
+    last = F.ceil(F.col("copies") / chunk) - 1
+    chunks = counted.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+    placed = chunks.repartition(partitions, *columns, "chunk").sortWithinPartitions(*columns, "chunk")
+    held = F.least(F.lit(chunk).cast("bigint"), F.col("copies") - F.col("chunk") * chunk)
+    return placed.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), held))).select(*columns)
+
+
+def fit_fare_model(
+    train: DataFrame, trees: int = 20, seed: int = 1234, partitions: int = 32
+) -> PipelineModel:
     """Fit indexer, assembler and forest. Runs at once.
 
-    The fit passes over ``train`` some three times before the forest keeps its own binned
-    copy. A scan with filters is as quick as a second cached copy; rows that take a
-    shuffle to make are better stored first. The forest draws its samples by partition, so
-    it depends on how the rows are laid out in files, within a narrow band.
+    The forest draws its samples by partition and place, so it is fitted on ``canonical_rows``: the
+    model follows from the rows and the number of ``partitions``, not from how files hold them. Take
+    some million rows a partition. The fit passes over the rows some three times before the forest
+    keeps its own binned copy; their one shuffle serves all passes.
     """
     forest = RandomForestRegressor(
         labelCol=LABEL, featuresCol="features", numTrees=trees, seed=seed
     )
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
     days = count_by(train.select("day_of_week"), ["day_of_week"], derive=False)
-    return Pipeline(stages=[day_indexer(days), assembler, forest]).fit(train)
+    rows = canonical_rows(train.select(*MODEL_COLUMNS), partitions)
+    return Pipeline(stages=[day_indexer(days), assembler, forest]).fit(rows)
 
 
 def fare_predictions(model: PipelineModel, test: DataFrame) -> DataFrame:

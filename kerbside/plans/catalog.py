@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from kerbside import operators as ops
 from kerbside.functions import clean, trip_seconds, with_tip_ratio
 from kerbside.plans import reports
-from kerbside.plans.published import KEYS, published
+from kerbside.plans.published import FITTED, KEYS, published
 from kerbside.sources import (
     fresh_path,
     read_heatmap,
@@ -69,7 +69,7 @@ def heatmap_csv_roundtrip(spark: SparkSession, tables: str) -> DataFrame:
 
 
 def _published(report: str) -> Query:
-    """A report's tables, published and read back."""
+    """A report's tables, published and read back, but for the values that a forest gives."""
 
     def query(spark: SparkSession, tables: str) -> DataFrame:
         trips = trips_table(spark, tables)
@@ -81,7 +81,7 @@ def _published(report: str) -> Query:
         else:
             name = "payments" if report == "results" else report
             results = reports.TRIP_REPORTS[name](trips)
-        return published(spark, report, results)
+        return published(spark, report, results).filter(~F.col("result_column").isin(*FITTED))
 
     return query
 

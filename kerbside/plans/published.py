@@ -51,6 +51,11 @@ KEYS: dict[str, dict[str, tuple[str, ...]]] = {
         "anomaly_counts": (),
         "zone_frequency": ("PULocationID",),
     },
+    "fare_model": {
+        "fare_model_metrics": (),
+        "fare_model_checks": (),
+        "fare_prediction_sample": (),
+    },
     "heatmap": {
         "heatmap_kpis": (),
         "heatmap_hourly": ("hour",),
@@ -59,6 +64,8 @@ KEYS: dict[str, dict[str, tuple[str, ...]]] = {
         "heatmap_top_n": ("PULocationID",),
     },
 }
+# Columns whose values only the fitted forest gives: they are published, but no SQL states them.
+FITTED = ("rmse", "r2", "prediction")
 
 
 def _long(frame: DataFrame, result: str, keys: tuple[str, ...]) -> DataFrame:

@@ -98,13 +98,14 @@ def feature_report(trips: DataFrame) -> Results:
 
 
 def fare_model_report(trips: DataFrame) -> Results:
-    """Fit once, score once: metrics and a sample of the predictions."""
+    """Fit once, score once: metrics, what must hold of a good fit, and a sample of the predictions."""
     rows = stored(ops.ml_dataset(clean(trips, "model")), "model-rows")
     train, test = ops.split(rows)
     model = ops.fit_fare_model(train)
     scored = stored(ops.fare_predictions(model, test), "predictions")
     return {
         "fare_model_metrics": ops.fare_model_metrics(scored, train),
+        "fare_model_checks": ops.fare_model_checks(scored, train),
         "fare_prediction_sample": ops.fare_prediction_sample(model, test),
     }
 

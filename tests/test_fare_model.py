@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from kerbside import operators as ops
 from kerbside.functions import clean
+from kerbside.operators.fare_model import canonical_rows
 from kerbside.sources import trips_table
 
 
@@ -87,14 +88,25 @@ def test_sample_is_repeatable(parts):
     assert first == ops.fare_prediction_sample(model, test.repartition(5)).collect()
 
 
-def test_the_layout_moves_the_figures_little(parts):
+def test_the_layout_of_files_changes_no_prediction(parts):
     train, test = parts
     seen = []
     for partitions in (3, 8, 64):
         model = ops.fit_fare_model(train.repartition(partitions, "trip_distance", "hour"))
-        seen.append(ops.fare_model_metrics(ops.fare_predictions(model, test), train).first())
-    assert max(row["rmse"] for row in seen) - min(row["rmse"] for row in seen) < 0.3
-    assert max(row["r2"] for row in seen) - min(row["r2"] for row in seen) < 0.05
+        scored = ops.fare_predictions(model, test).orderBy(*test.columns).select("prediction")
+        seen.append([row[0] for row in scored.collect()])
+    assert seen[0] == pytest.approx(seen[1], rel=1e-9) and seen[0] == pytest.approx(seen[2], rel=1e-9)
+
+
+def test_canonical_rows_are_the_same_rows_spread_evenly(spark, parts):
+    """A row that makes up half of all lies in many partitions, and every copy is there."""
+    train = parts[0].limit(2000)
+    hot = train.limit(1).crossJoin(spark.range(2000)).drop("id")
+    every = train.unionAll(hot)
+    rows = canonical_rows(every, 8, chunk=50)
+    assert rows.exceptAll(every).isEmpty() and every.exceptAll(rows).isEmpty()
+    sizes = sorted(r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect())
+    assert len(sizes) == 8 and sizes[-1] <= 2 * sizes[0]
 
 
 def test_checks_hold_and_can_fail(parts, scored):
