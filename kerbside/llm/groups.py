@@ -101,13 +101,9 @@ def in_stars(pairs: DataFrame, size: int) -> DataFrame:
 
 def star_rows(stars: DataFrame, payload: DataFrame) -> DataFrame:
     """The leader of every star, once per slot, and after it its members, each with its payload."""
-    own = [name for name in payload.columns if name != "id"]
-    members = stars.join(payload, stars["b"] == payload["id"])
-    leaders = stars.select("a", "slot").distinct()
-    leaders = leaders.join(payload, leaders["a"] == payload["id"])
-    rows = leaders.select("a", "slot", "id", F.lit(True).alias("leads"), *own).unionAll(
-        members.select("a", "slot", "id", F.lit(False), *own)
-    )
+    leaders = stars.select("a", "slot", F.col("a").alias("id"), F.lit(True).alias("leads")).distinct()
+    every = leaders.unionAll(stars.select("a", "slot", "b", F.lit(False)))
+    rows = every.join(payload, "id").select("a", "slot", "id", "leads", *[n for n in payload.columns if n != "id"])
     return rows.repartition("a", "slot").sortWithinPartitions("a", "slot", F.desc("leads"))
 
 

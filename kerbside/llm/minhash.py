@@ -8,9 +8,9 @@
    from the texts again.
 3. Every member is compared with the smallest member of all its buckets first, so a group of
    copies, however large, costs a row per member. What links so far join has one label. Only pairs
-   of different labels are still looked at: for some rounds a leader without its bucket's most
-   frequent label against all others of the bucket, and then all members without that label against
-   all, in blocks. A pair of a block is looked at in the first band it shares and nowhere else.
+   of different labels are still looked at: members without their bucket's most frequent label
+   against all others, in blocks. A pair of a block is looked at in the first band it shares and
+   nowhere else. With more ``rounds``, single leaders without that label are compared first.
 4. Where a block has more survivors than four per member, its members' sets go to the block's task
    instead, which gives one confirmed link for any two labels it can join. So no pairs within a
    large group are written, and no link that joins different texts' groups is lost.
@@ -44,7 +44,7 @@ from kerbside.sources import stored
 
 HASHES, BANDS, BATCH = 128, 32, 32
 # Members of a star in a task; residents of a bucket that a task holds, and passers that come by.
-STAR, BLOCK, PASSERS = 512, 256, 1 << 16
+STAR, BLOCK, PASSERS = 512, 2048, 1 << 16
 
 _seeds = mix(np.arange(1, 2 * HASHES + 1, dtype=np.uint64))
 _XOR = (_seeds[:HASHES] >> np.uint64(32)).astype(np.uint32)
@@ -281,6 +281,8 @@ class _Linker:
         )
         found = stored(found, "surviving-pairs")
         sparse = self.confirmed(found.filter("a >= 0").select("a", "b").distinct())
+        if found.filter("a < 0").isEmpty():
+            return sparse
         dense = stored(rows.join(found.filter("a < 0").select(*_GROUP), _GROUP, "left_semi"), "dense")
         carried = dense.join(self.nodes, "id").join(_sets(dense.select("id"), self.classes, self.texts), "id")
         forests = met(carried, _BUCKET).mapInArrow(
@@ -321,7 +323,7 @@ def near_duplicates(
     text_col: str = "text",
     threshold: float = 0.75,
     miss: float = 1e-6,
-    rounds: int = 2,
+    rounds: int = 1,
 ) -> DataFrame:
     """Per row: ``doc_id``, ``n_shingles``, ``component_id`` and ``kept``; besides ``version``, a hash of
     the text, and ``stands_for_group``, which of each group one id and text has.

@@ -168,7 +168,7 @@ def test_chains_and_groups_with_any_number_of_rounds(spark, monkeypatch, rounds)
     assert got == brute_force(list(enumerate(texts)))
 
 
-def rows_of(spark, monkeypatch, texts):
+def rows_of(spark, monkeypatch, texts, rounds):
     """Rows of every table that the links go through, by name."""
     counts = {}
 
@@ -179,18 +179,19 @@ def rows_of(spark, monkeypatch, texts):
 
     for module in (minhash, components):
         monkeypatch.setattr(module, "stored", counting)
-    near_duplicates(frame(spark, texts)).count()
+    near_duplicates(frame(spark, texts), rounds=rounds).count()
     return counts
 
 
-@pytest.mark.parametrize("edits, most", [(1, 2.2), (3, 2.4)])
-def test_rows_grow_with_a_group_and_not_with_its_square(spark, monkeypatch, edits, most):
-    """Near copies, and a group in which about half of all pairs are below the threshold."""
+@pytest.mark.parametrize("edits, rounds, most", [(1, 1, 2.2), (3, 2, 2.4)])
+def test_rows_grow_with_a_group_and_not_with_its_square(spark, monkeypatch, edits, rounds, most):
+    """Near copies, and, with a round of leaders more, a group of which about half of all pairs are
+    below the threshold."""
     pick = random.Random(8)
     base = invented(3, 200)
     texts = [edited(base, edits, pick) for _ in range(2000)]
-    small = rows_of(spark, monkeypatch, texts[:1000])
-    large = rows_of(spark, monkeypatch, texts)
+    small = rows_of(spark, monkeypatch, texts[:1000], rounds)
+    large = rows_of(spark, monkeypatch, texts, rounds)
     for name in ("buckets", "stars", "surviving-pairs", "confirmed-pairs", "edges"):
         assert large[name] <= most * small[name], name
     assert large.get("meetings", 0) <= 2 * large["buckets"]
