@@ -1,13 +1,16 @@
 """Personal data: fixed patterns as seeds, and bootstrapped contextual extraction.
 
-Seeds are the spans of four fixed patterns (email, ip, card, phone). The two words before a seed
-are its lexical pattern. How often each pattern occurs at all is counted over every text, so a
-pattern's score is the share of its occurrences that a known identifier follows. Tokens with a
-digit or an at sign that no fixed pattern covers are instances without a kind; patterns and
-instances form a graph, on which Spark passes scores to and fro for some rounds. Tokens that
-follow a high-confidence pattern are added to the spans; the seeds always stay. A token goes on
+Seeds are the spans of four fixed patterns (email, ip, card, phone). The word and the two words
+before a seed, and the word and the two words after it, are its lexical patterns, in lower case and
+with every digit read as 0, so that "line 12:" and "line 47:" are one. How often each pattern
+occurs at all is counted over every text, so a pattern's score is the share of its occurrences that
+stand beside a known identifier. Tokens with a digit or an at sign that no fixed pattern covers are
+instances without a kind; patterns and instances form a graph, on which Spark passes scores to and
+fro for some rounds. The two sides are two views: an instance lends a pattern only what patterns of
+the other side have lent it, so no pattern confirms itself. Tokens beside a high-confidence pattern
+are added to the spans, with the kind of their best one; the seeds always stay. A token goes on
 over groups of digits that single blanks, dots or dashes join, and has five characters at least
-and no greatest length; its pattern is read back to the second word, however far that lies.
+and no greatest length; its patterns are read up to the second word, however far that lies.
 
 Null or empty text has no spans. Very long texts are scanned whole. Ids may be null or repeat: every row is scanned by itself. Extra
 columns are ignored; ``redact`` keeps them.
@@ -40,14 +43,20 @@ _EDGE = "\"'`.,;:!?()[]{}<>"
 # A group of digits after one blank goes on with the token before it.
 _MORE_DIGITS = re.compile(r" [0-9]+(?:[.-][0-9]+)*(?![^\s\"'`.,;:!?()\[\]{}<>])")
 
-# Bits of the filter on pattern hashes, and characters looked back for a pattern's two words at first.
-FILTER_BITS, LOOK_BACK = 20, 200
+# Bits of the filter on pattern hashes, and characters read for a pattern's two words at first.
+FILTER_BITS, REACH = 20, 200
+
+# Words of patterns: A-Z in lower case, digits as 0.
+_FORM = np.arange(256, dtype=np.uint8)
+_FORM[65:91] += 32
+_FORM[48:58] = 48
+_FORM_BYTES = _FORM.tobytes()
 
 # Fixed value: an unseen identifier has five characters at least.
 SHORTEST = 5
 
 _SPAN = "array<struct<kind: int, start: int, end: int>>"
-_SLOT = "array<struct<pattern: bigint, instance: string, kind: int, start: int, end: int>>"
+_SLOT = "array<struct<patterns: array<bigint>, instance: string, kind: int, start: int, end: int>>"
 
 
 def _luhn(digits: str) -> bool:
@@ -92,34 +101,57 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return spans
 
 
-def _pattern_before(text: str, start: int) -> int | None:
-    """Hash of the two words before a place, however far back; none if there are not two."""
+def _words_before(text: str, start: int) -> list[bytes]:
+    """The last two words before a place that follows white space, however far back."""
     if start == 0 or not text[start - 1].isspace():
-        return None
-    reach = LOOK_BACK
+        return []
+    reach = REACH
     while True:
-        data = text[max(0, start - reach) : start].encode("utf-8", "replace").lower()
+        data = text[max(0, start - reach) : start].encode("utf-8", "replace")
         words = data.split()
-        if not data[-1:].isspace():
-            return None
         # The first word of a part of the text may be the end of a longer one.
-        if len(words) >= 2 + (start > reach):
-            break
-        if start <= reach:
-            return None
+        if start <= reach or len(words) > 2:
+            return words[-2:] if data[-1:].isspace() else []
         reach *= 4
-    joined = np.frombuffer(b" ".join(words[-2:]), np.uint8)
-    cut = len(words[-2])
-    starts, ends = np.array([0, cut + 1]), np.array([cut, len(joined)])
-    return int(_bigrams(hash_spans(joined, starts, ends))[0])
 
 
-def _bigrams(hashes: np.ndarray) -> np.ndarray:
-    return mix(hashes[:-1] * _STEP + hashes[1:]).view(np.int64)
+def _words_after(text: str, end: int) -> list[bytes]:
+    """The first two words after a place, past punctuation at its edge, however far on."""
+    while end < len(text) and text[end] in _EDGE:
+        end += 1
+    reach = REACH
+    while True:
+        data = text[end : end + reach].encode("utf-8", "replace")
+        words = data.split()
+        if end + reach >= len(text) or len(words) > 2:
+            return words[:2] if data[:1].isspace() else []
+        reach *= 4
+
+
+def _patterns_of(words: np.ndarray, side: int) -> tuple[np.ndarray, np.ndarray]:
+    """The patterns of one word and of two of a side (0 before, 1 after), from word hashes in order."""
+    pairs = words[:-1] * _STEP + words[1:]
+    one, two = (mix(hashes + np.uint64(2 * side + i)) for i, hashes in enumerate((words, pairs)))
+    return one.view(np.int64), two.view(np.int64)
+
+
+def _patterns_beside(text: str, start: int, end: int) -> list[int | None]:
+    """The patterns of a place: one word and two before it, one word and two after it."""
+    found: list[int | None] = []
+    for side, words in enumerate((_words_before(text, start), _words_after(text, end))):
+        if not words:
+            found += [None, None]
+            continue
+        joined = np.frombuffer(b" ".join(words).translate(_FORM_BYTES), np.uint8)
+        ends = np.cumsum([len(word) + 1 for word in words]) - 1
+        hashes = hash_spans(joined, ends - [len(word) for word in words], ends)
+        one, two = _patterns_of(hashes, side)
+        found += [int(one[-1 if side == 0 else 0]), int(two[0]) if len(two) else None]
+    return found
 
 
 def _slots(text: str, spans: list[tuple[int, int, int]]) -> list[tuple]:
-    """Seeds and untyped tokens (kind -1) with the pattern before them."""
+    """Seeds and untyped tokens (kind -1) with the patterns beside them."""
     taken = sorted((start, end, kind) for kind, start, end in spans)
     found = [(text[start:end].lower(), kind, start, start, end) for start, end, kind in taken]
     at, i = 0, 0
@@ -147,9 +179,9 @@ def _slots(text: str, spans: list[tuple[int, int, int]]) -> list[tuple]:
             found.append((token.lower(), -1, start, left, left + len(token)))
     slots = []
     for instance, kind, after, start, end in found:
-        pattern = _pattern_before(text, after)
-        if pattern is not None:
-            slots.append((pattern, instance, kind, start, end))
+        patterns = _patterns_beside(text, after, end)
+        if any(pattern is not None for pattern in patterns):
+            slots.append((patterns, instance, kind, start, end))
     return slots
 
 
@@ -165,8 +197,8 @@ def _lists(rows: list[list[tuple]], names: list[str], kinds: list) -> pa.Array:
 
 
 _SPAN_NAMES, _SPAN_KINDS = ["kind", "start", "end"], [pa.int32()] * 3
-_SLOT_NAMES = ["pattern", "instance", "kind", "start", "end"]
-_SLOT_KINDS = [pa.int64(), pa.string(), *[pa.int32()] * 3]
+_SLOT_NAMES = ["patterns", "instance", "kind", "start", "end"]
+_SLOT_KINDS = [pa.list_(pa.int64()), pa.string(), *[pa.int32()] * 3]
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,15 +240,19 @@ def _counter(words_of_filter: dict[int, int]):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for text in text_slices(batch.column(0)):
-                words = words_of(text)
-                if len(words.hash) < 2:
+                text.data = _FORM[text.data]
+                words = words_of(text, lower=False)
+                if len(words.hash) == 0:
                     continue
-                pairs = _bigrams(words.hash)[words.row[1:] == words.row[:-1]]
-                place = pairs.view(np.uint64) >> np.uint64(64 - FILTER_BITS)
-                patterns, counts = np.unique(pairs[bits[place]], return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(patterns), pa.array(counts)], names=["pattern", "n"]
-                )
+                adjacent = words.row[1:] == words.row[:-1]
+                for side in (0, 1):
+                    one, two = _patterns_of(words.hash, side)
+                    for seen in (one, two[adjacent]):
+                        place = seen.view(np.uint64) >> np.uint64(64 - FILTER_BITS)
+                        patterns, counts = np.unique(seen[bits[place]], return_counts=True)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(patterns), pa.array(counts)], names=["pattern", "n"]
+                        )
 
     return count
 
@@ -246,9 +282,13 @@ def _added(
     confidence: float,
     support: int,
 ) -> DataFrame:
-    """``row`` and ``added``: spans of tokens that follow a high-confidence pattern."""
+    """``row`` and ``added``: spans of tokens beside a high-confidence pattern."""
     slots = scanned.select("row", F.explode("slots").alias("slot")).select("row", "slot.*")
-    edges = slots.groupBy("pattern", "instance", "kind").agg(F.count("*").alias("n"))
+    slots = slots.select(
+        "row", "instance", "kind", "start", "end", F.posexplode("patterns").alias("place", "pattern")
+    ).filter("pattern IS NOT NULL")
+    slots = slots.withColumn("side", F.shiftright("place", 1)).drop("place")
+    edges = slots.groupBy("pattern", "side", "instance", "kind").agg(F.count("*").alias("n"))
     edges = stored(edges, "pattern-instances")
     seeds = edges.filter("kind >= 0")
     backed = seeds.groupBy("pattern", "kind").agg(F.count("*").alias("instances"))
@@ -256,31 +296,28 @@ def _added(
     total = stored(_occurrences(docs, text_col, patterns), "pattern-counts")
     graph = edges.join(total.withColumnRenamed("n", "total"), "pattern")
     graph = stored(graph, "graph")
-    # Belief of an instance in a kind: 1 for seeds, else what its patterns lend it.
-    belief = graph.filter("kind >= 0").select("instance", F.col("kind").alias("as"), F.lit(1.0).alias("belief"))
-    belief = belief.distinct()
+    # Belief of an instance in a kind, as patterns of a side are told it: 1 for seeds, else the best
+    # score among its patterns of the other side.
+    known = graph.filter("kind >= 0").select("instance", F.col("kind").alias("as")).distinct()
+    known = known.select("instance", F.explode(F.array(F.lit(0), F.lit(1))).alias("side"), "as")
+    known = known.withColumn("belief", F.lit(1.0))
+    belief = known
     for _ in range(rounds):
-        shares = graph.join(belief, "instance").filter("kind < 0 OR kind = as")
+        shares = graph.join(belief, ["instance", "side"]).filter("kind < 0 OR kind = as")
         scores = shares.groupBy("pattern", "as").agg(
             F.least(F.sum(F.col("n") * F.col("belief")) / F.first("total"), F.lit(1.0)).alias("score")
         )
         scores = stored(scores, "pattern-scores")
-        lent = graph.filter("kind < 0").join(scores, "pattern")
-        doubt = F.sum(F.log1p(-F.least("score", F.lit(1 - 1e-9))))
-        lent = lent.groupBy("instance", "as").agg((1 - F.exp(doubt)).alias("belief"))
-        fixed = graph.filter("kind >= 0").select(
-            "instance", F.col("kind").alias("as"), F.lit(1.0).alias("belief")
+        lent = graph.filter("kind < 0").join(scores, "pattern").select(
+            "instance", (1 - F.col("side")).alias("side"), "as", F.col("score").alias("belief")
         )
-        both = fixed.unionAll(lent.select("instance", "as", "belief"))
-        belief = both.groupBy("instance", "as").agg(F.max("belief").alias("belief"))
+        belief = known.unionAll(lent).groupBy("instance", "side", "as").agg(F.max("belief").alias("belief"))
         belief = stored(belief, "beliefs")
-    best = scores.groupBy("pattern").agg(F.max(F.struct("score", -F.col("as"))).alias("best"))
-    sure = best.select(
-        "pattern", F.col("best.score").alias("score"), (-F.col("best").getField("col2")).alias("as")
-    ).filter(F.col("score") >= confidence)
+    sure = scores.filter(F.col("score") >= confidence)
     new = slots.filter("kind < 0").join(sure, "pattern")
-    span = F.struct(F.col("as").alias("kind"), "start", "end")
-    return new.groupBy("row").agg(F.collect_set(span).alias("added"))
+    best = new.groupBy("row", "start", "end").agg(F.max(F.struct("score", -F.col("as"))).alias("best"))
+    span = F.struct((-F.col("best").getField("col2")).alias("kind"), "start", "end")
+    return best.groupBy("row").agg(F.collect_set(span).alias("added"))
 
 
 def _listed(spans: str) -> Column:

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 import pytest
@@ -134,3 +135,44 @@ def test_identifiers_in_groups_of_any_length_and_far_from_their_context(spark):
     for text, row in list(zip(texts, rows))[8:]:
         found = [text[span["start"] : span["end"]] for span in row["spans"]]
         assert any(each in found for each in unseen), text[:40]
+
+
+def test_a_planted_set_is_found_by_contexts_of_either_side(spark):
+    """One word before, words after, and context words that differ in digits; nothing else."""
+    number = random.Random(5)
+    texts, planted = [], []
+
+    def add(before, token, after, hidden):
+        i = len(texts)
+        texts.append(f"{invented(i, 20)} {before}{token}{after} {invented(i + 500, 20)}")
+        if hidden:
+            planted.append((i, token))
+
+    for i in range(40):
+        seed, unseen = f"+1 555 {number.randrange(10**7):07d}", f"0555/{number.randrange(10**5):05d}"
+        # Every fourth identifier is written in a form that no fixed pattern knows.
+        token = unseen if i % 4 == 0 else seed
+        add("tel: ", token, "", i % 4 == 0)
+        add("", token + ".", " reaches me", i % 4 == 0)
+        add(f"entry {i:02d}: ", token, "", i % 4 == 0)
+    for i in range(60):
+        # Tokens of the same form where identifiers are rare.
+        add("in ", f"+1 555 {i:07d}" if i < 4 else f"0777/{i:05d}", "", False)
+        add("", f"0888/{i:05d}", " units", False)
+    planted = [(i, token.rstrip(".")) for i, token in planted]
+    got = [
+        (row["doc_id"], texts[row["doc_id"]][span["start"] : span["end"]], span["kind"])
+        for row in find_personal_data(frame(spark, texts)).collect()
+        for span in row["spans"]
+        if span not in row["base"]
+    ]
+    # Precision and recall are 1 here.
+    assert sorted(got) == sorted((i, token, 3) for i, token in planted)
+
+
+def test_no_pattern_confirms_itself(spark):
+    """Three of twelve identifiers after a word are known: a share that rounds must not raise."""
+    known = [f"{invented(i, 9)} nr. +1 555 010{i:04d} {invented(i + 40, 9)}" for i in range(3)]
+    other = [f"{invented(i, 9)} nr. 12-34{i} {invented(i + 70, 9)}" for i in range(9)]
+    rows = find_personal_data(frame(spark, known + other), rounds=8).collect()
+    assert all(row["spans"] == row["base"] for row in rows)
