@@ -1,12 +1,16 @@
 """Toxicity by weak supervision: voters, a generative label model, a linear classifier.
 
 Voters are lexicon words and word beginnings: a short fixed lexicon, and words and beginnings that
-a bounded sample of labelled training rows ties to toxic texts. A label model takes each voter's
-votes as drawn with its own two probabilities, one for toxic texts and one for others; they are
-estimated by expectation maximisation that starts from the labels, with the rates seen in the
-labelled rows as prior counts. Voters that fire together beyond what the label explains count for
-less, by their residual correlations. The model's posterior labels train a logistic regression on
-hashed words and word beginnings, which then scores every whole text.
+a bounded sample of labelled training rows ties to toxic texts. Every text votes, labelled or not:
+Spark reduces the texts to patterns of votes with counts (texts with a common hash of feature minima,
+as copies have, count once for a pattern) and adds up votes and pairs of votes. A label model takes each
+voter's votes as drawn with its own two probabilities, one for toxic texts and one for others, and
+a sampled label as one more vote, whose accuracy is estimated like any other; a pass over the
+patterns per round gives the sums from which expectation maximisation sets them. It starts from the
+rates seen in the labelled rows, which go on as prior counts, so that the classes keep their
+meaning. Voters that fire together beyond what the label explains count for less, by their residual
+correlations over all texts. The model's posterior labels of the sample train a logistic regression
+on hashed words and word beginnings, which then scores every whole text.
 
 Labels are taken only from rows whose ``crc32`` of the id is not 2 modulo 4. Scores see nothing but
 the text. Null or empty text gets the score of a text without features, a null id counts as not
@@ -14,7 +18,7 @@ held out, rows that repeat an id stay, and a row labelled twice counts as toxic
 so. Without any labels of both kinds the lexicon alone decides. Extra columns are ignored.
 """
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,6 +41,9 @@ BITS, BEGINNINGS = 22, (4, 5)
 # Bounds of the training: labelled ids, induced voters, features with a weight; hashes that tell
 # copies; parts in which one id's texts are ranked.
 SAMPLE_ROWS, VOTERS, FEATURES, COPY_KEYS, SALTS = 8000, 96, 4096, 8, 211
+# Rows that a label's accuracy of 49 in 50 counts for before any text is seen, and the weight of the
+# rates in labelled rows as a share of all texts.
+GOLD_ROWS, PRIOR_SHARE = 50, 0.1
 # Least likelihood ratio statistic of a voter or feature, far beyond chance among 2**22.
 SURE = 20.0
 
@@ -76,12 +83,12 @@ def is_held_out(id_col: str) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(False))
 
 
-def _copy_keys(rows: np.ndarray, features: np.ndarray, count: int) -> np.ndarray:
-    """Eight hashes per row, each of six feature minima: copies of a text share some of them."""
-    keys = np.zeros((count, COPY_KEYS), np.int64)
+def _copy_keys(rows: np.ndarray, features: np.ndarray, count: int, many: int = COPY_KEYS) -> np.ndarray:
+    """Hashes per row, each of six feature minima: copies of a text share some of them."""
+    keys = np.zeros((count, many), np.int64)
     filled, first = np.unique(rows, return_index=True)
     if len(filled):
-        for key in range(COPY_KEYS):
+        for key in range(many):
             joint = np.zeros(len(filled), np.uint64)
             for part in range(6):
                 scrambled = mix(features.astype(np.uint64) + np.uint64((key * 6 + part + 1) << 32))
@@ -175,42 +182,152 @@ def _association(
     return evidence, 2 * sure
 
 
-class LabelModel:
-    """Probabilities of each voter's vote under either label, and how far it repeats others.
+def _voting(voters: np.ndarray):
+    """Per text its id, a hash that copies share, and the voters that fire."""
 
-    A voter that does not fire abstains. That no voter at all fires is one more vote, and so is
-    the row's own label, which is right in all but one case out of ``doubt``.
+    def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.full(1 << BITS, -1, np.int32)
+        table[voters] = np.arange(len(voters))
+        for batch in batches:
+            for first, count, rows, features in _features(batch.column(1)):
+                order = np.argsort(rows, kind="stable")
+                keys = _copy_keys(rows[order], features[order], count, 1)[:, 0]
+                known = table[features] >= 0
+                rows, features = _distinct(rows[known], features[known])
+                # Rows ascend, and so do the features and hence the voters of a row.
+                ends = np.searchsorted(rows, np.arange(count + 1))
+                votes = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(table[features]))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(first, count), pa.array(keys), votes],
+                    names=["id", "key", "votes"],
+                )
+
+    return vote
+
+
+def vote_patterns(texts: DataFrame, labelled: DataFrame, voters: np.ndarray) -> DataFrame:
+    """``votes``, ``gold`` and ``n``: how many texts vote alike, apart by label (null for none).
+
+    ``labelled`` is small enough to broadcast. Copies become one row in each task, before the shuffle.
     """
+    kind = texts.schema["id"].dataType.simpleString()
+    voted = texts.select("id", "text").mapInArrow(
+        _voting(voters), f"id {kind}, key bigint, votes array<int>"
+    )
+    voted = voted.join(F.broadcast(labelled), "id", "left")
+    different = voted.groupBy("key", "votes").agg(F.max((F.col("toxic") > 0).cast("int")).alias("gold"))
+    return different.groupBy("votes", "gold").agg(F.count("*").alias("n"))
+
+
+def _pairs(count: int):
+    """How often two votes stand together, summed per task."""
+
+    def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((count, count), np.int64)
+        for batch in batches:
+            for votes, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                sums[np.ix_(votes, votes)] += n
+        one, two = np.nonzero(sums)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(one), pa.array(two), pa.array(sums[one, two])], names=["one", "two", "n"]
+        )
 
-    def __init__(
-        self, fired: np.ndarray, labels: np.ndarray, weights: np.ndarray, rounds: int = 10, doubt=50
-    ):
-        votes = np.column_stack([fired, ~fired.any(1)]).astype(float)
-        prior = np.clip((labels * weights).sum() / weights.sum(), 1e-3, 1 - 1e-3)
-        given = np.log(prior / (1 - prior)) + np.where(labels > 0, 1, -1) * np.log(doubt - 1)
-        seen = self._rates(votes, labels, weights, np.full((2, votes.shape[1]), 0.01), 50)
-        self.belief = labels.astype(float)
-        for _ in range(rounds):
-            rates = self._rates(votes, self.belief, weights, seen, 0.1 * weights.sum())
-            alone = 1 / (1 + self._repetition(votes, self.belief, rates, weights))
-            odds = given + votes @ (alone * np.log(rates[1] / rates[0]))
-            self.belief = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
-
-    @staticmethod
-    def _rates(votes, belief, weights, before, strength):
-        """P(vote | not toxic) and P(vote | toxic) with prior counts."""
-        sides = np.stack([1 - belief, belief]) * weights
-        return (sides @ votes + strength * before) / (sides.sum(1, keepdims=True) + strength)
-
-    @staticmethod
-    def _repetition(votes, belief, rates, weights) -> np.ndarray:
-        """Per voter, the sum of positive correlations with others that the label leaves."""
-        expected = np.outer(1 - belief, rates[0]) + np.outer(belief, rates[1])
-        rest = (votes - expected) * np.sqrt(weights / weights.sum())[:, None]
-        spread = np.sqrt((rest**2).sum(0)) + 1e-9
-        together = (rest.T @ rest) / np.outer(spread, spread)
-        np.fill_diagonal(together, 0)
-        return np.clip(together, 0, None).sum(1)
+    return pair
+
+
+@dataclass
+class LabelModel:
+    """Log odds of toxic: ``silent`` where no voter fires, what each vote adds, and what a label of
+    0 or 1 adds; ``rates`` are P(vote | not toxic) and P(vote | toxic)."""
+
+    silent: float
+    voters: np.ndarray
+    gold: np.ndarray
+    rates: np.ndarray
+
+    @classmethod
+    def of(cls, share: float, rates: np.ndarray, alone: np.ndarray, gold: np.ndarray) -> "LabelModel":
+        """From the share of toxic texts, the rates, and how far each voter counts.
+
+        A voter that does not fire tells something, too: else nothing but its own votes would speak
+        for or against a voter that fires where others do not.
+        """
+        share = min(max(share, 1e-3), 1 - 1e-3)
+        fires, rests = np.log(rates[1] / rates[0]), np.log((1 - rates[1]) / (1 - rates[0]))
+        silent = np.log(share / (1 - share)) + (alone * rests).sum()
+        return cls(float(silent), alone * (fires - rests), gold, rates)
+
+    def belief(self, fired: np.ndarray, labels: np.ndarray) -> np.ndarray:
+        """Posterior labels of rows with given votes and labels."""
+        odds = self.silent + fired @ self.voters + self.gold[labels.astype(int)]
+        return 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
+
+
+def estimate(patterns: DataFrame, seen: np.ndarray, share: float, rounds: int = 10) -> LabelModel:
+    """The label model of all texts, by expectation maximisation.
+
+    ``seen`` are rates of each vote and ``share`` the share of toxic rows among labelled ones. Sums
+    are of whole numbers, beliefs in units of 2**-24, so they do not depend on partitions.
+    """
+    count = seen.shape[1]
+    is_toxic, is_clean, always = count, count + 1, count + 2
+    label = F.when(F.col("gold") > 0, F.lit(is_toxic)).when(F.col("gold") == 0, F.lit(is_clean))
+    votes = F.concat("votes", F.array_compact(F.array(label)), F.array(F.lit(always)))
+    patterns = stored(patterns.select(votes.alias("votes"), "n"), "vote-patterns")
+    pairs = np.zeros((count + 3, count + 3))
+    counted = patterns.mapInArrow(_pairs(count + 3), "one bigint, two bigint, n bigint")
+    for row in counted.groupBy("one", "two").agg(F.sum("n").alias("n")).collect():
+        pairs[row["one"], row["two"]] = row["n"]
+    total, texts = pairs.diagonal().copy(), pairs[always, always]
+
+    gold = np.array([-1, 1]) * np.log(GOLD_ROWS - 1)
+    model = LabelModel.of(share, seen, np.ones(count), gold)
+    for _ in range(rounds):
+        added = [*model.voters, model.gold[1], model.gold[0], model.silent]
+        added = F.array(*[F.lit(float(value)) for value in added])
+        odds = F.aggregate("votes", F.lit(0.0), lambda sum_, vote: sum_ + F.element_at(added, vote + 1))
+        belief = 1 / (1 + F.exp(-F.least(F.greatest(odds, F.lit(-30.0)), F.lit(30.0))))
+        rows = patterns.select("votes", "n", belief.alias("belief"))
+        rows = rows.select(
+            F.explode("votes").alias("vote"),
+            (F.col("n") * F.round(F.col("belief") * 2**24).cast("long")).alias("toxic"),
+            (F.col("n") * F.round(F.col("belief") ** 2 * 2**24).cast("long")).alias("square"),
+        )
+        toxic, square = np.zeros(count + 3), 0.0
+        for row in rows.groupBy("vote").agg(F.sum("toxic"), F.sum("square")).collect():
+            toxic[row["vote"]] = row["sum(toxic)"] / 2**24
+            if row["vote"] == always:
+                square = row["sum(square)"] / 2**24
+        if texts == 0:
+            break
+        sides = np.stack([total - toxic, toxic])
+        strength = PRIOR_SHARE * texts
+        rates = (sides[:, :count] + strength * seen) / (sides[:, always, None] + strength)
+        alone = 1 / (1 + _repetition(pairs[:count, :count], rates, toxic[:count], texts, toxic[always], square))
+        right = np.array([sides[0, is_clean], sides[1, is_toxic]]) + GOLD_ROWS - 1
+        right /= sides[:, is_clean] + sides[:, is_toxic] + GOLD_ROWS
+        gold = np.array([np.log((1 - right[1]) / right[0]), np.log(right[1] / (1 - right[0]))])
+        model = LabelModel.of(toxic[always] / texts, rates, alone, gold)
+    return model
+
+
+def _repetition(
+    pairs: np.ndarray, rates: np.ndarray, toxic: np.ndarray, texts: float, belief: float, square: float
+) -> np.ndarray:
+    """Per voter, the sum of positive correlations with others that the label leaves.
+
+    The products of what is left of two votes, ``vote - (rates[0] + belief * (rates[1] - rates[0]))``,
+    summed over all texts, follow from the sums: pairs of votes, votes times belief, belief, and its square.
+    """
+    base, rise = rates[0], rates[1] - rates[0]
+    crossed = np.outer(pairs.diagonal(), base) + np.outer(toxic, rise)
+    mixed = np.outer(base, rise)
+    rest = pairs - crossed - crossed.T
+    rest += texts * np.outer(base, base) + belief * (mixed + mixed.T) + square * np.outer(rise, rise)
+    spread = np.sqrt(np.maximum(rest.diagonal(), 0)) + 1e-9
+    together = rest / np.outer(spread, spread)
+    np.fill_diagonal(together, 0)
+    return np.clip(together, 0, None).sum(1)
 
 
 @dataclass
@@ -258,18 +375,42 @@ def lexicon_model() -> LinearModel:
     return LinearModel(features, np.full(len(features), 5.0), -3.0)
 
 
-def train(votes: Votes, rounds: int = 300, rate: float = 0.5, shrink: float = 1e-4) -> LinearModel:
-    """Voters, label model, and the classifier on its posterior labels."""
+def pick_voters(votes: Votes) -> np.ndarray:
+    """Columns of the voters: the lexicon, and what labels tie to toxic texts."""
+    evidence, sure = _association(votes, votes.labels.astype(float), votes.weights())
+    voter = np.where((evidence > 1) & (sure > SURE), sure, 0)
+    induced = np.argsort(-voter, kind="stable")[:VOTERS]
+    return np.unique(np.concatenate([induced[voter[induced] > 0], _fixed(votes)]))
+
+
+def _fixed(votes: Votes) -> np.ndarray:
+    return votes.places(np.array([feature_of(word) for word in LEXICON]))
+
+
+def seen_rates(fired: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """P(vote | not toxic) and P(vote | toxic) in labelled rows, from one in a hundred for 50 rows."""
+    sides = np.stack([1 - labels, labels]) * weights
+    return (sides @ fired + 0.5) / (sides.sum(1, keepdims=True) + 50)
+
+
+def train(
+    votes: Votes,
+    patterns: Callable[[np.ndarray], DataFrame],
+    rounds: int = 300,
+    rate: float = 0.5,
+    shrink: float = 1e-4,
+) -> LinearModel:
+    """Voters, label model of all texts (their ``patterns`` for some voters), and the classifier on
+    its posterior labels."""
     labels = votes.labels.astype(float)
     if len(labels) == 0 or labels.min() == labels.max():
         return lexicon_model()
-    weights = votes.weights()
-    evidence, sure = _association(votes, labels, weights)
-    voter = np.where((evidence > 1) & (sure > SURE), sure, 0)
-    induced = np.argsort(-voter, kind="stable")[:VOTERS]
-    fixed = votes.places(np.array([feature_of(word) for word in LEXICON]))
-    voters = np.unique(np.concatenate([induced[voter[induced] > 0], fixed]))
-    belief = LabelModel(votes.of(voters), labels, weights).belief
+    weights, fixed = votes.weights(), _fixed(votes)
+    voters = pick_voters(votes)
+    fired = votes.of(voters).astype(float)
+    share = float((labels * weights).sum() / weights.sum())
+    model = estimate(patterns(votes.features[voters]), seen_rates(fired, labels, weights), share)
+    belief = model.belief(fired, labels)
 
     _, sure = _association(votes, belief, weights)
     telling = np.where(sure > SURE, sure, 0)
@@ -314,7 +455,8 @@ def _chosen_texts(texts: DataFrame, most: int) -> DataFrame:
 def fit(
     docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, sample_rows: int
 ) -> LinearModel:
-    """A model from at most ``sample_rows`` labelled training ids, picked by hash of the id.
+    """A model from at most ``sample_rows`` labelled training ids, picked by hash of the id, and
+    from the votes of all texts.
 
     Equal texts of an id count once. An id that repeats with different texts gives as many of them
     as every id may, twice ``sample_rows`` shared out evenly, picked by hash of the text.
@@ -346,7 +488,8 @@ def fit(
         np.array([row["toxic"] > 0 for row in gathered], bool),
     )
     del gathered
-    return train(votes)
+    every = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return train(votes, lambda voters: vote_patterns(every, picked, voters))
 
 
 def score_toxicity(

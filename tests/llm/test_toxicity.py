@@ -1,11 +1,22 @@
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from texts import empty, frame, invented, odd
 
-from kerbside.llm.toxicity import LEXICON, LabelModel, _chosen_texts, score_toxicity, without_toxic
+from kerbside.llm.toxicity import (
+    LEXICON,
+    _chosen_texts,
+    _repetition,
+    estimate,
+    feature_of,
+    score_toxicity,
+    seen_rates,
+    vote_patterns,
+    without_toxic,
+)
 
 LABELS = "doc_id long, quality int, toxic int"
 
@@ -85,19 +96,91 @@ def test_the_lexicon_decides_without_labels(spark):
     assert [r["doc_id"] for r in kept.collect()] == [1, 2]
 
 
-def test_correlated_voters_count_for_less():
-    random_ = np.random.default_rng(1)
-    labels = random_.random(4000) < 0.2
-    one = np.where(labels, random_.random(4000) < 0.5, random_.random(4000) < 0.02)
-    two = np.where(labels, random_.random(4000) < 0.5, random_.random(4000) < 0.02)
+def drawn(count, rates, share=0.2, seed=1):
+    """Labels, and votes of independent voters with these rates among clean and toxic rows."""
+    pick = np.random.default_rng(seed)
+    labels = pick.random(count) < share
+    fired = [np.where(labels, pick.random(count) < b, pick.random(count) < a) for a, b in rates]
+    return labels, np.column_stack(fired).astype(bool)
+
+
+def patterns(spark, fired, gold=None):
+    """Rows of votes as counted patterns."""
+    gold = [None] * len(fired) if gold is None else gold
+    votes = [tuple(map(int, np.flatnonzero(row))) for row in fired]
+    counts = Counter(zip(votes, gold))
+    rows = [(list(v), g, n) for (v, g), n in sorted(counts.items(), key=str)]
+    return spark.createDataFrame(rows, "votes array<int>, gold int, n long")
+
+
+def test_correlated_voters_count_for_less(spark):
+    labels, two = drawn(4000, [(0.05, 0.4), (0.05, 0.4)])
+    three = two[:, [0, 0, 0, 1]]
     weights = np.ones(4000)
-    fired = np.column_stack([one, one, one, two]).astype(bool)
-    model = LabelModel(fired, labels, weights, doubt=2.001)
-    only = fired[:, 0] & ~fired[:, 3]
-    apart = LabelModel(np.column_stack([one, two]).astype(bool), labels, weights, doubt=2.001)
-    naive = apart.belief[only].mean() ** 3
-    assert model.belief[only].mean() == pytest.approx(apart.belief[only].mean(), abs=0.15)
-    assert model.belief[only].mean() > naive - 1
+    added, naive = [], []
+    for fired in (two, three):
+        seen = seen_rates(fired, labels, weights)
+        model = estimate(patterns(spark, fired), seen, 0.2)
+        added.append(model.voters.sum())
+        naive.append(np.log(model.rates[1] / model.rates[0]).sum())
+    # One of two voters told three times: as independent ones four voters, twice as much.
+    assert naive[1] > 1.8 * naive[0]
+    assert added[1] < 1.3 * added[0]
+
+
+def test_sums_give_the_residual_correlations():
+    """The moments stand for the rows: the same as from the rows themselves."""
+    labels, fired = drawn(500, [(0.05, 0.4), (0.1, 0.3), (0.02, 0.6)])
+    fired = np.column_stack([fired, fired[:, 0] | fired[:, 1]]).astype(float)
+    belief = np.random.default_rng(3).random(500)
+    rates = np.stack([np.full(4, 0.1), np.full(4, 0.5)])
+    rest = fired - np.outer(1 - belief, rates[0]) - np.outer(belief, rates[1])
+    spread = np.sqrt((rest**2).sum(0))
+    together = rest.T @ rest / np.outer(spread, spread)
+    np.fill_diagonal(together, 0)
+    got = _repetition(fired.T @ fired, rates, belief @ fired, 500, belief.sum(), (belief**2).sum())
+    assert got == pytest.approx(np.clip(together, 0, None).sum(1))
+
+
+def test_unlabelled_texts_change_the_estimates(spark):
+    """A voter that the few labels overrate is put right by how it goes with the others."""
+    true = [(0.03, 0.5), (0.03, 0.5), (0.03, 0.5), (0.2, 0.2)]
+    labels, fired = drawn(20_000, true, seed=4)
+    few = slice(0, 200)
+    seen = seen_rates(fired[few], labels[few], np.ones(200))
+    seen[:, 3] = 0.05, 0.5
+    gold = [int(label) for label in labels[few]]
+    alone = estimate(patterns(spark, fired[few], gold), seen, 0.2)
+    every = estimate(patterns(spark, fired, gold + [None] * 19_800), seen, 0.2)
+
+    def off(model):
+        return abs(np.log(model.rates[1] / model.rates[0]) - [np.log(b / a) for a, b in true])
+
+    # The labels tell a ratio of ten where there is none, and keep a tenth of the weight.
+    assert off(every)[3] < 0.5 * np.log(10)
+    assert off(every)[:3].max() < 0.3
+    assert not np.allclose(alone.rates, every.rates, atol=0.01)
+
+
+def test_the_accuracy_of_labels_is_estimated(spark):
+    labels, fired = drawn(6000, [(0.02, 0.6)] * 5, seed=6)
+    wrong = np.random.default_rng(7).random(6000) < 0.15
+    sure, unsure = (
+        estimate(patterns(spark, fired, [int(v) for v in given]), seen_rates(fired, labels, np.ones(6000)), 0.2)
+        for given in (labels, labels ^ wrong)
+    )
+    assert unsure.gold[1] < sure.gold[1] - 1
+
+
+def test_patterns_count_copies_once_and_hold_every_text(spark):
+    words = [f"some{chr(97 + i)} words{chr(97 + i)} here{chr(97 + i)}" for i in range(6)]
+    docs = frame(spark, words + [f"{LEXICON[0]} alone"] * 50 + [None, ""])
+    labelled = spark.createDataFrame([(0, 0), (6, 1)], "id long, toxic int")
+    voters = np.array([feature_of(LEXICON[0])])
+    got = vote_patterns(docs.select(F.col("doc_id").alias("id"), "text"), labelled, voters).collect()
+    counts = {(tuple(row["votes"]), row["gold"]): row["n"] for row in got}
+    # Five unlabelled texts and the empty one; one labelled text; fifty copies as one.
+    assert counts == {((), None): 6, ((), 0): 1, ((0,), 1): 1}
 
 
 def test_odd_rows(spark):
