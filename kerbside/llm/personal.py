@@ -17,6 +17,7 @@ columns are ignored; ``redact`` keeps them.
 """
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,6 +46,8 @@ _MORE_DIGITS = re.compile(r" [0-9]+(?:[.-][0-9]+)*(?![^\s\"'`.,;:!?()\[\]{}<>])"
 
 # Bits of the filter on pattern hashes, and characters read for a pattern's two words at first.
 FILTER_BITS, REACH = 20, 200
+# Patterns that a task counts before it hands them on.
+HELD_PATTERNS = 1 << 17
 
 # Words of patterns: A-Z in lower case, digits as 0.
 _FORM = np.arange(256, dtype=np.uint8)
@@ -237,7 +240,15 @@ def _counter(words_of_filter: dict[int, int]):
     for word, mask in words_of_filter.items():
         bits[[word * 32 + i for i in range(32) if mask >> i & 1]] = True
 
+    def written(counts: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(counts), pa.int64()), pa.array(list(counts.values()), pa.int64())],
+            names=["pattern", "n"],
+        )
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # A task adds up its slices and hands on what it holds whenever that is many patterns.
+        held: Counter = Counter()
         for batch in batches:
             for text in text_slices(batch.column(0)):
                 text.data = _FORM[text.data]
@@ -250,9 +261,12 @@ def _counter(words_of_filter: dict[int, int]):
                     for seen in (one, two[adjacent]):
                         place = seen.view(np.uint64) >> np.uint64(64 - FILTER_BITS)
                         patterns, counts = np.unique(seen[bits[place]], return_counts=True)
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(patterns), pa.array(counts)], names=["pattern", "n"]
-                        )
+                        for pattern, n in zip(patterns.tolist(), counts.tolist()):
+                            held[pattern] += n
+                if len(held) >= HELD_PATTERNS:
+                    yield written(held)
+                    held.clear()
+        yield written(held)
 
     return count
 
