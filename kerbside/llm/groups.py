@@ -62,6 +62,25 @@ def pairs_within(starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.
     return np.concatenate(left), np.concatenate(right)
 
 
+def likely_rows(rows: DataFrame, wanted: DataFrame, keys: Sequence[str], most: int = 29) -> DataFrame:
+    """The rows whose ``keys`` are among those of ``wanted``, and few others: what a join is to see of a
+    table much larger than its result, so that the rest is not shuffled for it.
+
+    The keys' hashes are bits of bitmaps, 16 for each row of ``wanted`` and 2 ** ``most`` in all, so these
+    are broadcast with 64 MB at most. Where ``wanted`` has more rows than there are bits, nearly all pass.
+    """
+    bits = min(max(15, (16 * wanted.count()).bit_length()), most)
+    # From 1 on, where buckets and positions of bitmaps begin.
+    place = (F.pmod(F.xxhash64(*keys), F.lit(1 << bits)) + 1).alias("_place")
+    maps = wanted.select(place).groupBy(F.bitmap_bucket_number("_place").alias("_bucket"))
+    maps = maps.agg(F.bitmap_construct_agg(F.bitmap_bit_position("_place")).alias("_bitmap"))
+    at = F.bitmap_bit_position("_place")
+    byte = F.substring("_bitmap", F.shiftright(at, 3).cast("int") + 1, F.lit(1))
+    is_set = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), (at % 8).cast("int")) == 1
+    placed = rows.select("*", place).withColumn("_bucket", F.bitmap_bucket_number("_place"))
+    return placed.join(F.broadcast(maps), "_bucket").filter(is_set).select(rows.columns)
+
+
 def shared_buckets(entries: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Members of every bucket of two or more, with the smallest of them as ``leader``.
 

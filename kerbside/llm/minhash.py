@@ -32,6 +32,7 @@ from kerbside.llm.components import connected_components
 from kerbside.llm.groups import (
     by_leader,
     in_stars,
+    likely_rows,
     meeting_pairs,
     meetings,
     met,
@@ -245,12 +246,12 @@ def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _sets(ids: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
-    """The shingle sets of some nodes, stored. Only texts that are wanted are shuffled, if any."""
-    wanted = classes.join(ids.distinct(), "id").select("doc_id", "version", "id")
-    some = texts.join(stored(wanted, "wanted-texts"), ["doc_id", "version"]).select("id", "text")
+    """The shingle sets of some nodes, dealt by node. Few texts but those wanted are shuffled, if any."""
+    keys = ["doc_id", "version"]
+    wanted = stored(classes.join(ids.distinct(), "id").select(*keys, "id"), "wanted-texts")
+    some = likely_rows(texts, wanted, keys).join(wanted, keys).select("id", "text")
     # Rows that repeat a text give its set once each.
-    sets = some.mapInArrow(_shingle_sets, "id long, set binary")
-    return stored(sets.dropDuplicates(["id"]), "shingle-sets")
+    return some.mapInArrow(_shingle_sets, "id long, set binary").dropDuplicates(["id"])
 
 
 class _Linker:
@@ -294,6 +295,9 @@ class _Linker:
         """Links that join all nodes which links join."""
         entries = self.nodes.select("id", F.posexplode("bands").alias("band", "key"))
         buckets = stored(shared_buckets(entries, _BUCKET), "buckets")
+        # Nodes that are alone in all their buckets are not looked at again.
+        met_nodes = self.nodes.join(buckets.select("id").distinct(), "id", "left_semi")
+        self.nodes = stored(met_nodes, "bucket-nodes")
         # Each member's smallest leader first: one pair per member joins most of any group.
         tried = buckets.filter("id != leader").groupBy(F.col("id").alias("b")).agg(F.min("leader").alias("a"))
         tried = stored(tried.select("a", "b"), "first-pairs")

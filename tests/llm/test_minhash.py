@@ -8,6 +8,7 @@ from texts import empty, frame, invented, odd
 
 from kerbside.llm import components, minhash
 from kerbside.llm.components import connected_components
+from kerbside.llm.groups import likely_rows
 from kerbside.llm.minhash import near_duplicates, one_of_each
 from kerbside.llm.words import shingles_of, text_slices, words_of
 from kerbside.sources import stored
@@ -197,6 +198,20 @@ def test_rows_grow_with_a_group_and_not_with_its_square(spark, monkeypatch, edit
     assert large.get("meetings", 0) <= 2 * large["buckets"]
 
 
+def test_rows_that_a_join_is_to_see(spark):
+    """All wanted rows, and a sixteenth of the others at most, but for chance."""
+    rows = spark.range(20_000).selectExpr("IF(id % 50 = 1, NULL, id) AS a", "id * 7 AS b", "'x' AS text")
+    wanted = rows.filter("b % 41 = 3").select("a", "b")
+    got = likely_rows(rows, wanted, ["a", "b"])
+    assert got.columns == rows.columns
+    assert wanted.exceptAll(got.select("a", "b")).isEmpty()
+    assert got.count() - wanted.count() < 20_000 / 10
+    assert likely_rows(rows, wanted.limit(0), ["a", "b"]).isEmpty()
+    # With fewer bits than wanted rows nearly all pass, and none that is wanted is lost.
+    crowded = likely_rows(rows, rows, ["a", "b"], most=15)
+    assert crowded.count() == 20_000
+
+
 def test_joins_of_components_have_a_row_per_edge(spark, monkeypatch):
     """A star of many edges, listed often: tasks fold it before the first join."""
     edges = spark.range(0, 40_000, numPartitions=4).selectExpr("0 AS a", "id % 5000 AS b")
